@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemill.plans import tables  # noqa: F401
+from tidemill.plans import tables, timeline  # noqa: F401
 from tidemill.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
