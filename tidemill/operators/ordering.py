@@ -33,15 +33,19 @@ def _as_columns(keys) -> list[Column]:
     return [F.col(k) if isinstance(k, str) else k for k in keys]
 
 
-def global_index(df: DataFrame, *keys, name: str = "idx", start: int = 0) -> DataFrame:
-    """Dense row number over the whole table in the order of `keys` (which must be unique)."""
+def global_index(df: DataFrame, *keys, name: str = "idx", start: int = 0, total: str | None = None) -> DataFrame:
+    """Dense row number over the whole table in the order of `keys` (which must be unique).
+
+    `total` names an optional column with the row count.
+    """
     if not keys:
         raise ValueError("global_index needs at least one order key")
     rows = _range_sorted(df, _as_columns(keys))
     sizes = rows.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
     # one row per range partition, so this window is bounded by the partition count
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(_PID, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    whole = [F.sum("__n").over(Window.partitionBy()).alias(total)] if total else []
+    offsets = sizes.select(_PID, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"), *whole)
     return (
         rows.join(F.broadcast(offsets), _PID)
         .withColumn(name, F.col("__off") + F.col(_POS) + F.lit(start))
@@ -148,23 +152,23 @@ def quantile_values(df: DataFrame, column: str, probs: Sequence[float]) -> list[
 
 def chronological_split(df: DataFrame, *keys, train_share: float = 0.8, name: str = "role") -> DataFrame:
     """Label the first `int(share * n)` rows in key order `train`, the rest `test`."""
-    indexed = global_index(df, *keys, name="row_index")
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    limit = F.floor(total * F.lit(train_share))
-    return indexed.withColumn(name, F.when(F.col("row_index") < limit, "train").otherwise("test"))
+    indexed = global_index(df, *keys, name="row_index", total="__rows")
+    limit = F.floor(F.col("__rows") * F.lit(train_share))
+    role = F.when(F.col("row_index") < limit, "train").otherwise("test")
+    return indexed.withColumn(name, role).drop("__rows")
 
 
 def contiguous_folds(df: DataFrame, *keys, folds: int = 5) -> DataFrame:
     """Unshuffled folds: the first `n % folds` folds hold one row more."""
-    indexed = global_index(df, *keys, name="row_index")
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    indexed = global_index(df, *keys, name="row_index", total="__rows")
+    total = F.col("__rows")
     small = F.floor(total / F.lit(folds))
     extra = total % F.lit(folds)
     head = extra * (small + 1)
     fold = F.when(F.col("row_index") < head, F.floor(F.col("row_index") / (small + 1))).otherwise(
         extra + F.floor((F.col("row_index") - head) / F.greatest(small, F.lit(1)))
     )
-    return indexed.withColumn("fold", fold.cast("int"))
+    return indexed.withColumn("fold", fold.cast("int")).drop("__rows")
 
 
 def expanding_folds(df: DataFrame, *keys, folds: int = 5) -> DataFrame:
@@ -172,15 +176,15 @@ def expanding_folds(df: DataFrame, *keys, folds: int = 5) -> DataFrame:
 
     Emits one row per (row, fold) in which the row takes part.
     """
-    indexed = global_index(df, *keys, name="row_index")
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    indexed = global_index(df, *keys, name="row_index", total="__rows")
+    total = F.col("__rows")
     block = F.floor(total / F.lit(folds + 1))
     tagged = indexed.withColumn("fold", F.explode(F.array(*[F.lit(i) for i in range(folds)])))
     first_test = total - (F.lit(folds) - F.col("fold")) * block
     role = F.when(F.col("row_index") < first_test, "train").when(
         F.col("row_index") < first_test + block, "test"
     )
-    return tagged.withColumn("role", role).filter(F.col("role").isNotNull())
+    return tagged.withColumn("role", role).filter(F.col("role").isNotNull()).drop("__rows")
 
 
 def slice_rows(df: DataFrame, *keys, start: int, stop: int, columns: Sequence[str] | None = None) -> DataFrame:
