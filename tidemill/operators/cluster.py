@@ -53,8 +53,8 @@ def nearest_centroid(df: DataFrame, vector: str, centroids: DataFrame) -> DataFr
     def squared(c: Column) -> Column:
         return F.aggregate(F.zip_with(v, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
 
-    best = F.array_min(F.transform(all_centres, lambda s: F.struct(squared(s["c"]).alias("d"), s["id"].alias("id"))))
-    return df.withColumn("__best", best).withColumns(
+    best = F.array_min(F.transform("__all", lambda s: F.struct(squared(s["c"]).alias("d"), s["id"].alias("id"))))
+    return df.withColumn("__all", all_centres).withColumn("__best", best).drop("__all").withColumns(
         {"cluster": F.col("__best.id"), "distance2": F.col("__best.d")}
     ).drop("__best")
 

@@ -213,12 +213,12 @@ def _scaled_clients(spark, sf):
 
 @query("c1_kmeans_inertia")
 def _(spark, sf):
-    return cluster.kmeans_inertia(_scaled_clients(spark, sf).cache(), ks=range(2, 6), restarts=2)
+    return cluster.kmeans_inertia(cut(_scaled_clients(spark, sf)), ks=range(2, 6), restarts=2)
 
 
 @query("c1_kmeans_labels")
 def _(spark, sf):
-    return cluster.kmeans_labels(_scaled_clients(spark, sf).cache(), 3, restarts=2).select("id", "cluster")
+    return cluster.kmeans_labels(cut(_scaled_clients(spark, sf)), 3, restarts=2).select("id", "cluster")
 
 
 CENTRES_SQL = """cells AS (SELECT vec_id, label, unnest(CAST(embedding AS DOUBLE[])) AS v, unnest(range(len(embedding))) AS i FROM embeddings),
@@ -265,7 +265,7 @@ def _(spark, sf):
 
 @query("c2_silhouette_squared")
 def _(spark, sf):
-    labelled = cluster.kmeans_labels(_scaled_clients(spark, sf).cache(), 3, restarts=1)
+    labelled = cluster.kmeans_labels(cut(_scaled_clients(spark, sf)), 3, restarts=1)
     return spark.createDataFrame([(3, cluster.silhouette_squared(labelled))], "k int, silhouette double")
 
 
