@@ -424,3 +424,19 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.array_join(texts.keywords("text"), " ").alias("keywords"))
+
+
+@query(
+    "x11_padded_search",
+    f"""WITH {FOUND_SQL}, pool AS (SELECT chunk_id, row_number() OVER (ORDER BY chunk_id) AS p FROM chunks),
+        have AS (SELECT question_id, count(*) AS n FROM found GROUP BY 1),
+        free AS (SELECT q.question_id AS question_id, pool.chunk_id AS chunk_id, coalesce(n, 0) + row_number() OVER (PARTITION BY q.question_id ORDER BY pool.chunk_id) AS rank
+                 FROM questions q JOIN pool ON p <= 8 LEFT JOIN have ON have.question_id = q.question_id
+                 WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.question_id = q.question_id AND f.chunk_id = pool.chunk_id))
+        SELECT question_id, chunk_id, CAST(rank AS BIGINT) AS rank, round(score, 6) AS score FROM found
+        UNION ALL SELECT question_id, chunk_id, CAST(rank AS BIGINT) AS rank, 0.0::DOUBLE AS score FROM free WHERE rank <= 4""",
+)
+def _(spark, sf):
+    chunks, asked, found = searched(spark, sf)
+    padded = retrieval.pad_results(found, asked, chunks)
+    return rounded(padded.withColumn("rank", F.col("rank").cast("bigint")), 6, "score")

@@ -788,3 +788,23 @@ def _(spark, sf):
 def _(spark, sf):
     rows = table(spark, sf, "orders").select("o_orderpriority", "o_orderdate", "o_orderkey")
     return ordering.first_per_group(rows, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], 300).drop("o_orderdate")
+
+
+# ---- user functions: chained frame transforms and column lambdas
+
+
+def apply_twice(fn, df):
+    """Apply a frame transform to its own result."""
+    return df.transform(fn).transform(fn)
+
+
+@query(
+    "u1_chained_transforms",
+    """SELECT l_orderkey, l_linenumber, round(l_extendedprice * 1.05 * 1.05, 4) AS price,
+              array_to_string(list_transform(string_split(l_returnflag || '-' || l_linestatus, '-'), lambda x: lower(x)), '+') AS flags FROM lineitem""",
+)
+def _(spark, sf):
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("price"), "l_returnflag", "l_linestatus")
+    raised = apply_twice(lambda df: df.withColumn("price", F.col("price") * 1.05), rows)
+    flags = F.transform(F.split(F.concat_ws("-", "l_returnflag", "l_linestatus"), "-"), F.lower)
+    return raised.select("l_orderkey", "l_linenumber", F.round("price", 4).alias("price"), F.array_join(flags, "+").alias("flags"))
