@@ -27,9 +27,9 @@ def title_case(column) -> Column:
 
     `initcap` only looks at blanks; here any non-letter starts a new word.
     """
-    runs = F.regexp_extract_all(_c(column), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
-    cased = F.transform(runs, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substr(x, F.lit(2)))))
-    return F.array_join(cased, "")
+    # a mark and a blank in front of each inner word start, taken out again afterwards
+    opened = F.regexp_replace(_c(column), r"(?<=\P{L})(?=\p{L})", "\u0001 ")
+    return F.replace(F.initcap(opened), F.lit("\u0001 "), F.lit(""))
 
 
 def month_start(year, month) -> Column:

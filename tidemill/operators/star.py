@@ -13,7 +13,9 @@ from tidemill.session import cut
 
 TITLED = ("patient_name", "gender", "condition", "doctor", "admission_type", "result")
 STRIPPED = ("hospital", "insurer")
-DIMENSIONS = (("doctor", "doctor_id"), ("hospital", "hospital_id"), ("insurer", "provider_id"))
+DIMENSIONS = (
+    ("doctor", "doctor_id", "doctors"), ("hospital", "hospital_id", "hospitals"), ("insurer", "provider_id", "insurance_providers"),
+)
 
 
 def clean_admissions(flat: DataFrame) -> DataFrame:
@@ -65,28 +67,25 @@ class Star:
         return out
 
 
-def build_star(flat: DataFrame) -> dict[str, DataFrame]:
-    """Fact and dimension frames, not yet written."""
-    # read once per dimension and once for the fact: keep the cleaned rows
-    fact = cut(clean_admissions(flat))
-    frames = {}
-    for column, key in DIMENSIONS:
-        dim = build_dimension(fact, column, key)
-        frames[column] = dim
-        fact = attach_key(fact, column, dim, key)
-    frames["admissions"] = fact
-    return frames
-
-
 def load_star(flat: DataFrame, root: str) -> Star:
-    """Full refresh: write the dimensions and the fact under `root`, replacing what is there."""
+    """Full refresh: write the dimensions and the fact under `root`, replacing what is there.
+
+    The dimensions are written first and looked up from their tables, whose sizes are known:
+    small ones are broadcast to the fact, a big one (doctors) is joined by shuffle.
+    """
     spark: SparkSession = flat.sparkSession
-    names = {"admissions": "admissions", "doctor": "doctors", "hospital": "hospitals", "insurer": "insurance_providers"}
-    frames = build_star(flat)
-    for name, df in frames.items():
-        df.write.mode("overwrite").parquet(f"{root}/{names[name]}")
-    read = {name: spark.read.parquet(f"{root}/{names[name]}") for name in frames}
-    return Star(root, read["admissions"], read["doctor"], read["hospital"], read["insurer"])
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+    # read once per dimension and once for the fact
+    clean = cut(clean_admissions(flat))
+    fact, dims = clean, {}
+    for column, key, name in DIMENSIONS:
+        dims[name] = store(build_dimension(clean, column, key), name)
+        fact = attach_key(fact, column, dims[name], key)
+    return Star(root, store(fact, "admissions"), dims["doctors"], dims["hospitals"], dims["insurance_providers"])
 
 
 def by_dimension_name(fact: DataFrame, dim: DataFrame, key: str, fragment: str, limit: int = 200) -> DataFrame:

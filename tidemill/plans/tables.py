@@ -800,11 +800,11 @@ def apply_twice(fn, df):
 
 @query(
     "u1_chained_transforms",
-    """SELECT l_orderkey, l_linenumber, round(l_extendedprice * 1.05 * 1.05, 4) AS price,
+    """SELECT l_orderkey, l_linenumber, round(l_extendedprice * 1.5 * 1.5, 4) AS price,
               array_to_string(list_transform(string_split(l_returnflag || '-' || l_linestatus, '-'), lambda x: lower(x)), '+') AS flags FROM lineitem""",
 )
 def _(spark, sf):
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("price"), "l_returnflag", "l_linestatus")
-    raised = apply_twice(lambda df: df.withColumn("price", F.col("price") * 1.05), rows)
+    raised = apply_twice(lambda df: df.withColumn("price", F.col("price") * 1.5), rows)
     flags = F.transform(F.split(F.concat_ws("-", "l_returnflag", "l_linestatus"), "-"), F.lower)
     return raised.select("l_orderkey", "l_linenumber", F.round("price", 4).alias("price"), F.array_join(flags, "+").alias("flags"))

@@ -57,10 +57,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder and go on from the written copy.
+    """Write `df` as a table in the checkpoint folder and go on from the written copy.
 
-    Used where a plan is read twice and both reads must see the same rows in the same
-    partitions, and where a loop would otherwise grow its lineage.
+    Used where a plan is read twice and both reads must see the same rows, and where a loop
+    would otherwise grow its lineage. A written table survives lost executors, is read by
+    column, and has a known size, so the planner can tell what is small enough to broadcast.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
