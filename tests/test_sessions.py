@@ -64,21 +64,21 @@ def batches(spark, path, rows, schema, sizes):
 
 def test_repeat_stream_across_batches_and_late_rows(spark, tmp_path):
     sec = lambda s: START + dt.timedelta(seconds=s)
-    rows = [("a", sec(0), 1), ("a", sec(250), 2), ("b", sec(10), 3), ("a", sec(301), 4), ("a", sec(600), 5), ("b", sec(4000), 6), ("a", sec(5), 7)]
+    rows = [("a", sec(0), 1), ("a", sec(250), 2), ("b", sec(10), 3), ("a", sec(301), 4), ("a", sec(600), 5), ("b", sec(4000), 6), ("c", sec(4100), 8), ("a", sec(5), 7)]
     path = str(tmp_path / "in")
     schema = "k string, ts timestamp_ntz, id int"
-    batches(spark, path, rows, schema, [3, 2, 1, 1])
-    stream = stateful.suppress_stream(read_stream(spark, path, spark.read.parquet(path).schema), ["k"], "ts", "id", 300)
+    batches(spark, path, rows, schema, [3, 2, 1, 1, 1])
+    stream = stateful.suppress_stream(read_stream(spark, path, spark.read.parquet(path).schema, 1), ["k"], "ts", "id", 300)
     out = run_available(stream, str(tmp_path / "out"), "append", str(tmp_path / "state"))
     # the last row lies an hour behind the watermark and is dropped
-    assert {r["id"]: r["repeat"] for r in out.collect()} == {1: 0, 2: 1, 3: 0, 4: 0, 5: 1, 6: 0}
+    assert {r["id"]: r["repeat"] for r in out.collect()} == {1: 0, 2: 1, 3: 0, 4: 0, 5: 1, 6: 0, 8: 0}
 
 
 def test_history_stream_across_batches(spark, tmp_path):
     rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"m{t}") for t in range(9)]
     path = str(tmp_path / "in")
     batches(spark, path, rows, "s int, turn long, role string, text string", [4, 4, 1])
-    stream = stateful.history_stream(read_stream(spark, path, spark.read.parquet(path).schema), "s", "turn", "role", "text", turns=2)
+    stream = stateful.history_stream(read_stream(spark, path, spark.read.parquet(path).schema, 1), "s", "turn", "role", "text", turns=2)
     written = run_available(stream, str(tmp_path / "out"), "update", str(tmp_path / "state"))
     assert written.select("batch").distinct().count() == 3
     got = stateful.history_rows(written, "s").orderBy("position").collect()

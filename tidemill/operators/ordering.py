@@ -67,20 +67,9 @@ def ranked_values(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFram
     # per group at most one row per range partition
     before = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(_PID, *by, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    on = [F.col("r." + _PID) == F.col("o." + _PID)] + [
-        F.col(f"r.`{c}`").eqNullSafe(F.col(f"o.`{c}`")) for c in by
-    ]
-    joined = (
-        rows.withColumn("__in", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .alias("r")
-        .join(offsets.alias("o"), on)
-    )
-    return joined.select(
-        *[F.col(f"r.`{c}`").alias(c) for c in by],
-        F.col(f"r.`{value}`").alias(value),
-        F.col("r.n").alias("n"),
-        (F.col("o.__off") + F.col("r.__in")).alias("before"),
-    )
+    placed = rows.withColumn("__in", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    joined = null_safe_join(placed, offsets, [_PID, *by])
+    return joined.select(*by, value, "n", (F.col("__off") + F.col("__in")).alias("before"))
 
 
 def unpivot_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -95,36 +84,71 @@ def unpivot_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (
     )
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys meet; the right side's keys are dropped."""
+    renamed = right.withColumnsRenamed({c: f"__r_{c}" for c in keys})
+    on = None
+    for c in keys:
+        same = F.col(c).eqNullSafe(F.col(f"__r_{c}"))
+        on = same if on is None else on & same
+    return left.join(renamed, on, how).drop(*[f"__r_{c}" for c in keys])
+
+
+# Ranks that a sketch quantile may be off by, as a share of the rows, with a wide margin.
+SKETCH_ACCURACY = 10_000
+SLACK = 0.002
+SMALL_GROUP = 5_000
+
+
 def quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: rows `(by…, column, p, value, n)`.
 
-    Agrees with `percentile`, which keeps every distinct value of a group in one task;
-    this one does not.
+    Agrees with `percentile`, which keeps every distinct value of a group in one task. Here a
+    sketch first brackets each quantile. The second pass counts what lies below the bracket and
+    sorts only the values inside it, a small share of the rows.
     """
     keys = [*by, "column"]
-    ranked = ranked_values(unpivot_numeric(df, columns, by), "value", keys)
-    sizes = ranked.groupBy(*keys).agg(F.sum("n").alias("__total"))
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (
-        sizes.select(*keys, "__total", F.explode(wanted).alias("p"))
-        .withColumn("__at", F.col("p") * (F.col("__total") - 1))
-        .withColumn("__lo", F.floor("__at"))
-        .withColumn("__hi", F.ceil("__at"))
+    long = unpivot_numeric(df, columns, by)
+    ps = [float(p) for p in probs]
+    marks = [max(p - SLACK, 0.0) for p in ps] + [min(p + SLACK, 1.0) for p in ps]
+    sketch = cut(
+        long.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("__total"), F.min("value").alias("__min"), F.max("value").alias("__max"),
+            F.percentile_approx("value", marks, SKETCH_ACCURACY).alias("__q"),
+        )
+    )
+    few = F.col("__total") < SMALL_GROUP
+    brackets = F.array(
+        *[
+            F.struct(
+                F.lit(p).alias("p"),
+                F.when(few, F.col("__min")).otherwise(F.col("__q")[i]).alias("__from"),
+                F.when(few, F.col("__max")).otherwise(F.col("__q")[len(ps) + i]).alias("__to"),
+            )
+            for i, p in enumerate(ps)
+        ]
     )
-    on = [F.col(f"r.`{c}`").eqNullSafe(F.col(f"t.`{c}`")) for c in keys]
+    at = F.col("p") * (F.col("__total") - 1)
+    targets = sketch.select(*keys, "__total", F.inline(brackets)).withColumns(
+        {"__at": at, "__lo": F.floor(at), "__hi": F.ceil(at)}
+    )
+    if not by:
+        # columns x probs rows, fixed by the call and not by the data
+        targets = F.broadcast(targets)
+    near = null_safe_join(long, targets.select(*keys, "p", "__from", "__to"), keys).filter(F.col("value") <= F.col("__to"))
+    # everything below the bracket is one null value, which sorts first
+    marked = near.select(*keys, "p", F.when(F.col("value") >= F.col("__from"), F.col("value")).alias("value"))
+    ranked = ranked_values(marked, "value", [*keys, "p"])
 
     def covers(rank: str) -> Column:
         return (F.col("before") <= F.col(rank)) & (F.col(rank) < F.col("before") + F.col("n"))
 
-    if not by:
-        # columns x probs rows, fixed by the call and not by the data
-        targets = F.broadcast(targets)
-    hits = ranked.alias("r").join(targets.alias("t"), on).filter(covers("__lo") | covers("__hi"))
-    picked = hits.groupBy(*[F.col(f"t.`{c}`").alias(c) for c in keys], "p", "__at", "__total").agg(
-        F.max(F.when(covers("__lo"), F.col("r.value"))).alias("__vlo"),
-        F.max(F.when(covers("__hi"), F.col("r.value"))).alias("__vhi"),
+    hits = null_safe_join(ranked, targets.select(*keys, "p", "__total", "__at", "__lo", "__hi"), [*keys, "p"])
+    picked = hits.filter(covers("__lo") | covers("__hi")).groupBy(*keys, "p", "__at", "__total").agg(
+        F.max(F.when(covers("__lo"), F.col("value"))).alias("__vlo"),
+        F.max(F.when(covers("__hi"), F.col("value"))).alias("__vhi"),
     )
     share = F.col("__at") - F.floor("__at")
     return picked.select(

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.ordering import quantile_row
+from tidemill.operators.ordering import quantile_row, quantiles
+from tidemill.session import cut
 
 
 def _stack(row: DataFrame, names: Sequence[str], value: str) -> DataFrame:
@@ -33,8 +34,11 @@ def drop_exact_duplicates(df: DataFrame) -> DataFrame:
 
 
 def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace nulls by the exact median of the column."""
-    fills = {c: F.coalesce(F.col(c), quantile_row(df, c, [0.5], ["m"]).scalar()) for c in columns}
+    """Replace nulls by the exact median of the column; all medians come from the same passes."""
+    medians = cut(quantiles(df, columns, [0.5]))
+    fills = {
+        c: F.coalesce(F.col(c), medians.filter(F.col("column") == c).agg(F.max("value")).scalar()) for c in columns
+    }
     return df.withColumns(fills)
 
 

@@ -48,8 +48,13 @@ def term_counts(chunks: DataFrame, key: str, text: str, stop_words: Sequence[str
 def fit_terms(chunks: DataFrame, key: str, text: str, max_terms: int = 4096, stop_words: Sequence[str] | None = None) -> DataFrame:
     """The most frequent terms (ties alphabetical) with their inverse document weight."""
     total = chunks.agg(F.count(F.lit(1))).scalar()
-    terms = term_counts(chunks, key, text, stop_words).groupBy("term").agg(
-        F.sum("tf").alias("count"), F.count(F.lit(1)).alias("df")
+    # one scan without moving any text: each token counts once, each distinct token of a chunk once more
+    marks = F.concat(
+        F.transform("__t", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
+        F.transform(F.array_distinct("__t"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df"))),
+    )
+    terms = chunks.select(_tokens(text, stop_words).alias("__t")).select(F.inline(marks)).groupBy("term").agg(
+        F.sum("tf").alias("count"), F.sum("df").alias("df")
     )
     kept = terms.orderBy(F.desc("count"), "term").limit(max_terms)
     return kept.withColumn("idf", F.ln((1 + total) / (1 + F.col("df"))) + 1)
@@ -69,19 +74,23 @@ def term_weights(
     return raw.select(key, "term", (F.col("raw") / length).alias("weight"))
 
 
-def search_terms(index: DataFrame, questions: DataFrame, k: int = 4, chunk: str = "chunk_id", question: str = "question_id") -> DataFrame:
+def search_terms(
+    index: DataFrame, questions: DataFrame, k: int = 4, chunk: str = "chunk_id", question: str = "question_id", placed: bool = False
+) -> DataFrame:
     """The `k` best chunks per question by cosine of term weights: `(question, chunk, score, rank)`.
 
     The index is laid out by chunk, the question terms are broadcast in bounded blocks, scores
     add up inside the partition, and only the best `k` per question and partition are moved.
+    Say `placed` for an index straight from `term_weights`, which has that layout already.
     """
-    placed = index.select(F.col(chunk), "term", F.col("weight").alias("wc")).repartition(chunk)
+    posts = index.select(F.col(chunk), "term", F.col("weight").alias("wc"))
+    posts = posts if placed else posts.repartition(chunk)
     best = Window.partitionBy(question).orderBy(F.desc("score"), chunk)
     found = []
     for part in blocks(questions.select(question, "term", F.col("weight").alias("wq")), question, BLOCK_ROWS):
         # at most BLOCK_ROWS rows by construction
         scored = (
-            placed.join(F.broadcast(part), "term").groupBy(question, chunk).agg(F.round(F.sum(F.col("wq") * F.col("wc")), 9).alias("score"))
+            posts.join(F.broadcast(part), "term").groupBy(question, chunk).agg(F.round(F.sum(F.col("wq") * F.col("wc")), 9).alias("score"))
         )
         found.append(scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k))
     return reduce(DataFrame.unionByName, found)

@@ -336,7 +336,7 @@ def seasonal_forecast(
     return (
         joined.groupBy(*by)
         .applyInPandas(run, _schema(df, by, "date date, mean double, lower double, upper double"))
-        .filter(~F.isnan("mean"))
+        .filter(F.col("mean").isNotNull() & ~F.isnan("mean"))
     )
 
 

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.operators.ordering import null_safe_join
 from tidemill.session import cut
 
 MICROS = 1_000_000
@@ -106,7 +107,7 @@ def _neighbours(rows: DataFrame, key: Sequence[str], tie: str) -> DataFrame:
     ends = rows.groupBy(*key, "__span").agg(F.min("__t").alias("__min"), F.max("__t").alias("__max"))
     around = ends.select(*key, "__span", F.lag("__max").over(chain).alias("__before"), F.lead("__min").over(chain).alias("__after"))
     near = rows.withColumns({"__p": F.lag("__t").over(inner), "__n": F.lead("__t").over(inner)})
-    joined = near.join(around, [*key, "__span"])
+    joined = null_safe_join(near, around, [*key, "__span"])
     return joined.withColumns({"__p": F.coalesce("__p", "__before"), "__n": F.coalesce("__n", "__after")}).drop("__before", "__after")
 
 
@@ -175,8 +176,7 @@ def suppress_repeats(
 
     moves = _grouped(dense, [*key, "__span"], ["__t"], summarise, f"{key_schema}, __span long, enter long, leave long")
     needs = _grouped(moves, key, ["__span", "enter"], chain, f"{key_schema}, __span long, need long")
-    on = [F.col(f"d.`{c}`").eqNullSafe(F.col(f"n.`{c}`")) for c in (*key, "__span")]
-    ready = dense.alias("d").join(needs.alias("n"), on).select("d.*", "n.need")
+    ready = null_safe_join(dense, needs, [*key, "__span"])
     marked = _grouped(
         ready, [*key, "__span"], ["__t", tie], replay, f"{key_schema}, `{tie}` {kinds[tie]}, repeat long, answered_at long"
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.operators.ordering import global_index, quantile_values, ranked_values
+from tidemill.operators.ordering import global_index, null_safe_join, quantile_values, ranked_values
 
 EPSILON = 1e-10
 
@@ -171,7 +171,10 @@ def sampling_means(
     draws = rep.select(
         "rep", F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("j"), stride.alias("a"), mixed("rep", seed).alias("b")
     ).select("rep", ((F.col("a") * F.col("j") + F.col("b")) % total).alias("__i"))
-    return draws.join(indexed, "__i").groupBy("rep").agg(F.avg("__v").alias("mean"))
+    if replicates * size <= 1_000_000:
+        # the number of draws is set by the call, not by the data
+        draws = F.broadcast(draws)
+    return indexed.join(draws, "__i").groupBy("rep").agg(F.avg("__v").alias("mean"))
 
 
 def sampling_summary(means: DataFrame, df: DataFrame, value: str, size: int = 30) -> DataFrame:
@@ -214,7 +217,7 @@ def next_value(
     # one row per group and time unit
     chain = Window.partitionBy(*by).orderBy("__u")
     after = firsts.select(*by, "__u", F.lead("__f").over(chain).alias("__after"))
-    joined = marked.join(after, [*by, "__u"])
+    joined = null_safe_join(marked, after, [*by, "__u"])
     return joined.withColumn(name, F.coalesce(F.col("__next"), F.col("__after"))["v"]).drop("__u", "__next", "__after")
 
 

@@ -283,7 +283,7 @@ def searched(spark, sf):
     terms = cut(retrieval.fit_terms(chunks, "chunk_id", "text"))
     index = retrieval.term_weights(chunks, terms, "chunk_id", "text")
     weights = retrieval.term_weights(asked, terms, "question_id", "question")
-    return chunks, asked, cut(retrieval.search_terms(index, weights))
+    return chunks, asked, cut(retrieval.search_terms(index, weights, placed=True))
 
 
 @query(

@@ -31,6 +31,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Pin the time zone and make sure checkpoints have a home. Safe to call again."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # rank filters up to this many rows per group are applied before the shuffle, too
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10000")
     checkpoint_root(spark)
     return spark
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemill.session import scratch_path
 
 
-def read_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1) -> DataFrame:
+def read_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 4) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
@@ -33,8 +33,11 @@ def run_available(stream: DataFrame, output: str, mode: str = "append", checkpoi
     return spark.read.option("basePath", output).parquet(output)
 
 
-def write_slices(df: DataFrame, path: str, order: str, slices: int = 4) -> None:
-    """Write a table as several files, one per slice of `order`, oldest first."""
+def write_slices(df: DataFrame, path: str, order: str, slices: int = 4, files: int = 4) -> None:
+    """Write a table slice by slice of `order`, oldest first, each as `files` files.
+
+    Reading `files` files per batch then gives one batch per slice.
+    """
     edges = df.agg(F.percentile_approx(order, [i / slices for i in range(1, slices)], 1000)).first()[0]
     bounds = [None, *edges, None]
     for low, high in zip(bounds, bounds[1:]):
@@ -43,4 +46,4 @@ def write_slices(df: DataFrame, path: str, order: str, slices: int = 4) -> None:
             part = part.filter(F.col(order) > F.lit(low))
         if high is not None:
             part = part.filter(F.col(order) <= F.lit(high))
-        part.coalesce(1).write.mode("append").parquet(path)
+        part.repartition(files).write.mode("append").parquet(path)
