@@ -49,12 +49,13 @@ def fit_terms(chunks: DataFrame, key: str, text: str, max_terms: int = 4096, sto
     """The most frequent terms (ties alphabetical) with their inverse document weight."""
     total = chunks.agg(F.count(F.lit(1))).scalar()
     # one scan without moving any text: each token counts once, each distinct token of a chunk once more
-    marks = F.concat(
-        F.transform("__t", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
-        F.transform(F.array_distinct("__t"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df"))),
+    both = F.array(
+        F.struct(F.lit(0).alias("once"), F.col("__t").alias("ts")),
+        F.struct(F.lit(1).alias("once"), F.array_distinct("__t").alias("ts")),
     )
-    terms = chunks.select(_tokens(text, stop_words).alias("__t")).select(F.inline(marks)).groupBy("term").agg(
-        F.sum("tf").alias("count"), F.sum("df").alias("df")
+    rows = chunks.select(_tokens(text, stop_words).alias("__t")).select(F.inline(both))
+    terms = rows.select("once", F.explode("ts").alias("term")).groupBy("term").agg(
+        F.sum(1 - F.col("once")).alias("count"), F.sum("once").alias("df")
     )
     kept = terms.orderBy(F.desc("count"), "term").limit(max_terms)
     return kept.withColumn("idf", F.ln((1 + total) / (1 + F.col("df"))) + 1)
