@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, exact, language, mixing, neardup, quality, topk, urls
+from tidemill.llm import bpe, exact, language, mixing, neardup, quality, secrets, topk, urls
 from tidemill.session import prepare
 
 QUERIES: dict = {}
@@ -47,6 +47,18 @@ def held_out():
     return F.coalesce(~quality.learnable(), F.lit(False)).alias("held_out")
 
 
+@query("op1_secrets")
+def op1_secrets(spark, sf_dir):
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    number = lambda kind: F.size(F.filter(spans, lambda r: r["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter(spans, lambda r: r["ord"] < len(secrets.LEAST))
+    return found.select(
+        "doc_id", number("assign"), number("access"), number("hex"),
+        F.sha2(secrets.span_list(base).cast("binary"), 256).alias("base_sha256"), secrets.span_list(spans).alias("spans"),
+    )
+
+
 @query("op2_language")
 def op2_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
