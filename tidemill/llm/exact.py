@@ -12,7 +12,11 @@ from tidemill.llm.kernels import as_bytes
 from tidemill.session import cut, scratch_path
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKS,
+    # stores are many and small: files grow as they fill instead of taking megabytes each from the start
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 ROWS = "doc_id long, digest binary, place string"
 TEXTS = "doc_id long, digest binary, body binary"
 
@@ -47,8 +51,9 @@ def _fold(rows_path: str, spark, max_files: int | None) -> DataFrame:
         # a batch that is run again overwrites its own folder
         changed.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKS)
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         run = (
             state.writeStream.outputMode("update").foreachBatch(keep_batch)
@@ -56,10 +61,8 @@ def _fold(rows_path: str, spark, max_files: int | None) -> DataFrame:
         )
         run.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     schema = "digest binary, group_size long, keeper struct<doc_id: long, place: string>"
     # a digest is written by every batch that met it; sizes only grow
     seen = spark.createDataFrame([], schema)
