@@ -149,6 +149,25 @@ def hits_by_language(texts: list[str], f: Filters) -> tuple[np.ndarray, np.ndarr
     return counts, seen
 
 
+def _judged(texts: list[str], f: Filters) -> tuple[list[str], list[float]]:
+    counts, seen = hits_by_language(texts, f)
+    true = np.maximum((counts - seen[:, None] * f.false_rate) / (1.0 - f.false_rate), 0.0)
+    total = true.sum(axis=1)
+    names, scores = [], []
+    for r in range(len(texts)):
+        if not seen[r] or not f.languages:
+            names.append(UNKNOWN)
+            scores.append(0.0)
+        elif total[r] <= 0:
+            names.append(f.languages[f.fallback])
+            scores.append(0.0)
+        else:
+            i = int(np.argmax(true[r]))
+            names.append(f.languages[i])
+            scores.append(float(true[r, i] / total[r]))
+    return names, scores
+
+
 def predict_language(docs: DataFrame, f: Filters) -> DataFrame:
     """`(doc_id, lang_pred, score)` for every row of `docs`.
 
@@ -161,22 +180,7 @@ def predict_language(docs: DataFrame, f: Filters) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            texts = _strings(b.column("text"))
-            counts, seen = hits_by_language(texts, f)
-            true = np.maximum((counts - seen[:, None] * f.false_rate) / (1.0 - f.false_rate), 0.0)
-            total = true.sum(axis=1)
-            names, scores = [], []
-            for r in range(len(texts)):
-                if not seen[r] or not f.languages:
-                    names.append(UNKNOWN)
-                    scores.append(0.0)
-                elif total[r] <= 0:
-                    names.append(f.languages[f.fallback])
-                    scores.append(0.0)
-                else:
-                    i = int(np.argmax(true[r]))
-                    names.append(f.languages[i])
-                    scores.append(float(true[r, i] / total[r]))
+            names, scores = _judged(_strings(b.column("text")), f)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=["doc_id", "lang_pred", "score"],
@@ -185,3 +189,17 @@ def predict_language(docs: DataFrame, f: Filters) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
         run, f"doc_id {kind}, lang_pred string, score double"
     )
+
+
+def keep_identified(docs: DataFrame, f: Filters, least: float) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose language is found with a score of `least` or more."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
+
+    def run(batches):
+        for b in batches:
+            names, scores = _judged(_strings(b.column("text")), f)
+            fine = [n != UNKNOWN and s >= least for n, s in zip(names, scores)]
+            yield pa.RecordBatch.from_arrays([b.column("row").filter(pa.array(fine, pa.bool_()))], names=["row"])
+
+    schema = f"row {rows.schema['row'].dataType.simpleString()}"
+    return rows.mapInArrow(run, schema).select("row.*")

@@ -249,3 +249,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return labelled.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` whose `doc_id` names its component; rows that share a `doc_id` stay or go together."""
+    stay = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(stay, docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")

@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, exact, language, mixing, neardup, quality, secrets, topk, urls
+from tidemill.llm import bpe, exact, language, mixing, neardup, passages, quality, secrets, topk, urls
 from tidemill.session import prepare
 
 QUERIES: dict = {}
@@ -151,6 +151,11 @@ def op7_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op8_repeated_passages")
+def op8_repeated_passages(spark, sf_dir):
+    return passages.remove_passages(table(spark, sf_dir, "documents")).drop("spans")
+
+
 @query("op9_top_k", """
 WITH vecs AS (
   SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
