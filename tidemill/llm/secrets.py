@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 # fixed values: the base patterns, their least lengths and the order of the kinds
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-ACCESS = r"AKIA[A-Z0-9]+"
-HEX = r"[0-9a-f]+"
+# runs are maximal, so the least length may stand in the pattern: a shorter run holds no match either way
+ACCESS = r"AKIA[A-Z0-9]{16,}"
+HEX = r"[0-9a-f]{24,}"
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 # candidates of the entropy scan, one pattern per character class, and the classes' thresholds in bits per character
