@@ -71,9 +71,42 @@ def test_forecasts_follow_the_season(seasonal, kind):
     assert np.abs(rows["mean"] - truth).mean() < 40
 
 
-def test_short_series_are_skipped(spark):
-    rows = [("a", d, 1.0) for d in months(10)]
-    assert series.seasonal_forecast(spark.createDataFrame(rows, "k string, date date, y double"), ["k"], "date", "y").count() == 0
+def test_every_series_gets_a_forecast(spark):
+    rows = [("a", d, float(i)) for i, d in enumerate(months(10))] + [("b", months(1)[0], 4.0)]
+    rows += [("c", d, 5.0 + i % 12) for i, d in enumerate(months(20))] + [("d", d, 7.0) for d in months(90)]
+    df = spark.createDataFrame(rows, "k string, date date, y double")
+    got = series.seasonal_forecast(df, ["k"], "date", "y").orderBy("k", "date").toPandas()
+    assert got.groupby("k").size().tolist() == [12] * 4
+    assert got.groupby("k").method.first().tolist() == ["drift", "last", "seasonal_naive", "seasonal"]
+    assert got[got.k == "a"]["mean"].tolist() == [10.0 + i for i in range(12)]
+    assert got[got.k == "c"]["mean"].tolist() == [5.0 + (20 + i) % 12 for i in range(12)]
+    assert (got[got.k == "d"]["mean"] == 7.0).all() and (got[got.k != "b"].rmse.abs() < 1e-9).all()
+    roots = series.unit_root(df, ["k"], "date", "y").toPandas().set_index(["k", "form"])
+    assert roots.loc[("b", "level"), "reason"] == "short" and roots.loc[("d", "level"), "reason"] == "constant"
+    assert series.partial_autocorrelation(df, ["k"], "date", "y").groupBy("k").count().collect()[0]["count"] == 37
+
+
+def test_order_search_finds_what_was_simulated():
+    """Series whose twice-differenced form is noise: no term beats none in most of them."""
+    draw = np.random.default_rng(3)
+    longest = series._longest_lag(series.ORDERS, 12)
+    found = []
+    for _ in range(60):
+        w = draw.normal(size=70)
+        flat = list(draw.normal(size=13))
+        for x in w:
+            flat.append(x + flat[-1] + flat[-12] - flat[-13])
+        fits = {o: series._fit_seasonal(np.array(flat), o, 12, longest) for o in series.ORDERS}
+        assert len({len(f[4]) for f in fits.values()}) == 1
+        found.append(min(fits, key=lambda o: (fits[o][0], o)))
+    assert sum(o == (0, 0, 0, 0) for o in found) >= 20
+    assert sum(sum(o) <= 2 for o in found) >= 36
+
+
+def test_fourier_forecast_of_negative_values(spark):
+    rows = [("a", d, float(-50.0 + 10 * np.sin(2 * np.pi * i / 12))) for i, d in enumerate(months(60))]
+    got = series.trend_fourier_forecast(spark.createDataFrame(rows, "k string, date date, y double"), ["k"], "date", "y")
+    assert all(-75 < r["mean"] < -25 for r in got.collect())
 
 
 @pytest.fixture(scope="module")
@@ -245,3 +278,17 @@ def test_denoising_beats_the_noise(spark):
     rows = [(i, [float(a) for a in base[i % 3]]) for i in range(90)]
     r = models.denoise(spark.createDataFrame(rows, "id int, v array<double>"), "id", "v", rank=3).first()
     assert r["n"] == 90 and r["mse_rebuilt"] < r["mse_noisy"]
+
+
+def test_gram_keeps_small_spreads_on_large_values(spark):
+    x = rng.normal(size=(400, 70)) * 1e-2 + 1e7
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], [f"c{i}" for i in range(70)])
+    for columns in (df.columns[:5], df.columns):
+        g = linalg.column_gram(df, columns)
+        assert np.allclose(g.covariance(), np.cov(x[:, : len(columns)].T), rtol=1e-4, atol=1e-9)
+
+
+def test_null_features_count_as_zero_in_fit_and_prediction(spark):
+    df = spark.createDataFrame([(1.0, 3.0), (None, 1.0), (2.0, 5.0), (4.0, 9.0), (9.0, None)], "x double, y double")
+    fit = features.linear_fit(df, ["x"], "y")
+    assert [round(r["p"], 6) for r in features.linear_predict(df.filter("y IS NOT NULL"), fit).collect()] == [3.0, 1.0, 5.0, 9.0]

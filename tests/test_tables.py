@@ -210,3 +210,6 @@ def test_psi_flags_a_shift(spark):
 def test_retrain_needs_two_weeks(spark):
     df = spark.createDataFrame([(1, 0.3), (2, 0.1), (3, 0.25), (4, 0.4)], "week int, psi double")
     assert [r["retrain"] for r in stats.consecutive_alerts(df, "week").orderBy("week").collect()] == [0, 0, 0, 1]
+    dated = spark.sql("SELECT date'2024-01-01' + INTERVAL 7 DAY * w AS week, 0.3 AS psi FROM VALUES (0), (1), (3), (4) AS t(w)")
+    dated = dated.withColumn("week", dated["week"].cast("date"))
+    assert [r["retrain"] for r in stats.consecutive_alerts(dated, "week").orderBy("week").collect()] == [0, 1, 0, 1]

@@ -108,10 +108,12 @@ def _standard_system(g: Gram, features: Sequence[str], target: str):
 def linear_fit(df: DataFrame, features: Sequence[str], target: str, ridge: float = 0.0) -> DataFrame:
     """Least squares, or ridge with penalty `ridge` on the sum of squares, on standardised features.
 
-    Coefficients are given for standardised features (`weight`) and in the units of the data.
+    Coefficients are given for standardised features (`weight`) and in the units of the data. A null
+    feature counts as 0, as it does in `linear_predict`; rows without a target are left out.
     """
     features = list(features)
-    g, a, b, scale = _standard_system(column_gram(df, [*features, target]), features, target)
+    filled = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features], target)
+    g, a, b, scale = _standard_system(column_gram(filled, [*features, target]), features, target)
     weights = np.linalg.lstsq(a + np.eye(len(features)) * ridge / g.n, b, rcond=None)[0]
     raw = weights / scale
     intercept = g.means[-1] - float(raw @ g.means[:-1])

@@ -20,34 +20,53 @@ MAX_DIMS = 2048
 
 @dataclass
 class Gram:
-    """Row count, column sums and products of pairs of columns."""
+    """Row count, column sums and products of pairs of columns, each column less an offset of its own.
+
+    The offset lies among the column's values, so nothing cancels in the covariance of columns far from 0.
+    """
 
     names: list[str]
     n: int
-    sums: np.ndarray
-    products: np.ndarray
+    offset: np.ndarray
+    deltas: np.ndarray
+    cross: np.ndarray
+
+    @property
+    def sums(self) -> np.ndarray:
+        return self.deltas + self.n * self.offset
+
+    @property
+    def products(self) -> np.ndarray:
+        mixed = np.outer(self.offset, self.deltas)
+        return self.cross + mixed + mixed.T + self.n * np.outer(self.offset, self.offset)
 
     @property
     def means(self) -> np.ndarray:
-        return self.sums / self.n
+        return self.offset + self.deltas / self.n
 
     def covariance(self, ddof: int = 1) -> np.ndarray:
-        return (self.products - np.outer(self.sums, self.sums) / self.n) / (self.n - ddof)
+        return (self.cross - np.outer(self.deltas, self.deltas) / self.n) / (self.n - ddof)
 
     def pick(self, names: Sequence[str]) -> Gram:
         at = [self.names.index(c) for c in names]
-        return Gram(list(names), self.n, self.sums[at], self.products[np.ix_(at, at)])
+        return Gram(list(names), self.n, self.offset[at], self.deltas[at], self.cross[np.ix_(at, at)])
 
 
 def column_gram(df: DataFrame, columns: Sequence[str]) -> Gram:
-    """Gram matrix of numeric columns from a single aggregate; rows with a null are left out."""
+    """Gram matrix of numeric columns; rows with a null are left out.
+
+    Up to 64 columns take a single aggregate, more go through `vector_gram`.
+    """
     columns = list(columns)
     d = len(columns)
-    if d > 64:
-        raise ValueError("use vector_gram for more than 64 columns")
-    pairs = [(i, j) for i in range(d) for j in range(i, d)]
     cols = [F.col(c).cast("double") for c in columns]
     rows = df.select(*[c.alias(f"x{i}") for i, c in enumerate(cols)]).na.drop()
+    if d > 64:
+        wide = vector_gram(rows.select(F.array(*rows.columns).alias("v")), "v")
+        return Gram(columns, wide.n, wide.offset, wide.deltas, wide.cross)
+    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+    offset = _first_values(rows.first(), d)
+    rows = rows.select(*[(F.col(f"x{i}") - F.lit(float(offset[i]))).alias(f"x{i}") for i in range(d)])
     row = rows.agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in range(d)],
         *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}_{j}") for i, j in pairs],
@@ -55,7 +74,12 @@ def column_gram(df: DataFrame, columns: Sequence[str]) -> Gram:
     products = np.zeros((d, d))
     for i, j in pairs:
         products[i, j] = products[j, i] = row[f"p{i}_{j}"] or 0.0
-    return Gram(columns, row["n"], np.array([row[f"s{i}"] or 0.0 for i in range(d)]), products)
+    return Gram(columns, row["n"], offset, np.array([row[f"s{i}"] or 0.0 for i in range(d)]), products)
+
+
+def _first_values(row, d: int) -> np.ndarray:
+    found = np.zeros(d) if row is None else np.array(list(row), dtype=float)
+    return np.where(np.isfinite(found), found, 0.0)
 
 
 def gram_cells(df: DataFrame, vector: str) -> DataFrame:
@@ -83,14 +107,20 @@ def gram_cells(df: DataFrame, vector: str) -> DataFrame:
 
 def vector_gram(df: DataFrame, vector: str) -> Gram:
     """Gram matrix and sums of a vector column, on the driver. A leading 1 carries the sums."""
-    d = df.select(F.size(vector)).first()[0]
+    first = df.select(F.col(vector).cast("array<double>")).filter(F.col(vector).isNotNull()).first()
+    if first is None:
+        return Gram([], 0, np.zeros(0), np.zeros(0), np.zeros((0, 0)))
+    d = len(first[0])
     if d > MAX_DIMS:
         raise ValueError(f"{d} dimensions; the driver holds at most {MAX_DIMS}")
-    one = F.concat(F.array(F.lit(1.0)), F.col(vector).cast("array<double>")).alias("v")
+    offset = _first_values(first[0], d)
+    # as many literals as the vector has dimensions
+    shifted = F.zip_with(F.col(vector).cast("array<double>"), F.array(*[F.lit(float(x)) for x in offset]), lambda x, o: x - o)
+    one = F.concat(F.array(F.lit(1.0)), shifted).alias("v")
     full = np.zeros((d + 1, d + 1))
     for r in gram_cells(df.select(one), "v").collect():
         full[r["i"], r["j"]] = r["v"]
-    return Gram([str(i) for i in range(d)], int(round(full[0, 0])), full[0, 1:], full[1:, 1:])
+    return Gram([str(i) for i in range(d)], int(round(full[0, 0])), offset, full[0, 1:], full[1:, 1:])
 
 
 def eigenpairs(matrix: np.ndarray, k: int):

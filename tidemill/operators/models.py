@@ -160,17 +160,17 @@ def denoise(df: DataFrame, key: str, vector: str, rank: int = 8, noise: float =
     The noise of a row depends on the seed and the row key alone, so a retried task repeats it.
     """
 
-    @F.pandas_udf("array<double>")
-    def disturb(keys: pd.Series, values: pd.Series) -> pd.Series:
-        out = []
-        for k, v in zip(keys, values):
-            v = np.asarray(v, dtype=float)
-            draw = np.random.default_rng([seed, abs(int(k))]).normal(0.0, noise, len(v))
-            out.append(np.clip(v + draw, 0.0, 1.0))
-        return pd.Series(out)
+    def uniform(i, part: int):
+        # the upper 53 bits of a hash, never 0
+        bits = F.shiftrightunsigned(F.xxhash64(F.col(key), i, F.lit(seed), F.lit(part)), 11)
+        return (bits + 1) / F.lit(float((1 << 53) + 1))
+
+    def disturbed(x, i):
+        draw = F.sqrt(-2 * F.ln(uniform(i, 0))) * F.cos(2 * F.pi() * uniform(i, 1))
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x + noise * draw))
 
     clean = F.col(vector).cast("array<double>")
-    rows = df.select(key, clean.alias("clean")).withColumn("noisy", disturb(F.col(key), F.col("clean")))
+    rows = df.select(key, clean.alias("clean")).withColumn("noisy", F.transform("clean", disturbed))
     rebuilt = low_rank(rows, "noisy", rank, "rebuilt")
     return rebuilt.agg(
         F.count(F.lit(1)).alias("n"), F.avg(mean_square("noisy", "clean")).alias("mse_noisy"),

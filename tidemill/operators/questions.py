@@ -222,14 +222,19 @@ def matching_fragments(names: DataFrame, name: str, fragments: DataFrame, fragme
         sent = spark.sparkContext.broadcast(words)
 
         def scan(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            machine = ahocorasick.Automaton()
+            # fragments that differ in letter case only are found together
+            spellings: dict[str, list[str]] = {}
             for w in sent.value:
-                machine.add_word(w.lower(), w)
+                if w:
+                    spellings.setdefault(w.lower(), []).append(w)
+            machine = ahocorasick.Automaton()
+            for low in spellings:
+                machine.add_word(low, low)
             if not len(machine):
                 return
             machine.make_automaton()
             for pdf in batches:
-                hits = [(n, w) for n in pdf["name"] for w in {w for _, w in machine.iter(n.lower())}]
+                hits = [(n, w) for n in pdf["name"].dropna() for low in {x for _, x in machine.iter(n.lower())} for w in spellings[low]]
                 yield pd.DataFrame(hits, columns=["name", fragment])
 
         found = rows.mapInPandas(scan, kind)

@@ -37,12 +37,16 @@ def _tokens(name: str, stop_words: Sequence[str] | None) -> Column:
     return texts.tokens(name) if stop_words is None else texts.tokens_and_bigrams(name, stop_words)
 
 
-def term_counts(chunks: DataFrame, key: str, text: str, stop_words: Sequence[str] | None = None) -> DataFrame:
-    """Counts per chunk and term, laid out by chunk."""
-    placed = chunks.select(F.col(key), F.col(text)).repartition(key)
-    return placed.select(key, F.explode(_tokens(text, stop_words)).alias("term")).groupBy(key, "term").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
+def term_counts(
+    chunks: DataFrame, key: str, text: str, stop_words: Sequence[str] | None = None, known: DataFrame | None = None
+) -> DataFrame:
+    """Counts per chunk and term, laid out by chunk. Texts do not move, and of the terms only those in `known (term, idf)`."""
+    each = chunks.select(key, F.explode(_tokens(text, stop_words)).alias("term"))
+    by = [key, "term"]
+    if known is not None:
+        # bounded by the vocabulary limit
+        each, by = each.join(F.broadcast(known.select("term", "idf")), "term"), [*by, "idf"]
+    return each.repartition(key).groupBy(*by).agg(F.count(F.lit(1)).alias("tf"))
 
 
 def fit_terms(chunks: DataFrame, key: str, text: str, max_terms: int = 4096, stop_words: Sequence[str] | None = None) -> DataFrame:
@@ -68,7 +72,7 @@ def term_weights(
 
     `terms` holds at most `max_terms` rows, which bounds the broadcast and the window.
     """
-    counts = term_counts(chunks, key, text, stop_words).join(F.broadcast(terms.select("term", "idf")), "term")
+    counts = term_counts(chunks, key, text, stop_words, terms)
     tf = 1 + F.ln(F.col("tf")) if sublinear else F.col("tf")
     raw = counts.select(key, "term", (tf * F.col("idf")).alias("raw"))
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
@@ -157,6 +161,8 @@ def search_vectors(
 
         found.append(units.mapInPandas(best, f"question {asked_kind}, id {kinds['id']}, score double"))
     order = Window.partitionBy("question").orderBy(F.desc("score"), "id")
+    if not found:
+        found = [spark.createDataFrame([], f"question {asked_kind}, id {kinds['id']}, score double")]
     merged = reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return merged.select(F.col("question").alias(question), F.col("id").alias(key), "score", "rank")
 

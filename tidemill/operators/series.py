@@ -136,11 +136,12 @@ def partial_autocorrelation(df: DataFrame, by: Sequence[str], date: str, y: str,
     """Partial autocorrelations by least squares on the lags, per series."""
 
     def solve(_dates, v):
-        top = min(lags, len(v) // 2 - 1)
-        out = [1.0]
+        # every lag has a row; beyond half the series there is nothing to regress on
+        top = max(min(lags, len(v) // 2 - 1), 0)
+        out: list[float | None] = [1.0] + [None] * lags
         for k in range(1, top + 1):
             x = np.column_stack([np.ones(len(v) - k)] + [v[k - j : len(v) - j] for j in range(1, k + 1)])
-            out.append(float(_ols(x, v[k:])[0][-1]))
+            out[k] = float(_ols(x, v[k:])[0][-1])
         return {"lag": list(range(len(out))), "pacf": out}
 
     return _per_series(df, by, date, y, "lag int, pacf double", solve)
@@ -198,23 +199,27 @@ def _adf(v: np.ndarray):
 
 
 def unit_root(df: DataFrame, by: Sequence[str], date: str, y: str, level: float = 0.05) -> DataFrame:
-    """Augmented Dickey-Fuller test of each series and of its first difference."""
+    """Augmented Dickey-Fuller test of each series and of its first difference.
+
+    A form that cannot be tested has a row with null statistics and the `reason`: `short` or `constant`.
+    """
 
     def solve(_dates, v):
         rows = []
         for form, values in (("level", v), ("difference", np.diff(v))):
             if len(values) < 8 or np.ptp(values) == 0:
+                rows.append((form, None, None, len(values), None, None, None, "short" if len(values) < 8 else "constant"))
                 continue
             t, lags, n = _adf(values)
             p = _tau_p(t)
             critical = sum(c / n**k for k, c in enumerate(_TAU_5PCT))
-            rows.append((form, t, lags, n, p, critical, int(p < level)))
-        names = ("form", "t", "lags", "n", "p", "critical_5pct", "stationary")
-        return {name: [r[i] for r in rows] for i, name in enumerate(names)}
+            rows.append((form, t, lags, n, p, critical, int(p < level), None))
+        names = ("form", "t", "lags", "n", "p", "critical_5pct", "stationary", "reason")
+        return {name: pd.Series([r[i] for r in rows], dtype=object) for i, name in enumerate(names)}
 
     return _per_series(
         df, by, date, y,
-        "form string, t double, lags int, n int, p double, critical_5pct double, stationary int", solve,
+        "form string, t double, lags int, n int, p double, critical_5pct double, stationary int, reason string", solve,
     )
 
 
@@ -230,26 +235,36 @@ def _backshift(p: int, seasonal: int, period: int) -> list[int]:
     return sorted({i + period * j for i in ordinary for j in long} - {0})
 
 
-def _fit_seasonal(v: np.ndarray, order, period: int):
+def _longest_lag(orders, period: int) -> int:
+    return max((max(p + period * sp, q + period * sq) for p, q, sp, sq in orders), default=0)
+
+
+def _fit_seasonal(v: np.ndarray, order, period: int, longest: int):
     """Two-step least squares on the twice-differenced series.
 
     Innovations come from a long autoregression; the second step regresses on lagged values and
-    lagged innovations. Returns AIC, coefficients, lags, the differenced series and innovations.
+    lagged innovations. All orders are fitted to the same rows: those that have the `longest` lag of any order behind
+    them, and an innovation at each lag. Returns AIC, coefficients, lags, the differenced series and innovations.
     """
+    if len(v) <= period + 1:
+        return None
     p, q, sp, sq = order
     w = np.diff(v)
     w = w[period:] - w[:-period]
     ar, ma = _backshift(p, sp, period), _backshift(q, sq, period)
     e = np.zeros(len(w))
-    if ma:
-        deep = min(period + 1, len(w) // 3)
+    deep = min(period + 1, len(w) // 3)
+    if ma and deep:
         x = np.column_stack([w[deep - j : len(w) - j] for j in range(1, deep + 1)])
         e[deep:] = _ols(x, w[deep:])[1]
-    skip = max(ar + ma, default=0)
+    # the first `deep` rows have no innovation
+    skip = deep + longest
     y = w[skip:]
     columns = [w[skip - j : len(w) - j] for j in ar] + [e[skip - j : len(w) - j] for j in ma]
     if len(y) <= len(columns) + 3:
         return None
+    if not np.any(w):
+        return -math.inf, np.zeros(len(columns)), ar, ma, w, e, 0.0
     if columns:
         beta, resid, _ = _ols(np.column_stack(columns), y)
     else:
@@ -287,7 +302,7 @@ def seasonal_order_search(
     """AIC of each seasonal order per series; series times orders is the parallel axis.
 
     Each series is first folded into one row (months are bounded by the calendar), so the
-    orders multiply rows of the size of a series, not of the source.
+    orders multiply rows of the size of a series, not of the source. A series that is too short for an order has a null AIC.
     """
     by = list(by)
     folded = df.groupBy(*by).agg(
@@ -295,25 +310,32 @@ def seasonal_order_search(
     )
     grid = F.array(*[F.array(*[F.lit(int(o)) for o in order]) for order in orders])
     work = folded.withColumn("ord", F.explode(grid)).repartition(*by, "ord")
+    longest = _longest_lag(orders, period)
 
     def fit(batches):
         for pdf in batches:
             scores = []
             for values, order in zip(pdf["values"], pdf["ord"]):
                 v = np.asarray(values, dtype=float)
-                found = _fit_seasonal(v, [int(o) for o in order], period) if len(v) > 2 * period + 3 else None
+                found = _fit_seasonal(v, [int(o) for o in order], period, longest)
                 scores.append(None if found is None else found[0])
             yield pdf.drop(columns=["values"]).assign(aic=pd.array(scores, dtype="Float64").astype(object))
 
-    return work.mapInPandas(fit, _schema(df, by, "ord array<int>, aic double")).filter(F.col("aic").isNotNull())
+    return work.mapInPandas(fit, _schema(df, by, "ord array<int>, aic double"))
 
 
 def seasonal_forecast(
     df: DataFrame, by: Sequence[str], date: str, y: str, steps: int = 12, orders=ORDERS, period: int = 12
 ) -> DataFrame:
-    """Forecast of each series with its order of least AIC, with 80 % bounds."""
+    """Forecast of every series with its order of least AIC, with 80 % bounds and the error of the fit.
+
+    `method` says how a row came about: `seasonal` by the order search; a series too short for it gets
+    `seasonal_naive` (last year plus its mean yearly step), `drift` (last value plus the mean step) or `last`.
+    `rmse` is the root of the mean squared residual. Bounds are null where one value says nothing of the spread.
+    """
     by = list(by)
-    scores = seasonal_order_search(df, by, date, y, orders, period)
+    scores = seasonal_order_search(df, by, date, y, orders, period).filter(F.col("aic").isNotNull())
+    longest = _longest_lag(orders, period)
     best = scores.groupBy(*by).agg(F.min_by("ord", F.struct("aic", "ord")).alias("ord"))
     joined = df.join(best, by, "left").select(*by, date, y, F.coalesce("ord", F.array(*[F.lit(i) for i in DEFAULT_ORDER])).alias("ord"))
 
@@ -321,25 +343,43 @@ def seasonal_forecast(
         pdf = pdf.sort_values(date)
         v = pdf[y].to_numpy(dtype=float)
         order = [int(o) for o in pdf["ord"].iloc[0]]
-        fit = _fit_seasonal(v, order, period) if len(v) > 2 * period + 3 else None
+        fit = _fit_seasonal(v, order, period, longest)
         if fit is None:
-            mean, spread = np.full(steps, np.nan), np.full(steps, np.nan)
+            method, mean, spread, rmse = _simple_forecast(v[~np.isnan(v)], period, steps)
         else:
+            method, rmse = "seasonal", math.sqrt(fit[-1])
             mean, spread = _project(v, fit, period, steps)
         start = pd.to_datetime(pdf[date].iloc[-1])
         dates = [(start + pd.DateOffset(months=k)).date() for k in range(1, steps + 1)]
-        out = pd.DataFrame({"date": dates, "mean": mean, "lower": mean - Z80 * spread, "upper": mean + Z80 * spread})
+        out = pd.DataFrame({
+            "date": dates, "mean": mean, "lower": mean - Z80 * spread, "upper": mean + Z80 * spread, "method": method, "rmse": rmse,
+        })
         for name, value in zip(by, key):
             out[name] = value
         return out
 
-    return (
-        joined.groupBy(*by)
-        .applyInPandas(run, _schema(df, by, "date date, mean double, lower double, upper double"))
-        .filter(F.col("mean").isNotNull() & ~F.isnan("mean"))
+    return joined.groupBy(*by).applyInPandas(
+        run, _schema(df, by, "date date, mean double, lower double, upper double, method string, rmse double")
     )
 
 
+def _simple_forecast(v: np.ndarray, period: int, steps: int):
+    """(method, points, deviations, residual error) for a series that is too short for a seasonal order."""
+    ahead = np.arange(1, steps + 1)
+    if len(v) > period + 1:
+        change = v[period:] - v[:-period]
+        years = (ahead - 1) // period + 1
+        mean = v[len(v) - period + (ahead - 1) % period] + years * change.mean()
+        rmse = float(np.std(change))
+        return "seasonal_naive", mean, rmse * np.sqrt(years), rmse
+    if len(v) > 1:
+        change = np.diff(v)
+        rmse = float(np.std(change)) if len(change) > 1 else None
+        spread = np.full(steps, np.nan) if rmse is None else rmse * np.sqrt(ahead)
+        return "drift", v[-1] + ahead * change.mean(), spread, rmse
+    return "last", np.full(steps, v[-1] if len(v) else np.nan), np.full(steps, np.nan), None
+
+
 def _fourier(days: np.ndarray, yearly: int, monthly: int) -> np.ndarray:
     terms = [np.ones_like(days), days / 365.25]
     for span, order in ((365.25, yearly), (30.5, monthly)):
@@ -353,32 +393,38 @@ def trend_fourier_forecast(
     df: DataFrame, by: Sequence[str], date: str, y: str, steps: int = 12, yearly: int = 3, monthly: int = 5,
     penalty: float = 0.1,
 ) -> DataFrame:
-    """Trend times season: log values on a line and Fourier terms, least squares with a small penalty."""
+    """Trend and season: a line and Fourier terms, least squares with a small penalty.
+
+    The terms multiply where no value of a series is negative (they fit `log(1 + y)`), and add up where one is.
+    """
 
     def solve(dates, v):
         base = dates.iloc[0]
         x = _fourier((dates - base).dt.days.to_numpy(dtype=float), yearly, monthly)
-        target = np.log(np.maximum(v, 1.0))
+        there = ~np.isnan(v)
+        x, v = x[there], v[there]
+        times = len(v) > 0 and bool((v >= 0).all())
+        target = np.log1p(v) if times else v
         shrink = np.full(x.shape[1], penalty)
         shrink[:2] = 0.0
         beta = np.linalg.solve(x.T @ x + np.diag(shrink + 1e-9), x.T @ target)
-        noise = float(np.std(target - x @ beta))
+        noise = float(np.std(target - x @ beta)) if len(v) else math.nan
+        back = np.expm1 if times else np.asarray
         ahead = pd.Series([dates.iloc[-1] + pd.DateOffset(months=k) for k in range(1, steps + 1)])
         mean = _fourier((ahead - base).dt.days.to_numpy(dtype=float), yearly, monthly) @ beta
         return {
-            "date": ahead.dt.date, "mean": np.exp(mean), "lower": np.exp(mean - Z80 * noise),
-            "upper": np.exp(mean + Z80 * noise),
+            "date": ahead.dt.date, "mean": back(mean), "lower": back(mean - Z80 * noise), "upper": back(mean + Z80 * noise),
         }
 
     return _per_series(df, by, date, y, "date date, mean double, lower double, upper double", solve)
 
 
 def align_forecasts(a: DataFrame, b: DataFrame, on: Sequence[str], names=("seasonal", "fourier")) -> DataFrame:
-    """One row per key and date with both models' mean, lower and upper."""
+    """One row per key and date of either model with both models' mean, lower and upper."""
     measures = ("mean", "lower", "upper")
     left = a.select(*on, *[F.col(m).alias(f"{names[0]}_{m}") for m in measures])
     right = b.select(*on, *[F.col(m).alias(f"{names[1]}_{m}") for m in measures])
-    return left.join(right, list(on))
+    return left.join(right, list(on), "full")
 
 
 def naive_predictions(df: DataFrame, by: Sequence[str], date: str, y: str) -> DataFrame:

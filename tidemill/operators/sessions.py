@@ -49,10 +49,13 @@ def _transfer(times: np.ndarray, start: int, ttl: int):
     """
     n = len(times)
     nxt = np.searchsorted(times, times + ttl, side="right")
-    last = np.arange(n)
-    for i in range(n - 1, -1, -1):
-        if nxt[i] < n:
-            last[i] = last[nxt[i]]
+    # pointers double until each leads to the end of its chain
+    last = np.where(nxt < n, nxt, np.arange(n))
+    while True:
+        further = last[last]
+        if np.array_equal(further, last):
+            break
+        last = further
     entries = min(int(np.searchsorted(times, start + ttl, side="right")) + 1, n)
     ends = times[last[:entries]]
     keep = np.append(ends[1:] != ends[:-1], True)

@@ -133,11 +133,18 @@ def drift_status(column) -> Column:
     return F.when(c > 0.2, "Major").when(c > 0.1, "Minor").otherwise("Stable")
 
 
-def consecutive_alerts(weekly: DataFrame, period: str, psi: str = "psi", limit: float = 0.2) -> DataFrame:
-    """Retrain flag: above the limit in two periods running. One row per period comes in."""
+def consecutive_alerts(weekly: DataFrame, period: str, psi: str = "psi", limit: float = 0.2, days: int = 7) -> DataFrame:
+    """Retrain flag: above the limit in two periods running. One row per period comes in.
+
+    Where `period` is a date, a row only follows on one that lies `days` days before it: a gap ends the run.
+    """
     w = Window.orderBy(period)
     high = (F.col(psi) > limit).cast("int")
-    return weekly.withColumn("retrain", (high * F.coalesce(F.lag(high).over(w), F.lit(0))).cast("int"))
+    before = F.coalesce(F.lag(high).over(w), F.lit(0))
+    if dict(weekly.dtypes)[period] in ("date", "timestamp"):
+        gap = F.datediff(F.col(period), F.lag(period).over(w))
+        before = F.when(gap == days, before).otherwise(0)
+    return weekly.withColumn("retrain", (high * before).cast("int"))
 
 
 # Multipliers of the integer mixer and the strides, all prime and above any row count in use.

@@ -106,11 +106,16 @@ def sentence_chunks(docs: DataFrame, key: str, text: str, size: int = 800, overl
     """
     split = docs.select(key, texts.sentences(text).alias("s"))
     packed = split.withColumn("b", _pack(size, overlap)(F.transform("s", F.length)))
-    each = packed.select(key, "s", F.posexplode("b").alias("chunk_index", "b"))
-    return each.select(
-        key, "chunk_index", F.col("b.start").alias("start"), F.col("b.stop").alias("stop"),
-        F.array_join(F.slice("s", F.col("b.start") + 1, F.col("b.stop") - F.col("b.start")), " ").alias("text"),
-    ).withColumn("chunk_id", F.concat(F.col(key).cast("string"), F.lit("::chunk"), F.col("chunk_index").cast("string")))
+    # the chunks' texts are made before the rows are multiplied, so no row carries the document
+    joined = F.transform(
+        "b",
+        lambda b: F.struct(
+            b["start"].alias("start"), b["stop"].alias("stop"),
+            F.array_join(F.slice(F.col("s"), b["start"] + 1, b["stop"] - b["start"]), " ").alias("text"),
+        ),
+    )
+    each = packed.select(key, joined.alias("c")).select(key, F.posexplode("c").alias("chunk_index", "c"))
+    return each.select(key, "chunk_index", "c.start", "c.stop", "c.text").withColumn("chunk_id", F.concat(F.col(key).cast("string"), F.lit("::chunk"), F.col("chunk_index").cast("string")))
 
 
 def sections(docs: DataFrame, key: str, text: str, title: str) -> DataFrame:
@@ -151,7 +156,10 @@ def windows(column, size: int, overlap: int) -> Column:
 def window_chunks(parts: DataFrame, key: str, size: int = 800, overlap: int = 120) -> DataFrame:
     """Fixed windows over section bodies, each with a header line naming document and section."""
     starts = windows(F.col("body"), size, overlap)
-    each = parts.withColumn("__n", F.size(starts)).select("*", F.posexplode(starts).alias("piece", "__at"))
+    # the pieces are cut before the rows are multiplied, so no row carries the body
+    cut_up = F.transform(starts, lambda at: texts.strip(F.substring(F.col("body"), at + 1, F.lit(size))))
+    bodies = parts.withColumn("__n", F.size(starts)).withColumn("__pieces", cut_up).drop("body")
+    each = bodies.select(*[c for c in bodies.columns if c != "__pieces"], F.posexplode("__pieces").alias("piece", "__piece"))
     suffix = F.concat(
         F.lit("-"), F.coalesce("section_number", F.lit("full")),
         F.when(F.col("__n") > 1, F.concat(F.lit("."), F.col("piece").cast("string"))).otherwise(""),
@@ -160,8 +168,7 @@ def window_chunks(parts: DataFrame, key: str, size: int = 800, overlap: int = 12
         F.lit("["), "title", F.lit(". "), "title",
         F.coalesce(F.concat(F.lit(" — Section "), "section_number", F.lit(": "), "section_title"), F.lit("")), F.lit("]\n"),
     )
-    piece = texts.strip(F.substring(F.col("body"), F.col("__at") + 1, F.lit(size)))
     return each.select(
         F.concat(F.col(key).cast("string"), suffix).alias("chunk_id"), key, "title", "section_number", "section_title",
-        F.concat(header, piece).alias("text"),
+        F.concat(header, "__piece").alias("text"),
     )

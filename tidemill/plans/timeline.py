@@ -201,7 +201,7 @@ def _(spark, sf):
 @query("j5_forecast_alignment")
 def _(spark, sf):
     data = filled(spark, sf)
-    a = series.seasonal_forecast(data, BY, "date", "y", orders=[series.DEFAULT_ORDER])
+    a = series.seasonal_forecast(data, BY, "date", "y")
     b = series.trend_fourier_forecast(data, BY, "date", "y")
     return day_text(series.align_forecasts(a, b, [*BY, "date"]))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +37,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`. Only a local master may fall back to a temp folder."""
+    """The folder named by `spark.checkpoint.dir`. Only a local master may fall back to the warehouse folder."""
     context = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
     if not root:
@@ -47,7 +46,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             return current.rsplit("/", 1)[0]
         if not context.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="tidemill-")
+        # one machine: the warehouse folder is as shared as any
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     if not context.getCheckpointDir():
         context.setCheckpointDir(root)
     return root

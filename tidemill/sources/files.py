@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.functions.scalars import title_case
+
 DOCUMENT_TYPES = ("md", "txt")
 
 
@@ -34,15 +36,15 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str, multi_
     return spark.read.schema(schema).json(path, multiLine=multi_line)
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row per Markdown or plain-text file below `path`: id, title, source path and text.
+def read_documents(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+    """One row per Markdown or plain-text file in `path`, and with `recursive` below it: id, title, source path and text.
 
-    The title is the first `# ` line, else the file stem in title case. Bytes that are not
+    The title is the first `# ` line, else the file stem with every run of letters in title case. Bytes that are not
     valid UTF-8 are dropped.
     """
     raw = (
         spark.read.options(
-            recursiveFileLookup=True, pathGlobFilter="*.{" + ",".join(DOCUMENT_TYPES) + "}"
+            recursiveFileLookup=recursive, pathGlobFilter="*.{" + ",".join(DOCUMENT_TYPES) + "}"
         )
         .text(path, wholetext=True)
         .select(
@@ -54,7 +56,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     heading = F.trim(F.regexp_extract("text", r"(?m)^#[ \t]+(.+)$", 1))
     return raw.select(
         "doc_id",
-        F.when(heading != "", heading).otherwise(F.initcap(F.replace("doc_id", F.lit("_"), F.lit(" ")))).alias("title"),
+        F.when(heading != "", heading).otherwise(title_case(F.replace("doc_id", F.lit("_"), F.lit(" ")))).alias("title"),
         "source_path",
         "text",
     )

@@ -36,14 +36,14 @@ def run_available(stream: DataFrame, output: str, mode: str = "append", checkpoi
 def write_slices(df: DataFrame, path: str, order: str, slices: int = 4, files: int = 4) -> None:
     """Write a table slice by slice of `order`, oldest first, each as `files` files.
 
-    Reading `files` files per batch then gives one batch per slice.
+    Reading `files` files per batch then gives one batch per slice. Rows without a value of `order` are in the first slice.
     """
     edges = df.agg(F.percentile_approx(order, [i / slices for i in range(1, slices)], 1000)).first()[0]
-    bounds = [None, *edges, None]
+    bounds = [None, *(edges or []), None]
     for low, high in zip(bounds, bounds[1:]):
         part = df
         if low is not None:
             part = part.filter(F.col(order) > F.lit(low))
         if high is not None:
-            part = part.filter(F.col(order) <= F.lit(high))
+            part = part.filter((F.col(order) <= F.lit(high)) | F.col(order).isNull() if low is None else F.col(order) <= F.lit(high))
         part.repartition(files).write.mode("append").parquet(path)
