@@ -192,7 +192,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("long"), text.alias("text")).withColumn("th", F.xxhash64("text"))
     segments = cut(keyed.mapInArrow(_segment_rows, SEGMENTS))
-    repeated = segments.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
+    # a written table, so the join deals both sides itself and can split the rows of a frequent anchor
+    repeated = cut(segments.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h"))
     kept = cut(segments.join(repeated, "h", "left_semi"))
     first = F.min(F.struct("doc_id", "th", "s", "m", "n"))
     classes = kept.groupBy("h", "dig").agg(F.count(F.lit(1)).alias("c"), first.alias("rep"))
