@@ -45,13 +45,20 @@ def shapes(text: bytes) -> bytes:
 
 
 def _grams(texts: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, slot) of all words and word pairs, lower-cased and as shapes, rows ascending."""
+    """(row, slot) of all words and word pairs, lower-cased and as shapes, rows ascending.
+
+    A pair of equal words has the slot of all such pairs besides its own.
+    """
     rows, slots = [], []
     for salt, seen in enumerate(([t.lower() for t in texts], [shapes(t) for t in texts])):
         docs, words = word_hashes(seen)
         for r, h in ((docs, words), gram_hashes(docs, words, 2)):
             rows.append(r)
             slots.append((mix(h + np.uint64(salt)) >> np.uint64(64 - bits)).astype(np.int64))
+        if salt == 0:
+            again = np.flatnonzero((words[1:] == words[:-1]) & (docs[1:] == docs[:-1]))
+            rows.append(docs[again])
+            slots.append(np.zeros(len(again), dtype=np.int64))
     rows, slots = np.concatenate(rows), np.concatenate(slots)
     order = np.argsort(rows, kind="stable")
     return rows[order], slots[order]
