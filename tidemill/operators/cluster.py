@@ -15,6 +15,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.operators.models import side_by_side
 from tidemill.operators.ordering import global_index
 from tidemill.session import cut
 
@@ -25,16 +26,23 @@ def with_vector(df: DataFrame, columns: Sequence[str], name: str = "features") -
 
 def kmeans_inertia(df: DataFrame, ks: Sequence[int] = range(2, 11), restarts: int = 10, seed: int = 42) -> DataFrame:
     """Least within-cluster sum of squares over `restarts` seeds for each k."""
-    rows = []
-    for k in ks:
-        costs = [KMeans(k=k, seed=seed + r).fit(df).summary.trainingCost for r in range(restarts)]
-        rows.append((int(k), float(min(costs))))
+    fits = _fits(df, [(k, seed + r) for k in ks for r in range(restarts)])
+    rows = [(int(k), float(min(m.summary.trainingCost for (own, _), m in fits if own == k))) for k in ks]
     return df.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 
+def _fits(df: DataFrame, settings: Sequence[tuple[int, int]]) -> list:
+    """Fitted models by `(k, seed)`: a few fits run side by side over the rows, which are read once."""
+    kept = df.persist()
+    try:
+        return list(zip(settings, side_by_side(lambda s: KMeans(k=s[0], seed=s[1]).fit(kept), settings)))
+    finally:
+        kept.unpersist()
+
+
 def kmeans_labels(df: DataFrame, k: int = 3, restarts: int = 10, seed: int = 42) -> DataFrame:
     """Labels of the best of `restarts` fits."""
-    models = [KMeans(k=k, seed=seed + r).fit(df) for r in range(restarts)]
+    models = [m for _, m in _fits(df, [(k, seed + r) for r in range(restarts)])]
     best = min(models, key=lambda m: m.summary.trainingCost)
     return best.transform(df).withColumnRenamed("prediction", "cluster")
 

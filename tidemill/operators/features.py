@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -131,6 +132,12 @@ def linear_predict(df: DataFrame, fit: DataFrame, name: str = "p") -> DataFrame:
     return df.withColumn(name, F.greatest(out, F.lit(0.0)))
 
 
+def scaled(model, name: str = "scaled") -> Pipeline:
+    """`model` behind a scaler that centres the features and gives them unit deviation."""
+    scaler = StandardScaler(inputCol=model.getFeaturesCol(), outputCol=name, withMean=True)
+    return Pipeline(stages=[scaler, model.copy().setFeaturesCol(name)])
+
+
 def lasso_model(alpha: float = 50.0, max_iter: int = 5000) -> LinearRegression:
     """Estimator for 1/(2n) |y - Xw|² + alpha |w|₁; give it standardised features."""
     return LinearRegression(elasticNetParam=1.0, regParam=alpha, maxIter=max_iter, standardization=False, solver="auto")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import random
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -19,6 +20,16 @@ from tidemill.functions.arrays import mean_square
 from tidemill.operators.aggregates import error_metrics
 from tidemill.operators.linalg import low_rank
 from tidemill.operators.ordering import chronological_split, expanding_folds
+from tidemill.session import cut
+
+
+FITS = 4  # fits that run at the same time
+
+
+def side_by_side(fn, items: Sequence) -> list:
+    """`fn` of each item, in order, a few at a time: small fits leave most of a cluster idle on their own."""
+    with ThreadPool(FITS) as pool:
+        return pool.map(fn, items, 1)
 
 
 def random_forest(trees: int = 200, depth: int = 12, leaf: int = 3, seed: int = 42) -> RandomForestRegressor:
@@ -53,12 +64,13 @@ def importances(spark: SparkSession, model, names: Sequence[str], top: int = 20)
 
 def fold_scores(estimator: Estimator, folds: DataFrame, count: int = 5) -> list[float]:
     """R² of each fold of a frame with `fold` and `role` columns."""
-    scores = []
-    for i in range(count):
+
+    def score(i: int) -> float:
         one = folds.filter(F.col("fold") == i)
-        scored = estimator.fit(one.filter("role = 'train'")).transform(one.filter("role = 'test'"))
-        scores.append(error_metrics(scored, "label", "prediction").first()["r2"])
-    return scores
+        scored = estimator.copy().fit(one.filter("role = 'train'")).transform(one.filter("role = 'test'"))
+        return error_metrics(scored, "label", "prediction").first()["r2"]
+
+    return side_by_side(score, range(count))
 
 
 def cross_validate(estimators: dict[str, Estimator], folds: DataFrame, count: int = 5) -> DataFrame:
@@ -125,18 +137,21 @@ def learning_curve(
     estimator: Estimator, rows: DataFrame, keys: Sequence[str], sizes: int = 10, folds: int = 5
 ) -> DataFrame:
     """R² on training and validation rows for growing parts of each time fold's training rows."""
-    tagged = expanding_folds(rows, *keys, folds=folds)
+    tagged = cut(expanding_folds(rows, *keys, folds=folds))
     counts = {r["fold"]: r["n"] for r in tagged.filter("role = 'train'").groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
-    out = []
-    for step in range(1, sizes + 1):
-        for fold in range(folds):
-            one = tagged.filter(F.col("fold") == fold)
-            limit = max(int(counts[fold] * step / sizes), 1)
-            train = one.filter((F.col("role") == "train") & (F.col("row_index") < limit))
-            model = estimator.fit(train)
-            for role, part in (("train", train), ("validation", one.filter("role = 'test'"))):
-                r2 = error_metrics(model.transform(part), "label", "prediction").first()["r2"]
-                out.append((step / sizes, fold, role, r2))
+
+    def score(step_and_fold: tuple[int, int]) -> list[tuple]:
+        step, fold = step_and_fold
+        one = tagged.filter(F.col("fold") == fold)
+        limit = max(int(counts[fold] * step / sizes), 1)
+        train = one.filter((F.col("role") == "train") & (F.col("row_index") < limit))
+        model = estimator.copy().fit(train)
+        parts = (("train", train), ("validation", one.filter("role = 'test'")))
+        r2 = lambda part: error_metrics(model.transform(part), "label", "prediction").first()["r2"]
+        return [(step / sizes, fold, role, r2(part)) for role, part in parts]
+
+    each = side_by_side(score, [(step, fold) for step in range(1, sizes + 1) for fold in range(folds)])
+    out = [row for rows_ in each for row in rows_]
     scores = rows.sparkSession.createDataFrame(out, "share double, fold int, role string, r2 double")
     return scores.groupBy("share", "role").agg(F.avg("r2").alias("mean_r2"), F.stddev_pop("r2").alias("std_r2"))
 

@@ -145,7 +145,7 @@ def _matrix(spark, sf):
 def _(spark, sf):
     data = ordering.chronological_split(_matrix(spark, sf), *KEYS)
     train, test = data.filter("role = 'train'"), data.filter("role = 'test'")
-    p = models.fit_predict(models.random_forest(trees=20, depth=6), train, test, "forest")
+    p = models.fit_predict(models.random_forest(), train, test, "forest")
     return p.select("region", "model", F.col("date").cast("string").alias("date"), "y", "p")
 
 
@@ -153,7 +153,7 @@ def _(spark, sf):
 def _(spark, sf):
     rows = deliveries(spark, sf).drop("range_km", "co2", "production", "date", "region", "model")
     names = features.numeric_features(rows, ["deliveries", *LEFT_OUT])
-    fitted = models.random_forest(trees=20, depth=6).fit(features.feature_matrix(rows, "deliveries", LEFT_OUT))
+    fitted = models.random_forest().fit(features.feature_matrix(rows, "deliveries", LEFT_OUT))
     return models.importances(spark, fitted, names)
 
 
@@ -161,7 +161,7 @@ def _(spark, sf):
 def _(spark, sf):
     data = ordering.chronological_split(_matrix(spark, sf), *KEYS)
     train, test = data.filter("role = 'train'"), data.filter("role = 'test'")
-    p = models.fit_predict(models.boosted_trees(rounds=10), train, test, "boosted")
+    p = models.fit_predict(models.boosted_trees(), train, test, "boosted")
     return p.select("region", "model", F.col("date").cast("string").alias("date"), "y", "p")
 
 
@@ -169,7 +169,7 @@ def _(spark, sf):
 def _(spark, sf):
     folds = cut(models.contiguous_roles(ordering.contiguous_folds(_matrix(spark, sf), *KEYS)))
     return models.cross_validate(
-        {"forest": models.random_forest(trees=10, depth=5), "lasso": features.lasso_model(alpha=1.0)}, folds
+        {"forest": models.random_forest(trees=10, depth=5), "lasso": features.scaled(features.lasso_model())}, folds
     )
 
 
@@ -182,7 +182,7 @@ def _(spark, sf):
 
 @query("m10_learning_curve")
 def _(spark, sf):
-    return models.learning_curve(features.lasso_model(alpha=1.0), _matrix(spark, sf), KEYS, sizes=4, folds=2)
+    return models.learning_curve(features.scaled(features.lasso_model()), _matrix(spark, sf), KEYS)
 
 
 @query("m12_feature_matrix")
@@ -197,7 +197,7 @@ def _(spark, sf):
 @query("s7_model_round_trip")
 def _(spark, sf):
     data = deliveries(spark, sf).select("region", "model", "date", "price", "stations", F.col("deliveries").cast("double").alias("label"))
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=["price", "stations"], outputCol="features"), features.lasso_model(alpha=1.0)])
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=["price", "stations"], outputCol="features"), features.scaled(features.lasso_model(alpha=1.0))])
     root = scratch_path(spark, "models")
     files.save_model(pipe.fit(data), root, "lasso")
     scored = files.load_model(root, "lasso").transform(data)
@@ -213,12 +213,12 @@ def _scaled_clients(spark, sf):
 
 @query("c1_kmeans_inertia")
 def _(spark, sf):
-    return cluster.kmeans_inertia(cut(_scaled_clients(spark, sf)), ks=range(2, 6), restarts=2)
+    return cluster.kmeans_inertia(cut(_scaled_clients(spark, sf)))
 
 
 @query("c1_kmeans_labels")
 def _(spark, sf):
-    return cluster.kmeans_labels(cut(_scaled_clients(spark, sf)), 3, restarts=2).select("id", "cluster")
+    return cluster.kmeans_labels(cut(_scaled_clients(spark, sf)), 3).select("id", "cluster")
 
 
 CENTRES_SQL = """cells AS (SELECT vec_id, label, unnest(CAST(embedding AS DOUBLE[])) AS v, unnest(range(len(embedding))) AS i FROM embeddings),
