@@ -89,8 +89,12 @@ def train_filters(docs: DataFrame, sample: int = SAMPLE, per_language: int = GRA
     Only documents that `learnable` allows are read, at most `sample` per language (the smallest hashed identifiers).
     What reaches the driver is one row per position of the filter, a bound that does not depend on the data.
     """
-    place = F.xxhash64("doc_id")
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
     usable = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & learnable()).select("doc_id", "lang")
+    # hashes are even: twice the sample is let through to the ranking, whatever the size of a language
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("__n"))
+    near = place * F.col("__n") < F.lit(2 * sample * (1 << 20))
+    usable = usable.join(counts, "lang").filter(near)
     order = Window.partitionBy("lang").orderBy(place, "doc_id")
     few = usable.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= sample).select("doc_id").distinct()
     # bounded by the sample size times the number of languages
