@@ -9,7 +9,7 @@ from tests.harness import compare
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # estimators that take long and have no SQL; covered by tests of their own
-SLOW = {"m9_search", "m10_learning_curve", "c1_kmeans_inertia", "m9_cross_validation"}
+SLOW = {"m8_boosted_trees", "m9_search", "m10_learning_curve", "c1_kmeans_inertia", "m9_cross_validation"}
 
 
 def test_oracles_belong_to_queries():
