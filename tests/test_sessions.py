@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import sessions
 from tidemill.streaming import stateful
-from tidemill.streaming.runner import read_stream, run_available
+from tidemill.streaming.runner import read_stream, run_available, write_slices
 
 START = dt.datetime(2024, 1, 1)
 
@@ -83,3 +83,20 @@ def test_history_stream_across_batches(spark, tmp_path):
     assert written.select("batch").distinct().count() == 3
     got = stateful.history_rows(written, "s").orderBy("position").collect()
     assert [r["text"] for r in got] == ["m5", "m6", "m7", "m8"]
+
+
+def test_late_rows_repeat_only_what_is_near_and_keep_the_stored_time(spark, tmp_path):
+    rows = [("a", START + dt.timedelta(seconds=s), i) for i, s in enumerate((1000, 1400, 1050, 1500, 1200))]
+    path = str(tmp_path / "in")
+    batches(spark, path, rows, "k string, ts timestamp_ntz, id int", [1] * 5)
+    stream = stateful.suppress_stream(read_stream(spark, path, spark.read.parquet(path).schema, 1), ["k"], "ts", "id", 300)
+    out = run_available(stream, str(tmp_path / "out"), "append", str(tmp_path / "state"))
+    assert {r["id"]: r["repeat"] for r in out.collect()} == {0: 0, 1: 0, 2: 0, 3: 1, 4: 1}
+
+
+def test_slices_keep_rows_without_order(spark, tmp_path):
+    df = spark.createDataFrame([(i, i if i % 5 else None) for i in range(21)], "id int, at int")
+    write_slices(df, str(tmp_path / "s"), "at", 3)
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "s")).collect()) == list(range(21))
+    write_slices(df.filter("at IS NULL"), str(tmp_path / "n"), "at", 3)
+    assert spark.read.parquet(str(tmp_path / "n")).count() == 5

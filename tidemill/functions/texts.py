@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Character sets that must match the way the results are defined.
-LINE_BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
+LINE_BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 EDGE_BLANKS = r"(?U)^\s+|\s+$"
 SENTENCE_GAP = r"(?U)(?<=[.!?])\s+"
 WORD = r"[\p{L}\p{N}_]+"
@@ -16,6 +16,7 @@ LONG_WORD = r"[\p{L}\p{N}_]{2,}"
 PUNCTUATION = r"""[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~\t\n]"""
 SECTION_HEADER = r"(?md)^##\s+(\d+)\.\s+(.+)$"
 
+# The words that the extractive answers pass over.
 STOP_WORDS = (
     "the", "is", "are", "a", "an", "of", "to", "in", "and", "what", "how",
     "why", "does", "do", "did", "for", "on", "with", "this", "that", "it",

@@ -174,11 +174,23 @@ def source_rows(found: DataFrame, chunks: DataFrame, chunk: str = "chunk_id") ->
     )
 
 
-def relevance_gate(found: DataFrame, questions: DataFrame, threshold: float = 0.15, chunk: str = "chunk_id") -> DataFrame:
-    """Per question: answered or declined by the best score, and the citations in rank order."""
+def relevance_gate(
+    found: DataFrame, questions: DataFrame, threshold: float = 0.15, chunk: str = "chunk_id", chunks: DataFrame | None = None,
+    document: str = "doc_id",
+) -> DataFrame:
+    """Per question: answered or declined by the best score, and the citations in rank order.
+
+    With `chunks` (as `window_chunks` makes them) a citation also names document, section and title.
+    """
+    fields = [F.col("rank"), F.col(chunk).alias("chunk")]
+    if chunks is not None:
+        names = [F.col(document).cast("string").alias("document"), F.col("section_number").alias("section"), F.col("title")]
+        found = found.join(chunks.select(chunk, *names), chunk)
+        fields += [F.col("document"), F.col("section"), F.col("title")]
+    # at most `k` citations per question
     cites = found.groupBy("question_id").agg(
         F.max("score").alias("best"),
-        F.sort_array(F.collect_list(F.struct("rank", F.col(chunk).alias("chunk"), F.round("score", 3).alias("score")))).alias("citations"),
+        F.sort_array(F.collect_list(F.struct(*fields, F.round("score", 3).alias("score")))).alias("citations"),
     )
     joined = questions.select("question_id").distinct().join(cites, "question_id", "left")
     ok = F.coalesce(F.col("best") >= threshold, F.lit(False))

@@ -323,6 +323,41 @@ def _(spark, sf):
     return gate.select("question_id", F.col("success").cast("bigint").alias("success"), F.round("best", 4).alias("best"), cited.alias("cited"))
 
 
+SECTION_CHUNKS_SQL = f"""{SECTIONED_SQL}, parts AS (SELECT doc_id, i, {strip_sql("t")} AS body FROM lined), {WINDOW_SQL},
+    chunks AS MATERIALIZED (SELECT CAST(doc_id AS VARCHAR) AS document, CAST(i AS VARCHAR) AS section, 'Doc ' || CAST(doc_id AS VARCHAR) AS title,
+        CAST(doc_id AS VARCHAR) || '-' || CAST(i AS VARCHAR) || CASE WHEN n > 1 THEN '.' || CAST(piece AS VARCHAR) ELSE '' END AS chunk_id,
+        '[Doc ' || CAST(doc_id AS VARCHAR) || '. Doc ' || CAST(doc_id AS VARCHAR) || ' — Section ' || CAST(i AS VARCHAR) || ': Part '
+            || CAST(i AS VARCHAR) || ']' || chr(10) || {strip_sql("substr(body, offs + 1, 800)")} AS text FROM each),
+    kept AS MATERIALIZED (SELECT chunk_id, list_filter({TOKENS_SQL.format("text")}, lambda t: NOT list_contains({STOP_SQL}, t)) AS k FROM chunks),
+    asking AS MATERIALIZED (SELECT item_id AS question_id, list_filter({TOKENS_SQL.format("text")}, lambda t: NOT list_contains({STOP_SQL}, t)) AS k FROM benchmark)"""
+
+
+@query(
+    "x13_section_citations",
+    f"""WITH {SECTION_CHUNKS_SQL}, {terms_sql("kept", "chunk_id", "k", expr=GRAMS_SQL)},
+    {weights_sql("kept", "chunk_id", "k", "terms", "idx", tf="1 + ln(tf)", expr=GRAMS_SQL)},
+    {weights_sql("asking", "question_id", "k", "terms", "asked", tf="1 + ln(tf)", expr=GRAMS_SQL)},
+    scored AS (SELECT question_id, chunk_id, round(sum(a.weight * i.weight), 9) AS score FROM asked a JOIN idx i USING (term) GROUP BY ALL),
+    found AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, chunk_id) AS rank FROM scored) WHERE rank <= 4),
+    b AS (SELECT question_id, max(score) AS best, string_agg(chunk_id || '|' || document || '|' || section || '|' || title, ';' ORDER BY rank) AS cited
+          FROM found JOIN chunks USING (chunk_id) GROUP BY 1)
+    SELECT q.question_id AS question_id, CAST(coalesce(best >= 0.15, false) AS BIGINT) AS success, round(best, 4) AS best,
+           CASE WHEN best >= 0.15 THEN cited END AS cited FROM asking q LEFT JOIN b ON q.question_id = b.question_id""",
+)
+def _(spark, sf):
+    stop = texts.STOP_WORDS
+    chunks = cut(text.window_chunks(text.sections(sectioned(spark, sf), "doc_id", "text", "title"), "doc_id"))
+    asked = questions(spark, sf)
+    terms = cut(retrieval.fit_terms(chunks, "chunk_id", "text", stop_words=stop))
+    index = retrieval.term_weights(chunks, terms, "chunk_id", "text", stop_words=stop, sublinear=True)
+    weights = retrieval.term_weights(asked, terms, "question_id", "question", stop_words=stop, sublinear=True)
+    found = cut(retrieval.search_terms(index, weights, placed=True))
+    gate = retrieval.relevance_gate(found, asked, chunks=chunks)
+    one = lambda c: F.concat_ws("|", c["chunk"], c["document"], c["section"], c["title"])
+    cited = F.when(F.col("citations").isNotNull(), F.array_join(F.transform("citations", one), ";"))
+    return gate.select("question_id", F.col("success").cast("bigint").alias("success"), F.round("best", 4).alias("best"), cited.alias("cited"))
+
+
 @query(
     "x14_numbered_context",
     f"""WITH {FOUND_SQL}, c AS (SELECT question_id, string_agg('[Excerpt ' || CAST(rank AS VARCHAR) || ']' || chr(10) || text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS ctx

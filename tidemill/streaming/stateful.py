@@ -47,7 +47,9 @@ def history_rows(history: DataFrame, session: str) -> DataFrame:
 def suppress_stream(stream: DataFrame, key: Sequence[str], time: str, tie: str, ttl: int = 300, late: str = "10 minutes") -> DataFrame:
     """Mark repeats within `ttl` seconds of the stored row; rows behind the watermark are dropped.
 
-    State per key: the stored time. It is forgotten once the watermark has passed it by `ttl`.
+    State per key: the stored time. It is forgotten once the watermark has passed it by `ttl`. A row that
+    comes late, with a time before the stored one, repeats it only within `ttl` of it; else it is no repeat and
+    leaves the stored time as it is.
     """
     key = list(key)
     kinds = dict(stream.dtypes)
@@ -64,8 +66,8 @@ def suppress_stream(stream: DataFrame, key: Sequence[str], time: str, tie: str,
         stored = pd.Timestamp(state.get[0], unit="us") if state.exists else None
         flags = []
         for at in rows[time]:
-            fresh = stored is None or at - stored > wait
-            stored = at if fresh else stored
+            fresh = stored is None or abs(at - stored) > wait
+            stored = at if fresh and (stored is None or at > stored) else stored
             flags.append(0 if fresh else 1)
         state.update((int(stored.value // 1000),))
         expiry = int(stored.value // 1_000_000) + ttl * 1000
