@@ -211,8 +211,18 @@ def expanding_folds(df: DataFrame, *keys, folds: int = 5) -> DataFrame:
     return tagged.withColumn("role", role).filter(F.col("role").isNotNull()).drop("__rows")
 
 
+FIRST_ROWS = 10_000  # slices that end before this row do without numbering the table
+
+
 def slice_rows(df: DataFrame, *keys, start: int, stop: int, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows `start:stop` (half open) in key order, and optionally some columns."""
+    """Rows `start:stop` (half open) in key order, and optionally some columns.
+
+    A slice near the start keeps the first `stop` rows of every partition and numbers those of them that are left.
+    """
+    if stop <= FIRST_ROWS:
+        number = F.row_number().over(Window.orderBy(*_as_columns(keys))) - 1
+        first = df.orderBy(*_as_columns(keys)).limit(stop).withColumn("row_index", number)
+        return first.filter(F.col("row_index") >= start).select(*(columns or df.columns))
     picked = global_index(df, *keys, name="row_index").filter(F.col("row_index").between(start, stop - 1))
     return picked.select(*(columns or df.columns))
 
