@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def build_session(app: str = "tidemill", master: str | None = None, **settings) -> SparkSession:
@@ -32,6 +33,9 @@ def prepare(spark: SparkSession) -> SparkSession:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     # rank filters up to this many rows per group are applied before the shuffle, too
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10000")
+    if spark.conf.get(BATCH_KEY) == "10000":
+        # rows may be long texts: Spark's default of 10,000 of them can fill a worker
+        spark.conf.set(BATCH_KEY, "1000")
     checkpoint_root(spark)
     return spark
 
