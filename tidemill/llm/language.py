@@ -197,11 +197,11 @@ def predict_language(docs: DataFrame, f: Filters) -> DataFrame:
 
 def keep_identified(docs: DataFrame, f: Filters, least: float) -> DataFrame:
     """The rows of `docs`, with all their columns, whose language is found with a score of `least` or more."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
 
     def run(batches):
         for b in batches:
-            names, scores = _judged(_strings(b.column("text")), f)
+            names, scores = _judged(_strings(b.column("row").field("text")), f)
             fine = [n != UNKNOWN and s >= least for n, s in zip(names, scores)]
             yield pa.RecordBatch.from_arrays([b.column("row").filter(pa.array(fine, pa.bool_()))], names=["row"])
 
