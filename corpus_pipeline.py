@@ -8,13 +8,14 @@ from tidemill.llm import bpe, exact, language, mixing, neardup
 from tidemill.llm.queries import vocabulary
 from tidemill.session import cut, prepare
 
-LEAST_SCORE = 0.3  # documents whose best language has a smaller part of the evidence are rejected
+LEAST_COVERED = 0.5  # documents are rejected when their best language holds a smaller part of their n-grams
+LEAST_LEAD = 0.02  # and when it is ahead of the next one by less than this part of its count
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is found; those without letters, or of no language for certain, go."""
+    """Documents whose language is found; those without letters, of another language or of no language for certain, go."""
     prepare(spark)
-    return language.keep_identified(docs, language.train_filters(docs), LEAST_SCORE)
+    return language.keep_identified(docs, language.train_filters(docs), LEAST_COVERED, LEAST_LEAD)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemill.llm import language, quality, queries, urls
 
 DATA = "/root/testdata/sf0.01"
@@ -56,6 +57,32 @@ def test_filters_hold_what_they_learnt_and_little_else(spark, docs):
     assert np.mean(held != 0) < 0.01
 
 
+@pytest.mark.parametrize("known", [["en"], ["de", "en"], ["de", "en", "fr"], ["de", "en", "es", "fr"]])
+def test_pipeline_rejects_what_no_filter_holds(spark, docs, known):
+    draw = np.random.default_rng(5)
+    stray = [" ".join("".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(60)) for _ in range(5)]
+    foreign = [
+        "Nopea ruskea kettu hyppaa laiskan koiran yli ja lapset leikkivat puistossa vanhempien katsellessa heita",
+        "Szybki brazowy lis przeskakuje nad leniwym psem a dzieci bawia sie w parku podczas gdy rodzice patrza",
+        "Быстрая коричневая лиса прыгает через ленивую собаку", "日本語の文章です。これは短い文です",
+    ]
+    clean = ["The cat sat on the mat and looked at the old dog", "the house", "and the"]
+    own = docs.filter(F.col("lang").isin(known))
+    rows = [(-1 - i, t, None, "x", len(t)) for i, t in enumerate(stray + foreign + clean)]
+    kept = corpus_pipeline.identify(spark, own.unionByName(spark.createDataFrame(rows, own.schema)), DATA).select("doc_id", "text").collect()
+    assert sorted(r["text"] for r in kept if r["doc_id"] < 0) == sorted(clean)
+    gone = own.count() - sum(r["doc_id"] >= 0 for r in kept)
+    assert gone <= 0.002 * own.count()
+
+
+def test_pipeline_rejects_an_even_mix_of_two_languages(spark, docs):
+    filters = language.train_filters(docs.filter("lang IN ('de', 'en')"))
+    part, lead = language.evidence(["the and this with", "", "12"], filters)
+    assert part[0] > 0.5 and lead[0] > 0.02 and not part[1:].any() and not lead[1:].any()
+    twice = language.Filters(["a", "b"], [filters.planes[0] * 0 + 3], np.zeros(2), 0)  # two languages with the same n-grams
+    assert [x.tolist() for x in language.evidence(["the and"], twice)] == [[1.0], [0.0]]
+
+
 def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     found = language.predict_language(df, language.train_filters(df)).collect()

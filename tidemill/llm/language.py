@@ -153,9 +153,14 @@ def hits_by_language(texts: list[str], f: Filters) -> tuple[np.ndarray, np.ndarr
     return counts, seen
 
 
-def _judged(texts: list[str], f: Filters) -> tuple[list[str], list[float]]:
+def _true_counts(texts: list[str], f: Filters) -> tuple[np.ndarray, np.ndarray]:
+    """`hits_by_language` with the counts corrected for false positives."""
     counts, seen = hits_by_language(texts, f)
-    true = np.maximum((counts - seen[:, None] * f.false_rate) / (1.0 - f.false_rate), 0.0)
+    return np.maximum((counts - seen[:, None] * f.false_rate) / (1.0 - f.false_rate), 0.0), seen
+
+
+def _judged(texts: list[str], f: Filters) -> tuple[list[str], list[float]]:
+    true, seen = _true_counts(texts, f)
     total = true.sum(axis=1)
     names, scores = [], []
     for r in range(len(texts)):
@@ -195,14 +200,23 @@ def predict_language(docs: DataFrame, f: Filters) -> DataFrame:
     )
 
 
-def keep_identified(docs: DataFrame, f: Filters, least: float) -> DataFrame:
-    """The rows of `docs`, with all their columns, whose language is found with a score of `least` or more."""
+def evidence(texts: list[str], f: Filters) -> tuple[np.ndarray, np.ndarray]:
+    """Per text, the part of its n-grams that the winner holds, and how far the winner leads the next language, as a part of its own
+    corrected count. Neither depends on the number of languages; a text without n-grams of any language has 0 and 0."""
+    true, seen = _true_counts(texts, f)
+    ranked = np.sort(np.hstack([np.zeros((len(texts), 2)), true]), axis=1)
+    best, second = ranked[:, -1], ranked[:, -2]
+    return best / np.maximum(seen, 1.0), (best - second) / np.where(best > 0, best, 1.0)
+
+
+def keep_identified(docs: DataFrame, f: Filters, covered: float, lead: float) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose winner has `evidence` of `covered` and `lead` or more."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
 
     def run(batches):
         for b in batches:
-            names, scores = _judged(_strings(b.column("row").field("text")), f)
-            fine = [n != UNKNOWN and s >= least for n, s in zip(names, scores)]
+            part, ahead = evidence(_strings(b.column("row").field("text")), f)
+            fine = (part > 0) & (part >= covered) & (ahead >= lead)
             yield pa.RecordBatch.from_arrays([b.column("row").filter(pa.array(fine, pa.bool_()))], names=["row"])
 
     schema = f"row {rows.schema['row'].dataType.simpleString()}"
