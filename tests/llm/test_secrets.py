@@ -74,5 +74,29 @@ def test_entropy_adds_and_the_allow_list_suppresses(spark):
     assert got == {0: ["ebase"], 1: [], 2: []}
 
 
+def test_one_letter_case_with_digits(spark):
+    texts = [
+        "mail k3x9q7w2z8m5v4t6r1p0n7b2j8 now", "JBSWY3DPEHPK3PXPQ5T7ZX2LMN4R====", "k3x9q7w2-z8m5v4t6_r1p0n7b2j8", "'JBSWY3DP-EHPK3PXP-Q5T7ZX2L'",
+        "see https://site.org/blog/2023/05/a-title-of-some-page", "HTTP_STATUS_CODE_404_NOT_FOUND", "zzzzzzzzzzzzzzzzzzzzzzzz1",
+        "6f9619ff-8b86-d011-b42d-00c04fc964ff", "internationalisation of everything", "x" * 50_000 + "1",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in secrets.scan_secrets(df).collect()}
+    want = {0: [("elower", 5, 31)], 1: [("eupper", 0, 32)], 2: [("elower", 0, 28)], 3: [("eupper", 1, 27)]}
+    assert got == {i: want.get(i, []) for i in range(len(texts))}
+
+
+def test_allowed_words_spare_only_their_own_windows(spark):
+    key = "kT9zQ2mX7bL4vR8nW3pY6s"
+    texts = [
+        f"/sample/{key}", f"{key}/lorem-ipsum", f"x/test_key/{key.lower()}9q", f"sha256-{key}/{key}/{key}",
+        f"sha256-{(key * 2)[:43]}=", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "/sample/example/Dummy1/placeholder",
+        "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "0123456789abcdef0123456789ABCDEF",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: [s["kind"] for s in r["spans"] if s["ord"] >= 3] for r in secrets.scan_secrets(df).collect()}
+    assert got == {0: ["ebase"], 1: ["ebase"], 2: ["elower"], 3: ["ebase"], 4: [], 5: [], 6: [], 7: [], 8: []}
+
+
 def test_empty_table(spark):
     assert secrets.scan_secrets(spark.createDataFrame([], "doc_id long, text string")).count() == 0

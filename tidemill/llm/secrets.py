@@ -15,6 +15,10 @@ HEX = r"[0-9a-f]{24,}"
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 # candidates of the entropy scan, one pattern per character class, and the classes' thresholds in bits per character
+ONE_CASE = (
+    r"(?<![0-9A-Za-z+/_-])(?=[0-9A-Za-z+/_-]*[0-9])(?=[0-9A-Za-z+/_-]*[{case}])(?![0-9A-Fa-f]+(?![0-9A-Za-z+/_-]))"
+    r"[0-9{case}+/_-]{{20,}}={{0,6}}(?![0-9A-Za-z+/_-])"
+)
 CLASSES = {
     "ehex": (r"(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*[0-9])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{20,}(?![0-9A-Za-z])", "0123456789abcdef", 2.8),
     "ebase": (
@@ -22,12 +26,25 @@ CLASSES = {
         r"[0-9A-Za-z+/_-]{20,}={0,2}(?![0-9A-Za-z+/_-])",
         "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=", 3.6,
     ),
+    # 20 random characters of 36 stay below 3.3 bits in less than 1 % of cases
+    "elower": (ONE_CASE.format(case="a-z"), "abcdefghijklmnopqrstuvwxyz0123456789+/_-=", 3.3),
+    "eupper": (ONE_CASE.format(case="A-Z"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-=", 3.3),
 }
 WINDOW = 20  # characters of a window
-# candidates that are no secrets: examples, links, identifiers of fixed shape, digests that are named as such
+SPAN = 60  # characters whose windows are looked at together
+# in a candidate of one letter case with separators, letters and digits touch this often; words and dates of a path hardly do
+TOUCH, TOUCHES = r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])", 3
+# windows over these words are no secrets, whatever else the candidate holds
 ALLOWED = (
-    r"(?i)example|sample|dummy|placeholder|changeme|test[_-]?key|lorem|abcdef|0123456|12345678|"
-    r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^(sha[0-9]+|md5)[-_]"
+    r"(?i)example|sample|dummy|placeholder|changeme|test[_-]?key|lorem|"
+    r"abcdef(?:ghijkl(?:mnopqr(?:stuvwx(?:yz)?)?)?)?|0?12345678|0123456"
+)
+# whole candidates that are no secrets: identifiers of fixed shape, digests that are named as such, a vendor's example
+SHAPES = (
+    r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|"
+    r"^(sha[0-9]+|md5)[-_]([0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}|"
+    r"([0-9a-z+/_-]{22}|[0-9a-z+/_-]{27}|[0-9a-z+/_-]{38}|[0-9a-z+/_-]{43}|[0-9a-z+/_-]{64}|[0-9a-z+/_-]{86})={0,2})$|"
+    r"^wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY$"
 )
 BLOCK = 256  # matches whose positions are added up together
 
@@ -115,18 +132,33 @@ def top_entropy(word: Column, letters: str, window: int = WINDOW) -> Column:
     return F.aggregate(F.sequence(F.lit(1), size), begun, step, lambda s: s["best"])
 
 
+def _secret(word: Column, kind: str, letters: str, least_bits: float) -> Column:
+    """Whether a window of the candidate that overlaps no allowed word reaches the threshold."""
+    parts = F.filter(F.split(word, ALLOWED, -1), lambda p: F.length(p) >= WINDOW)
+    # short pieces that share all but one character of a window, so a long candidate takes time in proportion to its length
+    step = SPAN - WINDOW + 1
+    parts = F.flatten(
+        F.transform(parts, lambda p: F.transform(F.sequence(F.lit(1), F.length(p), F.lit(step)), lambda i: p.substr(i, F.lit(SPAN))))
+    )
+    fine = ~word.rlike(SHAPES) & F.exists(parts, lambda p: top_entropy(p, letters) >= least_bits)
+    if kind in ("elower", "eupper"):
+        fine = fine & (~word.rlike("[+/_-]") | (F.size(F.regexp_extract_all(word, F.lit(TOUCH), F.lit(0))) >= TOUCHES))
+    return fine
+
+
 def secret_spans(text: Column) -> Column:
     """Array of `(start, ord, kind, end, word)` of everything found in `text`, by start, then kind; null counts as empty.
 
-    Base kinds are `assign`, `access` and `hex`. The entropy scan adds `ehex` and `ebase`: candidate strings of one character class, at
+    Base kinds are `assign`, `access` and `hex`. The entropy scan adds `ehex`, `ebase`, `elower` and `eupper`: candidate strings of one character class, at
     least a window long and set off from other such characters, in which some window's entropy reaches the
-    class's threshold. Candidates on the allow-list are suppressed; base spans never are.
+    class's threshold. `elower` and `eupper` hold digits and letters of one case. Windows that overlap a word of the allow-list do not
+    count, and candidates of an allowed shape are suppressed; base spans never are.
     """
     text = F.coalesce(text.cast("string"), F.lit(""))
     found = [_found(text, p, k, b, LEAST[k]) for p, k, b in ((ASSIGN, "assign", 2), (ACCESS, "access", 0), (HEX, "hex", 0))]
     for kind, (pattern, letters, least_bits) in CLASSES.items():
         candidates = _found(text, pattern, kind, 0, WINDOW)
-        found.append(F.filter(candidates, lambda r: ~r["word"].rlike(ALLOWED) & (top_entropy(r["word"], letters) >= least_bits)))
+        found.append(F.filter(candidates, lambda r: _secret(r["word"], kind, letters, least_bits)))
     return F.array_sort(F.concat(*found))
 
 
