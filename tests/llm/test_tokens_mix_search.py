@@ -9,6 +9,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -118,6 +119,14 @@ def test_top_k_against_all_products(spark, monkeypatch):
     assert [r["rank"] for r in few.orderBy("rank").collect()] == [1, 2]
 
 
+def test_top_k_of_large_negative_scores_before_zeros():
+    rows = [np.array([2_000_000 + i // 3] + [0] * 23) for i in range(10)]
+    query = np.array([-2_000_000] + [0] * 23)
+    _, ids, scores = topk.best_of_block([-1], [query], range(10), rows, 5)
+    assert ids.tolist() == [0, 1, 2, 3, 4]
+    assert scores.tolist() == [int(query @ rows[i]) for i in range(5)]
+
+
 def test_pipeline_stage_by_stage(spark, sf, ranks):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     extra = spark.createDataFrame([(9001, "123 456", "en", "src0", 7), (9002, None, None, None, None)], docs.schema)

@@ -61,7 +61,7 @@ def best_of_block(query_ids, queries, ids, rows, k: int):
             score = score + x[a : a + DIMENSIONS] @ c[a : a + DIMENSIONS, alive]
             if floor is not None and a + DIMENSIONS < width:
                 most = score + left_q[n + 1, j] * left_c[n + 1, alive]
-                keep = most * (1 + 1e-12) + 1e-6 >= floor
+                keep = most + np.abs(most) * 1e-12 + 1e-6 >= floor  # wider on either side of zero
                 alive, score = alive[keep], score[keep]
         top = np.lexsort((ids[alive], -score))[:k]
         out.append((np.full(len(top), own), ids[alive[top]], score[top]))
