@@ -292,3 +292,27 @@ def test_null_features_count_as_zero_in_fit_and_prediction(spark):
     df = spark.createDataFrame([(1.0, 3.0), (None, 1.0), (2.0, 5.0), (4.0, 9.0), (9.0, None)], "x double, y double")
     fit = features.linear_fit(df, ["x"], "y")
     assert [round(r["p"], 6) for r in features.linear_predict(df.filter("y IS NOT NULL"), fit).collect()] == [3.0, 1.0, 5.0, 9.0]
+
+
+def test_registered_models_use_the_reference_settings(spark, monkeypatch):
+    from tidemill.operators import cluster, models
+    from tidemill.plans import catalogue, learning
+
+    seen = {}
+    monkeypatch.setattr(learning, "_matrix", lambda *a: None)
+    monkeypatch.setattr(learning, "_scaled_clients", lambda *a: None)
+    monkeypatch.setattr(learning, "cut", lambda x: x)
+    for name in ("contiguous_folds", "expanding_folds"):
+        monkeypatch.setattr(learning.ordering, name, lambda *a, **k: None)
+    monkeypatch.setattr(models, "contiguous_roles", lambda x: None)
+    monkeypatch.setattr(models, "random_forest", lambda **k: seen.setdefault("forest", k))
+    monkeypatch.setattr(learning.features, "scaled", lambda x: None)
+    monkeypatch.setattr(learning.features, "lasso_model", lambda: None)
+    monkeypatch.setattr(models, "cross_validate", lambda *a: None)
+    monkeypatch.setattr(models, "search_boosted", lambda folds, space=None, **k: seen.setdefault("space", space))
+    monkeypatch.setattr(cluster, "kmeans_labels", lambda df, k, **more: seen.setdefault("labels", more))
+    monkeypatch.setattr(cluster, "silhouette_squared", lambda df: 0.0)
+
+    for name in ("m9_cross_validation", "m9_search", "c2_silhouette_squared"):
+        catalogue.QUERIES[name](spark, "")
+    assert seen == {"forest": {}, "space": None, "labels": {}}

@@ -169,15 +169,14 @@ def _(spark, sf):
 def _(spark, sf):
     folds = cut(models.contiguous_roles(ordering.contiguous_folds(_matrix(spark, sf), *KEYS)))
     return models.cross_validate(
-        {"forest": models.random_forest(trees=10, depth=5), "lasso": features.scaled(features.lasso_model())}, folds
+        {"forest": models.random_forest(), "lasso": features.scaled(features.lasso_model())}, folds
     )
 
 
 @query("m9_search")
 def _(spark, sf):
     folds = cut(ordering.expanding_folds(_matrix(spark, sf), *KEYS, folds=2))
-    space = dict(models.SEARCH_SPACE, rounds=(5, 10), depth=(2, 3))
-    return models.search_boosted(folds, space, draws=2, count=2, refine=False)
+    return models.search_boosted(folds, draws=2, count=2, refine=False)
 
 
 @query("m10_learning_curve")
@@ -265,7 +264,7 @@ def _(spark, sf):
 
 @query("c2_silhouette_squared")
 def _(spark, sf):
-    labelled = cluster.kmeans_labels(cut(_scaled_clients(spark, sf)), 3, restarts=1)
+    labelled = cluster.kmeans_labels(cut(_scaled_clients(spark, sf)), 3)
     return spark.createDataFrame([(3, cluster.silhouette_squared(labelled))], "k int, silhouette double")
 
 
