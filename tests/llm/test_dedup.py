@@ -132,3 +132,11 @@ def test_components(spark):
     links = [(1, 2), (3, 2), (9, 8), (8, 7), (7, 6), (5, 5), (20, 21)] + [(30 + i, 31 + i) for i in range(20)]
     got = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 6: 6, 7: 6, 8: 6, 9: 6, 20: 20, 21: 20} | {30 + i: 30 for i in range(21)}
+
+
+def test_estimate_hardly_drops_a_pair_at_the_threshold():
+    import math
+
+    k, p = neardup.KEPT, neardup.PERCENT / 100
+    missed = sum(math.comb(k, i) * p**i * (1 - p) ** (k - i) for i in range(k + 1) if i / k < neardup.ESTIMATE)
+    assert missed < 1e-8

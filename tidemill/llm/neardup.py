@@ -19,7 +19,7 @@ PERCENT = 85  # links have 100 * intersection >= PERCENT * union
 KEPT = 48  # values of a sketch; a pair at the threshold shares fewer than half with a chance of about 1e-8
 LIST = 32  # longest inverted list whose pairs are met one by one; longer ones go by hubs
 KEYS = 16  # sketch values by which documents of long lists meet; a pair at the threshold has none in common at 1e-13
-ESTIMATE = 0.6  # least estimate, about five deviations below the threshold
+ESTIMATE = 0.5  # least estimate; a pair at the threshold falls below it with a chance of about 2e-9
 TILE = 256  # documents of one tile of a hub's group
 BANDS = 20  # similarity to the hub, in steps of 1 / BANDS
 
