@@ -7,7 +7,9 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, exact, language, mixing, neardup, passages, quality, secrets, topk, urls
+from tidemill.llm import (
+    bpe, exact, language, mixing, neardup, passages, quality, resample, secrets, topk, toxicity, urls, whitening,
+)
 from tidemill.session import prepare
 
 QUERIES: dict = {}
@@ -176,3 +178,60 @@ def op9_top_k(spark, sf_dir):
 @query("op10_url_filter")
 def op10_url_filter(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"), URL_RULES).drop("score")
+
+
+@query("op11_whitening")
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_resampling", r"""
+WITH polynomial AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY i) AS t FROM range(256) AS r(i)
+), read AS (
+  SELECT 0 AS aim, row_number() OVER () AS row_no, doc_id, text FROM documents UNION ALL SELECT 1, NULL, NULL, text FROM benchmark
+), words AS (
+  SELECT aim, row_no, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM read
+), counted AS (SELECT aim, row_no, w, count(*) AS n FROM words GROUP BY ALL),
+coded AS (
+  SELECT w, hex(encode(w)) AS h FROM (SELECT DISTINCT w FROM counted)
+), buckets AS (
+  SELECT w, xor(list_reduce(list_concat([4294967295::BIGINT], [('0x' || substr(h, 2 * i - 1, 2))::BIGINT FOR i IN range(1, len(h) // 2 + 1)]),
+                            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM coded, polynomial
+), sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (aim = 0), 0) AS s, coalesce(sum(n) FILTER (aim = 1), 0) AS t
+  FROM counted JOIN buckets USING (w) GROUP BY bucket
+), totals AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM sums),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000)::DOUBLE / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM sums, totals
+), weights AS (
+  SELECT row_no, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS gained
+  FROM counted JOIN buckets USING (w) JOIN gains USING (bucket) WHERE aim = 0 GROUP BY row_no
+), weighed AS (
+  SELECT row_no, doc_id, coalesce(n_features, 0) AS n_features, coalesce(CAST(floor(gained / n_features) AS BIGINT), 0) AS weight,
+         ('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT AS h
+  FROM read LEFT JOIN weights USING (row_no) WHERE aim = 0
+), scored AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM weighed
+), ranked AS (
+  SELECT row_no, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS r, count(*) OVER () AS n
+  FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= n * 10 // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (row_no)
+""")
+def op12_resampling(spark, sf_dir):
+    ranks = resample.importance_ranks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranks.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_toxicity")
+def op13_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train_toxicity(docs, table(spark, sf_dir, "labels"))
+    predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return toxicity.score_toxicity(docs, model).select("doc_id", held_out(), "score", predicted)
