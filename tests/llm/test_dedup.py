@@ -5,9 +5,10 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
-from tidemill.llm import exact, graph, neardup
+from tidemill.llm import exact, graph, kernels, neardup
 
 ASCII = {ord(c): ord(c.lower()) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 
@@ -22,8 +23,9 @@ def exact_brute(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("max_files", [None, 1])
-def test_exact_groups(spark, max_files):
+@pytest.mark.parametrize("max_files,few", [(None, exact.FEW), (1, 0)])
+def test_exact_groups(spark, monkeypatch, max_files, few):
+    monkeypatch.setattr(exact, "FEW", few)
     rows = [(1, "A b"), (2, "a B"), (3, None), (4, ""), (5, "É"), (6, "é"), (7, "x" * 100_000), (8, "X" * 100_000),
             (2, "a B"), (None, "a b"), (None, "lone"), (9, "same"), (10, "same")] + [(100 + i, "hot") for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumnRenamed("x", "y").repartition(6)
@@ -35,6 +37,33 @@ def test_exact_groups(spark, max_files):
     assert sorted(r["doc_id"] for r in once.collect() if r["doc_id"]) == [2, 4, 5, 6, 8, 10, 399]
 
 
+def test_of_rows_alike_in_identifier_and_text_the_first_as_json_stays(spark):
+    rows = [(1, "a", 9, "z"), (1, "A", 2, "y"), (1, "a", 9, "b"), (2, "c", None, None), (2, "c", None, None), (None, "q", 1, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __sha long, id string")
+    got = sorted((tuple(r) for r in exact.drop_copies(df).collect()), key=repr)
+    assert got == sorted([(1, "A", 2, "y"), (2, "c", None, None)], key=repr) + [(None, "q", 1, "")]
+
+
+def test_state_settings_stay_out_of_the_session(spark):
+    before = spark.conf.getAll
+    exact.exact_groups(spark.createDataFrame([(1, "a")], "doc_id long, text string")).collect()
+    assert spark.conf.getAll == before
+
+
+def test_equal_bytes_are_counted_before_the_exchange(spark, tmp_path):
+    spark.createDataFrame([(i, "hot") for i in range(50)], "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    seen = []
+    real = exact.cut
+    exact_cut = lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString()) or real(df)
+    try:
+        exact.cut = exact_cut
+        exact.exact_groups(spark.read.parquet(str(tmp_path / "d")))
+    finally:
+        exact.cut = real
+    plan = next(p for p in seen if "body" in p)
+    assert "hashpartitioning(digest" in plan and "partial_count" in plan.split("hashpartitioning(digest", 1)[1].split("MapInArrow")[0]
+
+
 def test_full_bytes_decide_when_digests_agree(spark, monkeypatch):
     real = hashlib.sha256
 
@@ -134,6 +163,59 @@ def test_components(spark):
     assert got == {1: 1, 2: 1, 3: 1, 6: 6, 7: 6, 8: 6, 9: 6, 20: 20, 21: 20} | {30 + i: 30 for i in range(21)}
 
 
+def test_a_long_path_takes_few_rounds(spark, monkeypatch):
+    written = []
+    real = graph.cut
+    monkeypatch.setattr(graph, "cut", lambda df: written.append(1) or real(df))
+    links = [(i, i + 1) for i in range(300)]
+    got = graph.components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert len(got) == 301 and {r["root"] for r in got} == {0}
+    assert len(written) < 40
+
+
+def test_words_of_a_long_text_do_not_depend_on_the_piece():
+    text = ("Ab  c\n" + "x" * 37 + " \u00e9t\u00e9 " + "y" * 5 + "\tz ").encode() * 9 + b"end"
+    whole = kernels.word_hashes([text])[1]
+    for size in (1, 2, 3, 7, 16, 50, 1000):
+        assert np.array_equal(np.concatenate(list(kernels.text_words(text, size=size))), whole)
+    low = np.concatenate(list(kernels.text_words(text, lower=True, size=11)))
+    assert np.array_equal(low, kernels.word_hashes([text.lower()])[1])
+    assert list(kernels.text_words(b"")) == [] and not sum(map(len, kernels.text_words(b" \n ", size=1)))
+
+
+def test_the_set_of_a_long_text(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(f"W{rng.randrange(400)}" for _ in range(n)).encode() for n in (900, 5, 4, 1)] + [b" " * 500, b"long" * 300]
+    want = [s.tolist() for s in neardup.shingle_sets(texts)]
+    monkeypatch.setattr(neardup, "PIECE_BYTES", 64)
+    assert [s.tolist() for s in neardup.shingle_sets(texts)] == want
+
+
+WORKER = """
+import resource, sys
+import numpy as np, pyarrow as pa
+from tidemill.llm import language, neardup
+text = (" ".join(f"w{i}" for i in range(7_000_000)))[: 50 << 20] if sys.argv[1] == "words" else "x" * (50 << 20)
+batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], names=["doc_id", "text"])
+del text
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for _ in neardup._sketches([batch]):
+    pass
+filters = language.Filters(["a", "b"], [np.ones(1 << language.BITS, np.uint8)], np.zeros(2), 0)
+language.evidence(language._strings(batch.column("text")), filters)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+
+
+@pytest.mark.parametrize("kind", ["words", "one word"])
+def test_a_text_of_50_mb_stays_below_400_mb_of_a_worker(kind):
+    import subprocess
+    import sys
+
+    out = subprocess.run([sys.executable, "-c", WORKER, kind], capture_output=True, text=True, check=True)
+    assert int(out.stdout) < 400
+
+
 def test_estimate_hardly_drops_a_pair_at_the_threshold():
     import math
 

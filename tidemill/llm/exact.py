@@ -16,7 +16,12 @@ STATE = {
     "spark.sql.streaming.stateStore.providerClass": ROCKS,
     # stores are many and small: files grow as they fill instead of taking megabytes each from the start
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # all stores of an executor share one bound on their memory, and are closed soon after the stream has ended
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "5s",
 }
+FEW = 200_000  # rows of identifiers and digests that may be sent to every task; more meet by a shuffle
 ROWS = "doc_id long, digest binary, place string"
 TEXTS = "doc_id long, digest binary, body binary"
 
@@ -41,7 +46,12 @@ def _bodies(batches):
 
 def _fold(rows_path: str, spark, max_files: int | None) -> DataFrame:
     """Run the arrivals through the keyed state; the last state of every digest comes back."""
-    source = spark.readStream.schema(ROWS).option("maxFilesPerTrigger", max_files or 1_000_000).parquet(rows_path)
+    # settings of the state stay in a session of their own, which shares the application
+    own = spark.newSession()
+    for k, v in (spark.conf.getAll | STATE).items():
+        if own.conf.get(k, None) != v and own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    source = own.readStream.schema(ROWS).option("maxFilesPerTrigger", max_files or 1_000_000).parquet(rows_path)
     state = source.groupBy("digest").agg(
         F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "place")).alias("keeper")
     )
@@ -51,18 +61,11 @@ def _fold(rows_path: str, spark, max_files: int | None) -> DataFrame:
         # a batch that is run again overwrites its own folder
         changed.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    before = {k: spark.conf.get(k, None) for k in STATE}
-    for k, v in STATE.items():
-        spark.conf.set(k, v)
-    try:
-        run = (
-            state.writeStream.outputMode("update").foreachBatch(keep_batch)
-            .option("checkpointLocation", home).trigger(availableNow=True).start()
-        )
-        run.awaitTermination()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    run = (
+        state.writeStream.outputMode("update").foreachBatch(keep_batch)
+        .option("checkpointLocation", home).trigger(availableNow=True).start()
+    )
+    run.awaitTermination()
     schema = "digest binary, group_size long, keeper struct<doc_id: long, place: string>"
     # a digest is written by every batch that met it; sizes only grow
     seen = spark.createDataFrame([], schema)
@@ -73,6 +76,12 @@ def _fold(rows_path: str, spark, max_files: int | None) -> DataFrame:
     )
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """A written table, marked for sending to every task if it is counted to be small."""
+    rows = cut(rows)
+    return F.broadcast(rows) if rows.count() <= FEW else rows
+
+
 def exact_groups(docs: DataFrame, max_files: int | None = None) -> DataFrame:
     """`(doc_id, keep_id, group_size, kept, text_sha256, place)`: one row per row of `docs`.
 
@@ -80,25 +89,29 @@ def exact_groups(docs: DataFrame, max_files: int | None = None) -> DataFrame:
     group stays. Digests stream into disk-backed state that never expires and holds, by digest, the number of rows,
     the identifier that stays and `place`, the file its content lies in (empty if `docs` does not come from files).
     A digest seen more than once is a hit: the full bytes of its rows are then grouped as they are, and rows whose
-    digests agree but whose bytes do not get groups of their own. The equal rows of a hit are counted inside each
-    task first, so a group of any size moves as a few rows.
+    digests agree but whose bytes do not get groups of their own. Equal bytes are counted inside each task before they
+    meet, so a text held by any number of rows reaches another task once per task that holds it; only bytes of hits are
+    shuffled as long as there are few hits (`FEW`), else all are.
 
     A null `doc_id` never stays while its group has another one. Rows that agree in `doc_id` and text are one row
     seen again: each is returned, all with the same values. `max_files` bounds the files of arrivals per micro-batch.
     """
     spark = docs.sparkSession
-    plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows_path = scratch_path(spark, "dedup-rows")
     plain.withColumn("place", F.input_file_name()).mapInArrow(_digests, ROWS).write.parquet(rows_path)
     rows = spark.read.schema(ROWS).parquet(rows_path)
     groups = cut(_fold(rows_path, spark, max_files))
-    hits = groups.filter("group_size > 1").select("digest")
-    bodies = plain.mapInArrow(_bodies, TEXTS).join(hits, "digest", "left_semi")
-    by_bytes = bodies.groupBy("digest", "body").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keep"))
+    bodies = plain.mapInArrow(_bodies, TEXTS)
+    hits = _few(groups.filter("group_size > 1").select("digest"))
+    # the sum inside each task stands before the exchange, which goes by the bytes as well as the digest
+    by_bytes = bodies.join(hits, "digest", "left_semi").groupBy("digest", "body").agg(
+        F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keep")
+    )
     # digests that stand for more than one text: none is expected, and each is resolved by its bytes
-    torn = by_bytes.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("digest")
-    torn = cut(torn)
-    whole = rows.join(groups, "digest", "left").drop(rows.place)
+    texts = by_bytes.select("digest", "n", "keep").groupBy("digest").agg(F.count(F.lit(1)).alias("texts"))
+    torn = cut(texts.filter("texts > 1").select("digest"))
+    whole = rows.drop("place").join(groups, "digest", "left")
     if not torn.isEmpty():
         split = bodies.join(torn, "digest", "left_semi").join(
             by_bytes.join(torn, "digest", "left_semi"), ["digest", "body"]
@@ -114,15 +127,31 @@ def exact_groups(docs: DataFrame, max_files: int | None = None) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, max_files: int | None = None) -> DataFrame:
-    """The rows of `docs` that stay, once each, with the columns of `docs`."""
-    groups = exact_groups(docs, max_files).filter("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")
-    ).distinct()
-
-    @F.pandas_udf("string")
-    def sha_of_lowered(text):
-        return text.map(lambda t: hashlib.sha256((t or "").encode().lower()).hexdigest())
-
-    keyed = docs.withColumn("__sha", sha_of_lowered(F.col("text").cast("string")))
-    once = keyed.join(groups, keyed.doc_id.eqNullSafe(groups["__id"]) & (keyed["__sha"] == groups["__sha"]), "left_semi")
-    return once.dropDuplicates(["doc_id", "__sha"]).drop("__sha")
+    """The rows of `docs` that stay, once each, with the columns of `docs`.
+
+    Of rows that agree in `doc_id` and text but not in other columns, the one whose columns come first as JSON text stays.
+    Texts are not shuffled as long as few rows go (`FEW`), else once.
+    """
+
+    @F.arrow_udf("binary")
+    def lowered_digest(text: pa.Array) -> pa.Array:
+        return pa.array([hashlib.sha256(t.lower()).digest() for t in as_bytes(text)], pa.binary())
+
+    names = docs.columns
+    groups = cut(exact_groups(docs, max_files).select("doc_id", F.unhex("text_sha256").alias("digest"), "kept"))
+    gone = _few(groups.filter("NOT kept").groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n")))
+    again = cut(groups.filter("kept").groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    # the given columns stay inside a struct, so none can clash with what is added
+    row = F.struct(*[F.col(f"`{c}`") for c in names])
+    keyed = docs.select(
+        row.alias("row"), F.col("doc_id").cast("long").alias("id"), lowered_digest(F.col("text").cast("string")).alias("sha")
+    )
+
+    def same(other: DataFrame):
+        return keyed["id"].eqNullSafe(other["doc_id"]) & (keyed["sha"] == other["digest"])
+
+    left = keyed.join(gone, same(gone), "left_anti")
+    if again.isEmpty():
+        return left.select("row.*")
+    once = left.join(again, same(again), "left_semi").groupBy("id", "sha").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return left.join(again, same(again), "left_anti").select("row.*").unionByName(once.select("row.*"))

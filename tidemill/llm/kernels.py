@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-PIECE_BYTES = 2 << 20  # texts are handled in pieces of about this size, so memory does not follow the batch
+PIECE_BYTES = 1 << 18  # texts are handled in pieces of about this size, so memory does not follow the batch
 BASE = 0x9E3779B97F4A7C15  # odd, hence with an inverse modulo 2**64
 INVERSE = pow(BASE, -1, 1 << 64)
 GRAM = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407, 0x9FB21C651E98DF25],
@@ -39,14 +39,14 @@ def pieces(sizes: list[int], limit: int = PIECE_BYTES) -> Iterator[tuple[int, in
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64; kept for reuse up to a piece's length."""
+    """base**0 .. base**(n-1) modulo 2**64; kept for reuse up to twice a piece's length."""
     kept = _powers.get(base)
     if kept is not None and len(kept) >= n:
         return kept[:n]
     out = np.full(max(n, 1 << 16), base, dtype=np.uint64)
     out[0] = 1
     np.cumprod(out, out=out)
-    if len(out) <= 4 * PIECE_BYTES:
+    if len(out) <= 2 * PIECE_BYTES:
         _powers[base] = out
     return out[:n]
 
@@ -62,8 +62,8 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def _hash_words(buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(start, hash) of every word of one buffer."""
+def _word_sums(buffer: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, polynomial sum) of every word of one buffer."""
     data = np.frombuffer(buffer, dtype=np.uint8)
     inside = np.concatenate(([False], ~_SPACE[data], [False]))
     edge = np.flatnonzero(inside[1:] != inside[:-1])
@@ -71,32 +71,49 @@ def _hash_words(buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)), out=sums[1:])
     back = powers(INVERSE, len(data))[start] if len(start) else np.zeros(0, np.uint64)
-    return start, mix((sums[end] - sums[start]) * back)
+    return start, end, (sums[end] - sums[start]) * back
+
+
+def text_words(text: bytes, lower: bool = False, size: int = PIECE_BYTES) -> Iterator[np.ndarray]:
+    """Hashes of the words of one text in order, a piece of `size` bytes at a time. A word may span any number of pieces."""
+    carried, length = 0, 0  # the part of a word that the pieces before ended in
+    for at in range(0, len(text), size):
+        part = text[at : at + size]
+        start, end, sums = _word_sums(part.lower() if lower else part)
+        if length and len(start) and start[0] == 0:
+            sums[0] = np.uint64((carried + int(sums[0]) * pow(BASE, length, 1 << 64)) % (1 << 64))
+            length += int(end[0])
+        elif length:
+            yield mix(np.array([carried], dtype=np.uint64))
+            length = 0
+        if len(end) and end[-1] == len(part):
+            carried = int(sums[-1])
+            length = length if len(end) == 1 and length else int(end[-1] - start[-1])
+            sums = sums[:-1]
+        else:
+            length = 0
+        yield mix(sums)
+    if length:
+        yield mix(np.array([carried], dtype=np.uint64))
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(document number, hash) of all words, in order. Words are runs of bytes other than ASCII white space.
 
-    A text longer than a piece is cut at white space, so memory is bounded by the piece and the longest word.
+    Besides the result, memory is bounded by the piece, however long a text or a word is.
     """
     docs, hashes = [], []
-    for low, high in pieces([len(t) for t in texts]):
+    for low, high in pieces([len(t) for t in texts], PIECE_BYTES):
         if high - low == 1 and len(texts[low]) > 2 * PIECE_BYTES:
-            text, at = texts[low], 0
-            while at < len(text):
-                to = min(len(text), at + PIECE_BYTES)
-                while to < len(text) and not _SPACE[text[to]]:
-                    to += 1
-                h = _hash_words(text[at:to])[1]
+            for h in text_words(texts[low], size=PIECE_BYTES):
                 docs.append(np.full(len(h), low))
                 hashes.append(h)
-                at = to
             continue
         group = texts[low:high]
-        start, h = _hash_words(b"\n".join(group))
+        start, _, sums = _word_sums(b"\n".join(group))
         first = np.cumsum([0] + [len(t) + 1 for t in group[:-1]])
         docs.append(np.searchsorted(first, start, side="right") - 1 + low)
-        hashes.append(h)
+        hashes.append(mix(sums))
     if not docs:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate(docs), np.concatenate(hashes)

@@ -17,7 +17,7 @@ GRAMS = 60_000  # n-grams kept per language, the most frequent first
 SHARE = 0.5  # an n-gram belongs to every language that uses it at least this often, against the one that uses it most
 BITS = 20  # the filter has 2**BITS positions, each with one bit per language
 HASHES = 3
-CHUNK = 1 << 20  # code points handled at once
+CHUNK = 1 << 17  # code points handled at once
 UNKNOWN = "und"
 
 
@@ -90,17 +90,25 @@ def train_filters(docs: DataFrame, sample: int = SAMPLE, per_language: int = GRA
     What reaches the driver is one row per position of the filter, a bound that does not depend on the data.
     """
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    usable = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & learnable()).select("doc_id", "lang")
-    # hashes are even: twice the sample is let through to the ranking, whatever the size of a language
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("__n"))
-    near = place * F.col("__n") < F.lit(2 * sample * (1 << 20))
-    usable = usable.join(counts, "lang").filter(near)
-    order = Window.partitionBy("lang").orderBy(place, "doc_id")
-    few = usable.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= sample).select("doc_id").distinct()
+    digest = F.md5(F.col("text").cast("binary")).alias("__text")
+    usable = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & learnable()).select(
+        "doc_id", F.col("lang").cast("string").alias("lang"), digest
+    )
+    # hashes are even: twice the sample is let through to the ranking, whatever the size of a language. The sizes of the
+    # languages stand in the filter, so that it is applied in the scan and no language is ever dealt whole to a task
+    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return Filters([], [], np.zeros(0), 0)
+    number = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, n)])
+    near = place * number[F.col("lang")] < F.lit(2 * sample * (1 << 20))
+    order = Window.partitionBy("lang").orderBy(place, "doc_id", "__text")
+    # rows alike in identifier, text and language count once, before they are ranked
+    ranked = usable.filter(near).distinct().withColumn("__r", F.row_number().over(order))
+    few = ranked.filter(F.col("__r") <= sample).select("doc_id", "__text", F.col("lang").alias("__lang")).distinct()
     # bounded by the sample size times the number of languages
     chosen = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & learnable()).select(
-        "doc_id", F.col("text").cast("string"), F.col("lang").cast("string")
-    ).join(F.broadcast(few), "doc_id")
+        "doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), digest
+    ).join(F.broadcast(few), ["doc_id", "__text"]).filter("lang = __lang").groupBy("doc_id", "__text", "lang").agg(F.max("text").alias("text"))
     sizes = {r["lang"]: r["n"] for r in chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
@@ -210,14 +218,13 @@ def evidence(texts: list[str], f: Filters) -> tuple[np.ndarray, np.ndarray]:
 
 
 def keep_identified(docs: DataFrame, f: Filters, covered: float, lead: float) -> DataFrame:
-    """The rows of `docs`, with all their columns, whose winner has `evidence` of `covered` and `lead` or more."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    """The rows of `docs`, with all their columns, whose winner has `evidence` of `covered` and `lead` or more.
 
-    def run(batches):
-        for b in batches:
-            part, ahead = evidence(_strings(b.column("row").field("text")), f)
-            fine = (part > 0) & (part >= covered) & (ahead >= lead)
-            yield pa.RecordBatch.from_arrays([b.column("row").filter(pa.array(fine, pa.bool_()))], names=["row"])
+    Only texts go to the Python workers, and only a flag comes back."""
+
+    @F.arrow_udf("boolean")
+    def identified(text: pa.Array) -> pa.Array:
+        part, ahead = evidence(_strings(text), f)
+        return pa.array((part > 0) & (part >= covered) & (ahead >= lead), pa.bool_())
 
-    schema = f"row {rows.schema['row'].dataType.simpleString()}"
-    return rows.mapInArrow(run, schema).select("row.*")
+    return docs.filter(identified(F.col("text").cast("string")))

@@ -3,31 +3,37 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.graph import components
-from tidemill.llm.kernels import GRAM, as_bytes, gram_hashes, mix, pieces, word_hashes
+from tidemill.llm.kernels import GRAM, PIECE_BYTES, as_bytes, gram_hashes, mix, pieces, text_words, word_hashes
 from tidemill.session import cut
 
 WORDS = 5
 PERCENT = 85  # links have 100 * intersection >= PERCENT * union
 KEPT = 48  # values of a sketch; a pair at the threshold shares fewer than half with a chance of about 1e-8
 LIST = 32  # longest inverted list whose pairs are met one by one; longer ones go by hubs
-KEYS = 16  # sketch values by which documents of long lists meet; a pair at the threshold has none in common at 1e-13
 ESTIMATE = 0.5  # least estimate; a pair at the threshold falls below it with a chance of about 2e-9
 TILE = 256  # documents of one tile of a hub's group
+TILE_GRAMS = 1 << 20  # and shingles of its sets, so that long documents make small tiles
 BANDS = 20  # similarity to the hub, in steps of 1 / BANDS
 
 
-def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
-    """The distinct 5-word shingles of each text as ascending 63-bit values; a text of fewer words is one shingle."""
-    out = []
-    for low, high in pieces([len(t) for t in texts]):
+def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
+    """The distinct 5-word shingles of each text as ascending 63-bit values; a text of fewer words is one shingle.
+
+    Short texts are hashed together, a long one piece by piece; besides the sets, memory is bounded by the piece.
+    """
+    for low, high in pieces([len(t) for t in texts], PIECE_BYTES):
+        if high - low == 1 and len(texts[low]) > 2 * PIECE_BYTES:
+            yield _long_set(texts[low])
+            continue
         docs, words = word_hashes([t.lower() for t in texts[low:high]])
         rows, grams = gram_hashes(docs, words, WORDS)
         edge = np.searchsorted(rows, np.arange(high - low + 1))
@@ -35,10 +41,32 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
         for i in range(high - low):
             own = grams[edge[i] : edge[i + 1]]
             w = words[word_edge[i] : word_edge[i + 1]]
-            if 0 < len(w) < WORDS:
-                own = mix(np.array([np.sum(w * GRAM[: len(w)]) + np.uint64(len(w))], dtype=np.uint64))
-            out.append(np.unique(own >> np.uint64(1)).view(np.int64))
-    return out
+            yield _distinct(own if len(w) >= WORDS else _few_words(w))
+
+
+def _few_words(words: np.ndarray) -> np.ndarray:
+    if not len(words):
+        return words
+    return mix(np.array([np.sum(words * GRAM[: len(words)]) + np.uint64(len(words))], dtype=np.uint64))
+
+
+def _distinct(grams: np.ndarray) -> np.ndarray:
+    return np.unique(grams >> np.uint64(1)).view(np.int64)
+
+
+def _long_set(text: bytes) -> np.ndarray:
+    """The set of one text: the last words of a piece begin the next one; distinct values are merged as they double."""
+    whole, fresh, waiting = np.zeros(0, np.int64), [], 0
+    last = np.zeros(0, np.uint64)
+    for words in text_words(text, lower=True, size=PIECE_BYTES):
+        words = np.concatenate([last, words])
+        fresh.append(_distinct(gram_hashes(np.zeros(len(words), np.int64), words, WORDS)[1]))
+        last = words[-(WORDS - 1) :]
+        waiting += len(fresh[-1])
+        if waiting > len(whole) + PIECE_BYTES:
+            whole, fresh, waiting = np.unique(np.concatenate([whole, *fresh])), [], 0
+    whole = np.unique(np.concatenate([whole, *fresh]))
+    return whole if len(whole) else _distinct(_few_words(last))
 
 
 def _signature(values: np.ndarray) -> bytes:
@@ -47,22 +75,27 @@ def _signature(values: np.ndarray) -> bytes:
 
 def _sketches(batches):
     for b in batches:
-        sets = shingle_sets(as_bytes(b.column("text")))
+        sizes, signatures, sketches = [], [], []
+        for own in shingle_sets(as_bytes(b.column("text"))):
+            sizes.append(len(own))
+            signatures.append(_signature(own))
+            sketches.append(own[:KEPT].copy())  # the rest of the set is not kept
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-             pa.array([_signature(s) for s in sets], pa.binary()),
-             pa.array([s[:KEPT] for s in sets], pa.list_(pa.int64()))],
+            [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()),
+             pa.array(sketches, pa.list_(pa.int64()))],
             names=["doc_id", "n", "sig", "sketch"],
         )
 
 
 def _full_sets(batches):
     for b in batches:
-        sets = shingle_sets(as_bytes(b.column("text")))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([_signature(s) for s in sets], pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
-            names=["sig", "grams"],
-        )
+        texts = as_bytes(b.column("text"))
+        for low, high in pieces([len(t) for t in texts], 4 * PIECE_BYTES):
+            sets = list(shingle_sets(texts[low:high]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_signature(s) for s in sets], pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
+                names=["sig", "grams"],
+            )
 
 
 def linked(shared: Column, a: Column, b: Column) -> Column:
@@ -98,12 +131,19 @@ def _pairs_by_lists(entries: DataFrame, info: DataFrame) -> DataFrame:
 
 
 def _hub_members(entries: DataFrame, info: DataFrame) -> DataFrame:
-    """`(hub, node)` of the classes whose sketches consist of long lists for the most part.
+    """`(hub, node)` of the classes that may be linked over values of long lists alone.
 
-    The hub of a value is the smallest of these classes that has it. Two linked ones share a value, and with it a hub.
+    Such a link takes more than half of a sketch (of the shorter one, where sets are smaller than a sketch), all from
+    long lists. So a class needs as many, and of its values of long lists, from the rarest on, all but the last
+    that the link could do without: two linked classes have one of these in common. A text whose unshared part fills half of the sketch is not met at all,
+    and values of a passage that many share come last. The hub of a value is the smallest of its classes.
     """
-    common = info.filter(F.col("hot") * 200 >= F.col("k") * PERCENT).select("node")
-    keys = entries.filter(F.col("place") < KEYS).select("value", "node").join(common, "node")
+    full = F.col("n") * PERCENT >= KEPT * 100
+    need = F.when(full, F.lit(KEPT // 2 + 1)).otherwise(F.floor(F.col("k") * PERCENT / 200) + 1)
+    common = info.withColumn("spare", F.col("hot") - need).filter("spare >= 0").select("node", "spare")
+    rarest = Window.partitionBy("node").orderBy("df", "value")
+    long = entries.filter(F.col("df") > LIST).select("value", "node", "df").join(common, "node")
+    keys = long.withColumn("__r", F.row_number().over(rarest)).filter(F.col("__r") <= F.col("spare") + 1).select("value", "node")
     hubs = keys.groupBy("value").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1")
     return keys.join(hubs, "value").select("hub", "node").distinct()
 
@@ -173,9 +213,9 @@ def _hub_links(members: DataFrame, near: DataFrame, sets: DataFrame) -> DataFram
     core = linked(shared, F.col("na"), F.col("nb"))
     # bands from the bottom; documents that are linked to the hub stand apart on top
     band = F.when(core, BANDS).otherwise(F.least(F.floor(similar * BANDS), F.lit(BANDS - 1))).cast("int")
-    placed = near.select(F.col("a").alias("hub"), F.col("b").alias("node"), band.alias("band"), core.alias("core"))
-    counts = placed.groupBy("hub", "band").agg(F.count(F.lit(1)).alias("m"))
-    counts = cut(counts.withColumn("tiles", F.ceil(F.col("m") / TILE).cast("int")))
+    placed = near.select(F.col("a").alias("hub"), F.col("b").alias("node"), band.alias("band"), core.alias("core"), "nb")
+    counts = placed.groupBy("hub", "band").agg(F.count(F.lit(1)).alias("m"), F.sum("nb").alias("grams"))
+    counts = cut(counts.withColumn("tiles", F.ceil(F.greatest(F.col("m") / TILE, F.col("grams") / TILE_GRAMS)).cast("int")))
     placed = placed.join(counts.select("hub", "band", "tiles"), ["hub", "band"])
     placed = placed.withColumn("sub", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")).drop("tiles")
     tiles = counts.select("hub", "band", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("sub"))
@@ -213,8 +253,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Equal sets are one class before anything else happens. Each class retains the smallest hashes of its
     shingles. Classes that share a value of a short list are candidates; what remains of them after the estimate on the union's sketch
-    is counted on the full sets. Classes that consist of values of long lists meet by hubs (`_hub_links`), so a group
-    of any size is split into tiles and its pairs are never written out. Nothing is capped.
+    is counted on the full sets. Classes with enough values of long lists to be linked over those alone meet by hubs
+    (`_hub_links`), so a group of any size is split into tiles and its pairs are never written out. Nothing is capped.
     """
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     rows = cut(plain.mapInArrow(_sketches, "doc_id long, n long, sig binary, sketch array<long>"))
