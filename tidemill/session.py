@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
-BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# rows may be long texts: Spark's own 10,000 rows and 64 MB of a batch can fill a worker
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
 def build_session(app: str = "tidemill", master: str | None = None, **settings) -> SparkSession:
@@ -33,9 +34,10 @@ def prepare(spark: SparkSession) -> SparkSession:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     # rank filters up to this many rows per group are applied before the shuffle, too
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10000")
-    if spark.conf.get(BATCH_KEY) == "10000":
-        # rows may be long texts: Spark's default of 10,000 of them can fill a worker
-        spark.conf.set(BATCH_KEY, "1000")
+    given = spark.conf.getAll
+    for key, value in BATCHES.items():
+        if key not in given:
+            spark.conf.set(key, value)
     checkpoint_root(spark)
     return spark
 
