@@ -48,9 +48,11 @@ def _fold(rows_path: str, spark, max_files: int | None) -> DataFrame:
     """Run the arrivals through the keyed state; the last state of every digest comes back."""
     # settings of the state stay in a session of their own, which shares the application
     own = spark.newSession()
-    for k, v in (spark.conf.getAll | STATE).items():
-        if own.conf.get(k, None) != v and own.conf.isModifiable(k):
+    for k, v in spark.conf.getAll.items():
+        if own.conf.isModifiable(k):
             own.conf.set(k, v)
+    for k, v in STATE.items():  # among them settings of the store itself, which Spark does not list as its own
+        own.conf.set(k, v)
     source = own.readStream.schema(ROWS).option("maxFilesPerTrigger", max_files or 1_000_000).parquet(rows_path)
     state = source.groupBy("digest").agg(
         F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "place")).alias("keeper")
