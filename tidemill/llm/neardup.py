@@ -144,7 +144,9 @@ def _hub_members(entries: DataFrame, info: DataFrame) -> DataFrame:
     rarest = Window.partitionBy("node").orderBy("df", "value")
     long = entries.filter(F.col("df") > LIST).select("value", "node", "df").join(common, "node")
     keys = long.withColumn("__r", F.row_number().over(rarest)).filter(F.col("__r") <= F.col("spare") + 1).select("value", "node")
-    hubs = keys.groupBy("value").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    # written tables, so the join deals both sides itself and can split the classes of a frequent value
+    keys = cut(keys)
+    hubs = cut(keys.groupBy("value").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1"))
     return keys.join(hubs, "value").select("hub", "node").distinct()
 
 
@@ -293,5 +295,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of `docs` whose `doc_id` names its component; rows that share a `doc_id` stay or go together."""
-    stay = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(stay, docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
+    stay = near_duplicates(docs).filter("kept").select("doc_id").distinct()
+    # the given columns stay inside a struct, so none can clash with the key
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(stay, F.col("row.doc_id").cast("long").eqNullSafe(stay["doc_id"]), "left_semi").select("row.*")
