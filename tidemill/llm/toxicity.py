@@ -10,7 +10,7 @@ import regex
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.kernels import as_bytes, pieces, word_hashes
@@ -186,10 +186,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFram
     few = F.broadcast(chosen[0].unionByName(chosen[1]))
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text is not null").join(few, "doc_id")
     once = rows.groupBy("text").agg(F.max("label").alias("label"), F.min("doc_id").alias("doc_id"))
-    turn = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", "text"))
+    turn = F.pmod(F.xxhash64("doc_id", F.lit(FOLDS)), F.lit(FOLDS))
     share = lambda v: F.lit(max(sizes.get(v, 0) / max(min(sizes.get(v, 0), sample), 1), 1.0))
     weight = F.when(F.col("label") == 1.0, share(1.0)).otherwise(share(0.0))
-    return cut(once.select("label", (turn % FOLDS).alias("fold"), weight.alias("weight"), "text"))
+    return cut(once.select("label", turn.alias("fold"), weight.alias("weight"), "text"))
 
 
 def _text_words(batches):
