@@ -62,45 +62,91 @@ def test_round_trip_and_offsets(spark, ranks):
         assert "".join(text[s:e] for s, e in zip(r["starts"][:1], r["ends"][:1])) == text[: r["ends"][0] if r["ends"] else 0]
 
 
-def test_mix_takes_targets_to_the_word(spark):
+def mix_rows():
     rng = random.Random(8)
     rows = [(i, " ".join(["w"] * rng.randint(0, 90)), rng.choice(["a", "a", "a", "b", "é", None, "Z"])) for i in range(600)]
     rows += [(5, rows[5][1], rows[5][2]), (None, "x y", "a"), (700, None, "b"), (701, "solo", "tiny"), (702, "", "void")]
+    return rows
+
+
+def test_mix_follows_its_schedule(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOTS", 4000)  # blocks of several words
+    rows = mix_rows()
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "1 AS size", "2 AS start")
     documents, slices = mixing.mix(df)
     got, parts = documents.collect(), slices.collect()
     assert len(got) == len(rows)
     assert all(r["taken"] <= 2 * r["size"] for r in got)
-    by_source = {r["source"]: r["target"] for r in got}
-    for s, target in by_source.items():
-        assert sum(r["taken"] for r in got if r["source"] == s) == math.floor(target)
+    goals = {r["source"]: (r["target"], r["source_size"]) for r in got}
+    length = mixing.block_length(sum(t for t, _ in goals.values()))
+    assert length > 1
+    for s, (target, size) in goals.items():
         own = [p for p in parts if p["source"] == s]
-        assert sum(p["words"] for p in own) == math.floor(target)
+        words = sum(p["words"] for p in own)
+        assert sum(r["taken"] for r in got if r["source"] == s) == words <= 2 * size
+        assert abs(words - target) <= mixing.ERROR * length
+        # every block but a last one that the stream cuts short has the same length, and blocks follow the slots' order
         blocks = Counter()
         for p in own:
             blocks[p["slot"]] += p["words"]
-        assert not blocks or max(blocks.values()) - min(blocks.values()) <= 1
+        in_order = [blocks[j] for j in sorted(blocks)]
+        assert all(n == length for n in in_order[:-1]) and all(0 < n <= length for n in in_order[-1:])
+        order = [p["first"] for p in sorted(own, key=lambda p: (p["slot"], p["first"]))]
+        assert order == sorted(order)
     again = mixing.mix(df.repartition(5))[0].collect()
     assert Counter(map(tuple, got)) == Counter(map(tuple, again))
     assert mixing.mix(df.limit(0))[0].count() == 0
+    # what is taken comes through the schedule: another sequence of points gives other numbers
+    other = mixing.mix(df, step=1 << 20)[0].collect()
+    assert Counter(map(tuple, got)) != Counter(map(tuple, other))
 
 
 def test_schedule_is_spread_evenly(spark):
     targets = spark.createDataFrame([(0, 50.0), (1, 30.0), (2, 20.0), (3, 0.0)], "source_no int, target double")
-    slots = mixing.schedule(targets).orderBy("slot").collect()
-    n = mixing.SLOTS
-    assert [r["slot"] for r in slots] == [*range(n + 3)]
-    for share, no in ((0.5, 0), (0.3, 1), (0.2, 2)):
-        seen = 0
-        for r in slots[:n]:
-            seen += r["source_no"] == no
-            assert abs(seen - share * (r["slot"] + 1)) < 8
-        assert [r["nth"] for r in slots if r["source_no"] == no] == [*range(seen + 1)]
+    for scale in (1, 655.36, 10_000):
+        goal = targets.withColumn("target", F.col("target") * scale)
+        found, length = mixing.schedule(goal)
+        slots = found.orderBy("slot").collect()
+        n = int(100 * scale / length)
+        assert length == max(1, min(256, int(100 * scale / mixing.SLOTS))) and [r["slot"] for r in slots] == [*range(n)]
+        for share, no in ((0.5, 0), (0.3, 1), (0.2, 2)):
+            seen = 0
+            for r in slots:
+                seen += r["source_no"] == no
+                assert abs(seen - share * (r["slot"] + 1)) < mixing.ERROR
+            assert [r["nth"] for r in slots if r["source_no"] == no] == [*range(seen)]
+
+
+def test_points_do_not_overflow(spark):
+    slots = [0, 1, 65_535, 65_536, (1 << 31) + 7, (1 << 32) - 1, (1 << 32) + 3, 10**12]
+    df = spark.createDataFrame([(j,) for j in slots], "slot long").select("slot", mixing.points(F.col("slot"), mixing.GOLDEN).alias("p"))
+    assert {r["slot"]: r["p"] for r in df.collect()} == {j: j * mixing.GOLDEN % (1 << 32) for j in slots}
+
+
+def test_rows_come_in_the_order_of_the_schedule_and_equal_ones_as_often_as_taken(spark):
+    two = spark.createDataFrame([(1, "a b c", "s", "y"), (1, "a b c", "s", "x")], "doc_id long, text string, source string, row string")
+    # 9 words are asked for: one and a half times six
+    assert sorted(r["row"] for r in mixing.repeat_by_mix(two).collect()) == ["x"] * 3
+    rows = mix_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "doc_id AS slot", "1 AS place", "2 AS key")
+    _, slices = mixing.mix(df)
+    want = {}
+    for r in mixing.copies(slices).collect():
+        want.setdefault(r["place"], []).append(r["slot"])
+    mixed = mixing.repeat_by_mix(df)
+    assert mixed.columns == df.columns
+    got = mixed.select("doc_id", mixing.shuffle_key().alias("p")).collect()
+    assert Counter(r["p"] for r in got) == Counter({p: len(s) for p, s in want.items()})
+    seen, turn = {}, Counter()
+    for i, r in enumerate(got):
+        slot = sorted(want[r["p"]])[turn[r["p"]]]
+        turn[r["p"]] += 1
+        seen[i] = slot
+    assert [seen[i] for i in range(len(got))] == sorted(seen.values())
 
 
 def test_top_k_against_all_products(spark, monkeypatch):
-    monkeypatch.setattr(topk, "CANDIDATES", 40)
-    monkeypatch.setattr(topk, "QUERIES", 5)
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 40 * 20 * 8)
     rng = random.Random(6)
     rows = [(i, [rng.gauss(0, 1) for _ in range(20)]) for i in range(150)]
     rows += [(200, rows[0][1]), (201, rows[0][1]), (202, None), (203, [1.0, None]), (204, [float("nan")] * 20), (205, []),
@@ -119,6 +165,16 @@ def test_top_k_against_all_products(spark, monkeypatch):
     assert [r["rank"] for r in few.orderBy("rank").collect()] == [1, 2]
 
 
+def test_top_k_of_repeated_ids(spark):
+    rows = [(i, [float(9 - i), 1.0]) for i in range(9)] + [(50, [1.0, 0.0]), (50, [1.0, 0.0]), (50, [-1.0, 0.0]), (3, [7.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.exact_top_k(df, df.filter("vec_id = 50"), 3, 1).collect()
+    ahead = [(1, 0, 9), (2, 1, 8), (3, 2, 7)]
+    back = [(1, 8, -1), (2, 7, -2), (3, 6, -3)]
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got) == sorted(ahead * 2 + back)
+    assert {r["query_id"] for r in got} == {50}
+
+
 def test_top_k_of_large_negative_scores_before_zeros():
     rows = [np.array([2_000_000 + i // 3] + [0] * 23) for i in range(10)]
     query = np.array([-2_000_000] + [0] * 23)

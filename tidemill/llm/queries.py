@@ -107,10 +107,24 @@ WITH sized AS (
          CASE WHEN level * weight >= cap THEN cap
               ELSE (SELECT arg_min(level, r) FROM levels WHERE NOT level * weight >= cap) * weight END AS target
   FROM levels
+), cuts AS (
+  SELECT source, source_size, target, 4294967296 AS unit, greatest(1, least(256, CAST(floor(sum(target) OVER () / 65536) AS BIGINT))) AS block,
+         sum(target) OVER () AS whole, sum(target) OVER (ORDER BY source IS NULL, encode(source)) AS upto,
+         row_number() OVER (ORDER BY source IS NULL, encode(source)) AS no
+  FROM targets WHERE target > 0
+), stretches AS (
+  SELECT *, CASE WHEN no = max(no) OVER () THEN unit ELSE CAST(floor(upto / whole * unit::DOUBLE) AS BIGINT) END AS behind FROM cuts
+), slots AS (
+  SELECT (j * 2654435769::HUGEINT) % 4294967296 AS point
+  FROM (SELECT unnest(range((SELECT CAST(floor(max(whole) / max(block)) AS BIGINT) FROM cuts))) AS j)
+), drawn AS (
+  SELECT source, any_value(block) * count(point) AS words
+  FROM (SELECT *, coalesce(lag(behind) OVER (ORDER BY no), 0) AS front FROM stretches) JOIN slots ON point >= front AND point < behind
+  GROUP BY source
 ), laid AS (
-  SELECT doc_id, size, source_size, target, CAST(floor(target) AS BIGINT) AS words,
+  SELECT doc_id, size, source_size, target, CAST(least(coalesce(words, 0), 2 * source_size) AS BIGINT) AS words,
          CAST(sum(size) OVER (PARTITION BY s.source ORDER BY place, doc_id ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS start
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source LEFT JOIN drawn d ON s.source IS NOT DISTINCT FROM d.source
 )
 SELECT doc_id, size, source_size, target,
        CAST(greatest(least(start + size, words) - start, 0) + greatest(least(source_size + start + size, words) - source_size - start, 0)
