@@ -37,30 +37,31 @@ def _tokens(name: str, stop_words: Sequence[str] | None) -> Column:
     return texts.tokens(name) if stop_words is None else texts.tokens_and_bigrams(name, stop_words)
 
 
+def _counted(chunks: DataFrame, columns: Sequence, text: str, stop_words: Sequence[str] | None) -> DataFrame:
+    """`columns` and every different term of a chunk with its count `tf`, found inside the row: no token is ever a row of its own."""
+    found = chunks.select(*columns, _tokens(text, stop_words).alias("__t")).select(*columns, texts.frequencies("__t").alias("__f"))
+    # the outer form keeps the optimiser from putting a filter with a copy of all this below
+    each = found.select(*columns, F.explode_outer("__f").alias("__e")).filter("__e IS NOT NULL")
+    return each.select(*columns, "__e.term", "__e.tf")
+
+
 def term_counts(
     chunks: DataFrame, key: str, text: str, stop_words: Sequence[str] | None = None, known: DataFrame | None = None
 ) -> DataFrame:
-    """Counts per chunk and term, laid out by chunk. Texts do not move, and of the terms only those in `known (term, idf)`."""
-    each = chunks.select(key, F.explode(_tokens(text, stop_words)).alias("term"))
-    by = [key, "term"]
+    """Counts per chunk and term, laid out by chunk; `key` must be unique. Texts do not move, and of the terms, counted
+    inside each row, only those in `known (term, idf)`."""
+    each = _counted(chunks, [key], text, stop_words)
     if known is not None:
         # bounded by the vocabulary limit
-        each, by = each.join(F.broadcast(known.select("term", "idf")), "term"), [*by, "idf"]
-    return each.repartition(key).groupBy(*by).agg(F.count(F.lit(1)).alias("tf"))
+        each = each.join(F.broadcast(known.select("term", "idf")), "term").select(key, "term", "idf", "tf")
+    return each.repartition(key)
 
 
 def fit_terms(chunks: DataFrame, key: str, text: str, max_terms: int = 4096, stop_words: Sequence[str] | None = None) -> DataFrame:
     """The most frequent terms (ties alphabetical) with their inverse document weight."""
     total = chunks.agg(F.count(F.lit(1))).scalar()
-    # one scan without moving any text: each token counts once, each distinct token of a chunk once more
-    both = F.array(
-        F.struct(F.lit(0).alias("once"), F.col("__t").alias("ts")),
-        F.struct(F.lit(1).alias("once"), F.array_distinct("__t").alias("ts")),
-    )
-    rows = chunks.select(_tokens(text, stop_words).alias("__t")).select(F.inline(both))
-    terms = rows.select("once", F.explode("ts").alias("term")).groupBy("term").agg(
-        F.sum(1 - F.col("once")).alias("count"), F.sum("once").alias("df")
-    )
+    # a row per chunk and different term, summed inside the tasks
+    terms = _counted(chunks, [], text, stop_words).groupBy("term").agg(F.sum("tf").alias("count"), F.count(F.lit(1)).alias("df"))
     kept = terms.orderBy(F.desc("count"), "term").limit(max_terms)
     return kept.withColumn("idf", F.ln((1 + total) / (1 + F.col("df"))) + 1)
 
@@ -68,7 +69,7 @@ def fit_terms(chunks: DataFrame, key: str, text: str, max_terms: int = 4096, sto
 def term_weights(
     chunks: DataFrame, terms: DataFrame, key: str, text: str, stop_words: Sequence[str] | None = None, sublinear: bool = False
 ) -> DataFrame:
-    """Normalised weights `(key, term, weight)`; a chunk without known terms has no rows.
+    """Normalised weights `(key, term, weight)`; a chunk without known terms has no rows. `key` must be unique.
 
     `terms` holds at most `max_terms` rows, which bounds the broadcast and the window.
     """

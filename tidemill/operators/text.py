@@ -114,7 +114,8 @@ def sentence_chunks(docs: DataFrame, key: str, text: str, size: int = 800, overl
             F.array_join(F.slice(F.col("s"), b["start"] + 1, b["stop"] - b["start"]), " ").alias("text"),
         ),
     )
-    each = packed.select(key, joined.alias("c")).select(key, F.posexplode("c").alias("chunk_index", "c"))
+    # the outer form: below the plain one the optimiser puts a filter on the array's size, with a second copy of all that makes it
+    each = packed.select(key, joined.alias("c")).select(key, F.posexplode_outer("c").alias("chunk_index", "c")).filter("c IS NOT NULL")
     return each.select(key, "chunk_index", "c.start", "c.stop", "c.text").withColumn("chunk_id", F.concat(F.col(key).cast("string"), F.lit("::chunk"), F.col("chunk_index").cast("string")))
 
 
@@ -159,7 +160,8 @@ def window_chunks(parts: DataFrame, key: str, size: int = 800, overlap: int = 12
     # the pieces are cut before the rows are multiplied, so no row carries the body
     cut_up = F.transform(starts, lambda at: texts.strip(F.substring(F.col("body"), at + 1, F.lit(size))))
     bodies = parts.withColumn("__n", F.size(starts)).withColumn("__pieces", cut_up).drop("body")
-    each = bodies.select(*[c for c in bodies.columns if c != "__pieces"], F.posexplode("__pieces").alias("piece", "__piece"))
+    each = bodies.select(*[c for c in bodies.columns if c != "__pieces"], F.posexplode_outer("__pieces").alias("piece", "__piece"))
+    each = each.filter("__piece IS NOT NULL")
     suffix = F.concat(
         F.lit("-"), F.coalesce("section_number", F.lit("full")),
         F.when(F.col("__n") > 1, F.concat(F.lit("."), F.col("piece").cast("string"))).otherwise(""),

@@ -11,7 +11,7 @@ from tidemill.plans.registry import query
 from tidemill.plans.tables import BLANKS
 from tidemill.plans.timeline import rounded
 from tidemill.plans.views import table
-from tidemill.session import cut, scratch_path
+from tidemill.session import cut, scratch_path, spread
 from tidemill.sources import files
 
 # ---- vocabularies and sequences
@@ -29,9 +29,13 @@ VOCAB_SQL = """w AS (SELECT {key} AS k, {words} AS ws FROM {table}),
     vocab AS (SELECT word, CAST(n AS BIGINT) AS n, row_number() OVER (ORDER BY n DESC, f) AS index FROM c)"""
 
 
+def documents(spark, sf):
+    return spread(table(spark, sf, "documents"))
+
+
 @query("x1_vocabulary", "WITH " + VOCAB_SQL.format(key="doc_id", words=words_sql("text"), table="documents") + " SELECT word, n, index FROM vocab")
 def _(spark, sf):
-    return text.vocabulary(table(spark, sf, "documents"), "doc_id", "text")
+    return text.vocabulary(documents(spark, sf), "doc_id", "text")
 
 
 @query(
@@ -65,7 +69,7 @@ NEXT_SQL = f"""l AS (SELECT unnest(string_split(text, chr(10))) AS t FROM docume
 
 @query("x3_next_words", f"WITH {NEXT_SQL} SELECT word, next FROM model")
 def _(spark, sf):
-    return text.next_words(table(spark, sf, "documents"), "text")
+    return text.next_words(documents(spark, sf), "text")
 
 
 @query(
@@ -79,7 +83,7 @@ def _(spark, sf):
     + " SELECT item_id, g AS generated FROM s5",
 )
 def _(spark, sf):
-    model = text.next_words(table(spark, sf, "documents"), "text")
+    model = text.next_words(documents(spark, sf), "text")
     return text.continue_texts(table(spark, sf, "benchmark"), model, "text").select("item_id", "generated")
 
 
@@ -99,7 +103,7 @@ BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
         lambda x: {strip_sql("x")}), lambda x: x <> ''), chr(10))) AS digest FROM documents""",
 )
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5(texts.clean_lines("text").cast("binary")).alias("digest"))
+    return documents(spark, sf).select("doc_id", F.md5(texts.clean_lines("text").cast("binary")).alias("digest"))
 
 
 def sentences_sql(column, mark="chr(1)"):
@@ -114,12 +118,12 @@ def sentences_sql(column, mark="chr(1)"):
         SELECT doc_id, unnest(range(len(s))) AS pos, unnest(s) AS sentence FROM s""",
 )
 def _(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", F.posexplode(texts.sentences("text")).alias("pos", "sentence"))
+    rows = documents(spark, sf).select("doc_id", F.posexplode(texts.sentences("text")).alias("pos", "sentence"))
     return rows.withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def packed(spark, sf):
-    return text.sentence_chunks(table(spark, sf, "documents"), "doc_id", "text")
+    return text.sentence_chunks(documents(spark, sf), "doc_id", "text")
 
 
 @query(
@@ -157,7 +161,7 @@ def sectioned(spark, sf):
         lambda x, i: F.concat(F.lit("## "), i.cast("string"), F.lit(". Part "), i.cast("string"), F.lit("\n"), x),
     )
     title = F.concat(F.lit("Doc "), F.col("doc_id").cast("string"))
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id", title.alias("title"), F.concat(F.lit("# "), title, F.lit("\n"), F.array_join(numbered, "\n")).alias("text")
     )
 
@@ -177,7 +181,7 @@ def _(spark, sf):
     "SELECT doc_id, text AS body FROM documents",
 )
 def _(spark, sf):
-    docs = table(spark, sf, "documents").withColumn("title", F.lit("untitled"))
+    docs = documents(spark, sf).withColumn("title", F.lit("untitled"))
     return text.sections(docs, "doc_id", "text", "title").filter(F.col("section_number").isNull()).select("doc_id", "body")
 
 
@@ -212,7 +216,7 @@ def _(spark, sf):
 def window_chunks(spark, sf):
     """Fixed windows over the plain documents."""
     title = F.concat(F.lit("Doc "), F.col("doc_id").cast("string"))
-    docs = table(spark, sf, "documents").select("doc_id", title.alias("title"), "text")
+    docs = documents(spark, sf).select("doc_id", title.alias("title"), "text")
     return text.window_chunks(text.sections(docs, "doc_id", "text", "title"), "doc_id")
 
 
@@ -246,7 +250,7 @@ DOC_WEIGHTS = weights_sql("documents", "doc_id", "text", "terms", "idx")
 
 @query("x9_term_weights", f"WITH {DOC_TERMS}, {DOC_WEIGHTS} SELECT doc_id, term, round(weight, 6) AS weight FROM idx")
 def _(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     terms = retrieval.fit_terms(docs, "doc_id", "text")
     return rounded(retrieval.term_weights(docs, terms, "doc_id", "text"), 6, "weight")
 
@@ -257,7 +261,7 @@ def _(spark, sf):
         SELECT doc_id, term, round(weight, 6) AS weight FROM idx""",
 )
 def _(spark, sf):
-    docs, stop = table(spark, sf, "documents"), texts.STOP_WORDS
+    docs, stop = documents(spark, sf), texts.STOP_WORDS
     terms = retrieval.fit_terms(docs, "doc_id", "text", stop_words=stop)
     return rounded(retrieval.term_weights(docs, terms, "doc_id", "text", stop_words=stop, sublinear=True), 6, "weight")
 
@@ -429,7 +433,7 @@ def _(spark, sf):
     f"WITH {DOC_TERMS}, {DOC_WEIGHTS} SELECT doc_id, CAST(count(*) AS BIGINT) AS terms, round(sum(weight), 5) AS total FROM idx GROUP BY doc_id",
 )
 def _(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     path = scratch_path(spark, "term-index")
     index = retrieval.term_weights(docs, retrieval.fit_terms(docs, "doc_id", "text"), "doc_id", "text")
     files.save_index(index, path)
@@ -458,7 +462,7 @@ def _(spark, sf):
         lambda w: length(w) > 4), lambda w: lower(w))))[1:5], ' ') AS keywords FROM documents""",
 )
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.array_join(texts.keywords("text"), " ").alias("keywords"))
+    return documents(spark, sf).select("doc_id", F.array_join(texts.keywords("text"), " ").alias("keywords"))
 
 
 @query(

@@ -64,6 +64,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A stored table that is read in fewer parts than the session has cores, dealt to all of them; any other as it is.
+
+    Work on long texts would else keep one core busy per file. What moves is at most a split of a file for each core.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write `df` as a table in the checkpoint folder and go on from the written copy.
 
