@@ -10,7 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from tidemill.functions import arrays as arr
-from tidemill.operators import cluster, features, linalg, models, ordering, series
+from tidemill.operators import aggregates, cluster, features, linalg, models, ordering, series
 
 rng = np.random.default_rng(5)
 
@@ -299,20 +299,48 @@ def test_registered_models_use_the_reference_settings(spark, monkeypatch):
     from tidemill.plans import catalogue, learning
 
     seen = {}
-    monkeypatch.setattr(learning, "_matrix", lambda *a: None)
+    monkeypatch.setattr(learning, "_features", lambda *a: None)
+    monkeypatch.setattr(learning, "_split", lambda rows: (spark.range(1).withColumns({"row_index": F.lit(0), "role": F.lit("train")}), None))
     monkeypatch.setattr(learning, "_scaled_clients", lambda *a: None)
     monkeypatch.setattr(learning, "cut", lambda x: x)
     for name in ("contiguous_folds", "expanding_folds"):
-        monkeypatch.setattr(learning.ordering, name, lambda *a, **k: None)
+        monkeypatch.setattr(learning.ordering, name, lambda *a, name=name, **k: seen.setdefault(name, k) and None)
     monkeypatch.setattr(models, "contiguous_roles", lambda x: None)
-    monkeypatch.setattr(models, "random_forest", lambda **k: seen.setdefault("forest", k))
-    monkeypatch.setattr(learning.features, "scaled", lambda x: None)
-    monkeypatch.setattr(learning.features, "lasso_model", lambda: None)
-    monkeypatch.setattr(models, "cross_validate", lambda *a: None)
-    monkeypatch.setattr(models, "search_boosted", lambda folds, space=None, **k: seen.setdefault("space", space))
+    monkeypatch.setattr(models, "cross_validate", lambda estimators, folds: seen.setdefault("compared", estimators))
+    monkeypatch.setattr(models, "search_boosted", lambda folds, space=None, **k: seen.setdefault("search", (space, k)))
     monkeypatch.setattr(cluster, "kmeans_labels", lambda df, k, **more: seen.setdefault("labels", more))
     monkeypatch.setattr(cluster, "silhouette_squared", lambda df: 0.0)
 
     for name in ("m9_cross_validation", "m9_search", "c2_silhouette_squared"):
         catalogue.QUERIES[name](spark, "")
-    assert seen == {"forest": {}, "space": None, "labels": {}}
+    compared = seen.pop("compared")
+    assert seen == {"contiguous_folds": {}, "expanding_folds": {}, "search": (None, {}), "labels": {}}
+    assert list(compared) == ["linear", "ridge", "lasso", "forest", "gradient_boosting", "penalised_trees"]
+    forest, plain, second = compared["forest"], compared["gradient_boosting"], compared["penalised_trees"]
+    assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMinInstancesPerNode()) == (200, 12, 3)
+    assert (plain.rounds, plain.rate, plain.depth, plain.subsample, plain.l1, plain.l2) == (200, 0.08, 5, 0.85, 0.0, 0.0)
+    assert (second.rounds, second.rate, second.depth, second.subsample, second.columns) == (300, 0.07, 6, 0.85, 0.8)
+    assert len(models.SEARCH_SPACE) == 9
+
+
+def test_ridge_penalises_the_sum_of_squares(table):
+    df, _x, y = table
+    ready = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df).withColumn("label", F.col("y"))
+    rows = df.orderBy("id").toPandas()
+    x = rows[["a", "b", "c"]].to_numpy(float)
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    t = rows["y"].to_numpy(float)
+    w = np.linalg.solve(z.T @ z + 10.0 * np.eye(3), z.T @ (t - t.mean()))
+    got = models.Ridge(10.0).fit(ready).transform(ready).orderBy("id").toPandas()["prediction"].to_numpy()
+    assert np.allclose(got, z @ w + t.mean(), atol=1e-6)
+
+
+def test_leaderboard_of_all_models(table):
+    df, _x, _y = table
+    ready = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df).withColumn("label", F.col("y"))
+    parts = ready.select("id", "features", "label")
+    small = {k: m.copy(rounds=5) if k in ("gradient_boosting", "penalised_trees") else m for k, m in models.six_models().items()}
+    small["forest"] = models.random_forest(trees=5, depth=3)
+    board = aggregates.leaderboard(models.all_predictions(small, parts, parts)).collect()
+    assert {r["model_name"] for r in board} == set(small) and sum(r["best"] for r in board) == 1
+    assert [r["r2"] for r in board] == sorted((r["r2"] for r in board), reverse=True)

@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.functions.scalars import ratio_features
 from tidemill.operators.linalg import Gram, column_gram
 from tidemill.operators.ordering import global_index, quantiles
+from tidemill.operators.series import lag_features, rolling_features
 from tidemill.operators.stats import bin_of
 
 
@@ -51,6 +53,24 @@ def numeric_features(df: DataFrame, leave_out: Sequence[str]) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in set(leave_out)]
 
 
+def modelling_features(df: DataFrame, by: Sequence[str], date: str, target: str, price: str) -> DataFrame:
+    """The columns a model of a monthly measure learns from, besides those given: calendar parts, earlier values of target and price
+    (1, 3 and 6 rows back), mean and deviation of the 3 and 6 rows before, products and ratios, the logarithm of the price.
+
+    Rows without all of the earlier values are left out, as is any other row with a null. Ratios that use the target are not among them.
+    """
+    rows = rolling_features(lag_features(df, by, date, [target, price]), by, date, target)
+    rows = ratio_features(rows, price=price, sold=target).drop("made_minus_sold", "stations_per_sale")
+    month = F.month(date)
+    rows = rows.withColumns(
+        {
+            "quarter": F.quarter(date), "week": F.weekofyear(date), "is_q4": (F.quarter(date) == 4).cast("int"),
+            "year_progress": (month - 1) / F.lit(11.0), f"log_{price}": F.log1p(price),
+        }
+    )
+    return rows.na.drop()
+
+
 def feature_matrix(df: DataFrame, target: str, leave_out: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Assembled `features` and `label` with nulls as 0."""
     features = numeric_features(df, [target, *leave_out, *keep])

@@ -5,20 +5,24 @@ from __future__ import annotations
 import json
 import random
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator
 from pyspark.ml.classification import MultilayerPerceptronClassifier
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.functions.arrays import mean_square
+from tidemill.functions.arrays import mean_square, total
 from tidemill.operators.aggregates import error_metrics
-from tidemill.operators.linalg import low_rank
+from tidemill.operators.boosting import PenalisedTrees
+from tidemill.operators.features import lasso_model, scaled
+from tidemill.operators.linalg import low_rank, vector_gram
 from tidemill.operators.ordering import chronological_split, expanding_folds
 from tidemill.session import cut
 
@@ -26,9 +30,9 @@ from tidemill.session import cut
 FITS = 4  # fits that run at the same time
 
 
-def side_by_side(fn, items: Sequence) -> list:
+def side_by_side(fn, items: Sequence, at_once: int = FITS) -> list:
     """`fn` of each item, in order, a few at a time: small fits leave most of a cluster idle on their own."""
-    with ThreadPool(FITS) as pool:
+    with ThreadPool(at_once) as pool:
         return pool.map(fn, items, 1)
 
 
@@ -77,7 +81,7 @@ def cross_validate(estimators: dict[str, Estimator], folds: DataFrame, count: in
     """Mean and deviation of R² over the folds, best model first."""
     rows = []
     for name, estimator in estimators.items():
-        rows += [(name, i, s) for i, s in enumerate(fold_scores(estimator, folds, count))]
+        rows += [(name, i, float(s)) for i, s in enumerate(fold_scores(estimator, folds, count))]
     scores = folds.sparkSession.createDataFrame(rows, "model_name string, fold int, r2 double")
     return (
         scores.groupBy("model_name")
@@ -92,6 +96,53 @@ def contiguous_roles(folds: DataFrame, count: int = 5) -> DataFrame:
     return each.withColumn("role", F.when(F.col("__own") == F.col("fold"), "test").otherwise("train")).drop("__own")
 
 
+@dataclass(frozen=True)
+class Ridge:
+    """Least squares on standardised features with penalty `alpha` on the sum of squared weights, in closed form from one Gram pass.
+
+    It takes the place of an estimator: Spark's own divides the penalty by the deviation of the label.
+    """
+
+    alpha: float = 10.0
+    intercept: float = 0.0
+    weights: tuple[float, ...] = ()
+
+    def copy(self) -> Ridge:
+        return self
+
+    def fit(self, df: DataFrame) -> Ridge:
+        g = vector_gram(df.select(F.concat(vector_to_array("features"), F.array(F.col("label").cast("double"))).alias("v")), "v")
+        cov, d = g.covariance(ddof=0), len(g.deltas) - 1
+        scale = np.sqrt(np.maximum(np.diag(cov)[:d], 0.0))
+        scale[scale == 0] = 1.0
+        system = cov[:d, :d] / np.outer(scale, scale) + np.eye(d) * self.alpha / g.n
+        raw = np.linalg.solve(system, cov[:d, d] / scale) / scale
+        return replace(self, intercept=float(g.means[d] - raw @ g.means[:d]), weights=tuple(map(float, raw)))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        terms = F.zip_with(vector_to_array("features"), F.array(*[F.lit(w) for w in self.weights]), lambda x, w: x * w)
+        return df.withColumn("prediction", F.lit(self.intercept) + total(terms))
+
+
+def six_models() -> dict[str, Estimator]:
+    """The models of the comparison with the settings they are compared with.
+
+    Gradient boosting for squared loss is the penalised kind without penalties: leaves are mean residuals either way.
+    """
+    plain = PenalisedTrees(rounds=200, rate=0.08, depth=5, subsample=0.85, columns=1.0, l2=0.0)
+    return {
+        "linear": scaled(LinearRegression(regParam=0.0)), "ridge": Ridge(10.0), "lasso": scaled(lasso_model(50.0)),
+        "forest": random_forest(), "gradient_boosting": plain, "penalised_trees": PenalisedTrees(),
+    }
+
+
+def all_predictions(estimators: dict[str, Estimator], train: DataFrame, test: DataFrame) -> DataFrame:
+    """Predictions of every model on the test rows in long form (`model_name`, `y`, `p`), bounded below by 0."""
+    found = side_by_side(lambda item: fit_predict(item[1], train, test, item[0]), list(estimators.items()))
+    names = [*(c for c in test.columns if c not in ("features", "label")), "model_name", "y", "p"]
+    return reduce(DataFrame.unionByName, [df.select(*names) for df in found])
+
+
 # The lists a random draw picks from.
 SEARCH_SPACE = {
     "rounds": (100, 200, 300, 400, 500),
@@ -99,8 +150,10 @@ SEARCH_SPACE = {
     "depth": (3, 4, 5, 6, 7, 8),
     "subsample": (0.6, 0.7, 0.8, 0.85, 0.9, 1.0),
     "columns": (0.5, 0.6, 0.7, 0.8, 0.9, 1.0),
-    "leaf": (1, 3, 5, 7),
-    "gain": (0.0, 0.1, 0.2, 0.5, 1.0),
+    "weight": (1, 3, 5, 7),
+    "gain": (0, 0.1, 0.2, 0.5, 1.0),
+    "l1": (0, 0.01, 0.1, 1.0),
+    "l2": (1.0, 1.5, 2.0, 5.0),
 }
 
 
@@ -115,20 +168,28 @@ def neighbour_grid(best: dict) -> list[dict]:
 def search_boosted(
     folds: DataFrame, space: dict | None = None, draws: int = 50, count: int = 5, seed: int = 42, refine: bool = True
 ) -> DataFrame:
-    """Random search over boosted trees, then the grid around the winner; one row per try."""
+    """Random search over the penalised trees, then the grid around the winner: `(stage, params, mean_r2)`, a row per try.
+
+    `folds` has `fold` and `role` besides `features` and `label`. The bins of a fold are found and written once for all
+    tries; several fits run at the same time.
+    """
     space, rng = space or SEARCH_SPACE, random.Random(seed)
-    tries: list[tuple[str, dict, float]] = []
+    tests = [cut(folds.filter((F.col("fold") == i) & (F.col("role") == "test")).select("features", "label")) for i in range(count)]
+    trains = side_by_side(lambda i: PenalisedTrees().binned(folds.filter((F.col("fold") == i) & (F.col("role") == "train"))), range(count))
+
+    def score(job: tuple[dict, int]) -> float:
+        params, i = job
+        model = PenalisedTrees(**params, seed=seed).fit_binned(trains[i])
+        return error_metrics(model.transform(tests[i]), "label", "prediction").first()["r2"]
 
-    def score(stage: str, params: dict) -> None:
-        r2 = fold_scores(boosted_trees(**params), folds, count)
-        tries.append((stage, params, sum(r2) / len(r2)))
+    def scored(stage: str, tries: list[dict]) -> list[tuple[str, dict, float]]:
+        r2 = iter(side_by_side(score, [(params, i) for params in tries for i in range(count)], 2 * FITS))
+        return [(stage, params, sum(next(r2) for _ in range(count)) / count) for params in tries]
 
-    for _ in range(draws):
-        score("random", {k: rng.choice(v) for k, v in space.items()})
+    found = scored("random", [{k: rng.choice(v) for k, v in space.items()} for _ in range(draws)])
     if refine:
-        for params in neighbour_grid(max(tries, key=lambda t: t[-1])[1]):
-            score("grid", params)
-    rows = [(stage, json.dumps(params, sort_keys=True), r2) for stage, params, r2 in tries]
+        found += scored("grid", neighbour_grid(max(found, key=lambda t: t[-1])[1]))
+    rows = [(stage, json.dumps(params, sort_keys=True), float(r2)) for stage, params, r2 in found]
     frame = folds.sparkSession.createDataFrame(rows, "stage string, params string, mean_r2 double")
     return frame.orderBy(F.desc("mean_r2"), "stage", "params")
 

@@ -7,7 +7,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from tidemill.functions import arrays as arr
+from tidemill.operators import aggregates as agg
 from tidemill.operators import cluster, features, linalg, models, ordering
+from tidemill.operators.boosting import PenalisedTrees
 from tidemill.plans.registry import query
 from tidemill.plans.timeline import rounded
 from tidemill.plans.views import CLIENTS_SQL, DELIVERIES_SQL, clients, deliveries, table
@@ -165,18 +167,84 @@ def _(spark, sf):
     return p.select("region", "model", F.col("date").cast("string").alias("date"), "y", "p")
 
 
-@query("m9_cross_validation")
+@query("m8_penalised_trees")
 def _(spark, sf):
-    folds = cut(models.contiguous_roles(ordering.contiguous_folds(_matrix(spark, sf), *KEYS)))
-    return models.cross_validate(
-        {"forest": models.random_forest(), "lasso": features.scaled(features.lasso_model())}, folds
+    train, test = _split(_features(spark, sf))
+    p = models.fit_predict(PenalisedTrees(), train, test, "penalised")
+    return p.select("region", "model", F.col("date").cast("string").alias("date"), "y", "p")
+
+
+LAGS = [f"{c}_lag_{k}" for c in ("deliveries", "price") for k in (1, 3, 6)]
+ROLLED = [f"deliveries_{s}_{n}" for n in (3, 6) for s in ("mean", "std")]
+MADE = ["quarter", "week", "is_q4", "year_progress", "log_price", "price_x_range", "battery_x_range", "range_per_kwh"]
+
+
+def _modelled(spark, sf):
+    return features.modelling_features(deliveries(spark, sf), ["region", "model"], "date", "deliveries", "price")
+
+
+@query(
+    "m12_modelling_features",
+    f"""WITH {DELIVERIES_SQL}, wide AS (
+        SELECT region, model, CAST(date AS VARCHAR) AS date, deliveries, price, """
+    + ", ".join(f"lag({c}, {k}) OVER own AS {c}_lag_{k}" for c in ("deliveries", "price") for k in (1, 3, 6))
+    + ", "
+    + ", ".join(
+        f"avg(deliveries) OVER (own ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING) AS deliveries_mean_{n}, "
+        f"coalesce(stddev_samp(deliveries) OVER (own ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING), 0) AS deliveries_std_{n}"
+        for n in (3, 6)
     )
+    + """, quarter(date) AS quarter, weekofyear(date) AS week, CAST(quarter(date) = 4 AS BIGINT) AS is_q4,
+        (month - 1) / 11.0 AS year_progress, ln(1 + price) AS log_price, price * range_km AS price_x_range,
+        battery_kwh * range_km AS battery_x_range, CASE WHEN battery_kwh <> 0 THEN range_km / battery_kwh END AS range_per_kwh
+        FROM deliveries WINDOW own AS (PARTITION BY region, model ORDER BY deliveries.date))
+        SELECT region, model, date, """
+    + ", ".join(f"round(CAST({c} AS DOUBLE), 4) AS {c}" for c in [*LAGS, *ROLLED, *MADE])
+    + " FROM wide WHERE deliveries_lag_6 IS NOT NULL AND range_per_kwh IS NOT NULL",
+)
+def _(spark, sf):
+    rows = _modelled(spark, sf)
+    numbers = [F.round(F.col(c).cast("double"), 4).alias(c) for c in [*LAGS, *ROLLED, *MADE]]
+    return rows.select("region", "model", F.col("date").cast("string").alias("date"), *numbers)
+
+
+def _features(spark, sf):
+    """The matrix of the model stage: all modelling features but what is computed from this month's target."""
+    rows = _modelled(spark, sf).drop("co2", "production")
+    return cut(features.feature_matrix(rows, "deliveries", LEFT_OUT, keep=["date", "region", "model"]))
+
+
+def _split(data):
+    rows = ordering.chronological_split(data, *KEYS)
+    return cut(rows.filter("role = 'train'")), cut(rows.filter("role = 'test'"))
+
+
+def _compared(spark, sf):
+    """Predictions of the six models for the last fifth of the months."""
+    return cut(models.all_predictions(models.six_models(), *_split(_features(spark, sf))))
+
+
+@query("m11_model_leaderboard")
+def _(spark, sf):
+    return rounded(agg.leaderboard(_compared(spark, sf)), 6, "mae", "rmse", "r2")
+
+
+@query("a14_model_residuals")
+def _(spark, sf):
+    return rounded(agg.residual_profile(_compared(spark, sf)), 6, "rmse")
+
+
+@query("m9_cross_validation")
+def _(spark, sf):
+    train, _ = _split(_features(spark, sf))
+    folds = cut(models.contiguous_roles(ordering.contiguous_folds(train.drop("row_index", "role"), *KEYS)))
+    return models.cross_validate(models.six_models(), folds)
 
 
 @query("m9_search")
 def _(spark, sf):
-    folds = cut(ordering.expanding_folds(_matrix(spark, sf), *KEYS, folds=2))
-    return models.search_boosted(folds, draws=2, count=2, refine=False)
+    train, _ = _split(_features(spark, sf))
+    return models.search_boosted(cut(ordering.expanding_folds(train.drop("row_index", "role"), *KEYS)))
 
 
 @query("m10_learning_curve")
