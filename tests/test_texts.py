@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import re
 
 import numpy as np
@@ -11,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemill.functions import texts
+from tidemill.operators import vectors
 from tidemill.operators import questions as ask
 from tidemill.operators import retrieval, text
 
@@ -141,7 +144,8 @@ def test_dense_search_in_blocks_with_ties(spark, monkeypatch):
     x = np.vstack([rng.normal(size=(40, 5)), np.repeat(rng.normal(size=(1, 5)), 6, axis=0)])
     df = spark.createDataFrame([(i, [float(a) for a in r]) for i, r in enumerate(x)], "vec_id int, embedding array<double>").repartition(4)
     q = df.select(F.col("vec_id").alias("question_id"), "embedding")
-    monkeypatch.setattr(retrieval, "BLOCK_QUERIES", 9)
+    monkeypatch.setattr(retrieval, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(retrieval, "QUERY_BYTES", 200)
     got = {(r["question_id"], r["rank"]): r["vec_id"] for r in retrieval.search_vectors(df, q, 3).collect()}
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     s = np.round(u @ u.T, 12)
@@ -176,10 +180,75 @@ def test_slots_strict_and_loose(spark):
     assert ask.extract_slots(df, "q", strict=False).first()["result"] == "Normal"
 
 
-def test_fragments_in_blocks(spark):
-    names = spark.createDataFrame([("Ann Sharma",), ("Bo Sharmaji",), ("Cy Lee",)], "name string")
-    frags = spark.createDataFrame([("Sharma",), ("Lee",), ("Zed",)], "doctor string")
-    want = {("Ann Sharma", "Sharma"), ("Bo Sharmaji", "Sharma"), ("Cy Lee", "Lee")}
-    for size in (50, 1):
-        got = {tuple(r) for r in ask.matching_fragments(names, "name", frags, "doctor", size).collect()}
-        assert got == want
+def test_names_containing_fragments(spark):
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abAB é#") for _ in range(n))
+    names = [word(rng.randint(0, 12)) for _ in range(120)] + ["Ann Sharma", "Bo SHARMAJI", None, "", "Ann Sharma", "x" * 5000]
+    frags = [word(rng.randint(1, 5)) for _ in range(60)] + ["Sharma", "sharma", "Lee", "", None, "x" * 40, "é", "#"]
+    got = ask.matching_fragments(
+        spark.createDataFrame([(n, 1) for n in names], "name string, gram int"), "name",
+        spark.createDataFrame([(f, 2) for f in frags], "doctor string, __low int"), "doctor",
+    ).collect()
+    want = {(n, f) for n in names for f in frags if n and f and f.lower() in n.lower()}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want and len(want) > 100
+    none = spark.createDataFrame([], "doctor string")
+    assert ask.matching_fragments(spark.createDataFrame([("a",)], "name string"), "name", none, "doctor").count() == 0
+
+
+@pytest.mark.parametrize("cell_rows", [20_000, 7])
+def test_approximate_search_against_the_exact_one(spark, monkeypatch, cell_rows):
+    monkeypatch.setattr(vectors, "CELL_ROWS", cell_rows)
+    e = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", "embedding")
+    q = e.select(F.col("vec_id").alias("question_id"), "embedding")
+    exact = {(r["question_id"], r["vec_id"]): r["score"] for r in retrieval.search_vectors(e, q, 4).collect()}
+    index = vectors.build_index(e)
+    got = {(r["question_id"], r["vec_id"]): r["score"] for r in vectors.search_index(index, q, 4).collect()}
+    assert len(got) == len(exact)
+    assert len(set(got) & set(exact)) / len(exact) >= 0.9
+    assert all(abs(exact[p] - s) < 1e-9 for p, s in got.items() if p in exact)
+    # all cells and every candidate scored again: the exact answer
+    whole = vectors.search_index(index, q.filter("question_id < 20"), 4, probe=100, refine=200).collect()
+    assert {(r["question_id"], r["vec_id"]) for r in whole} == {p for p in exact if p[0] < 20}
+
+
+def test_index_of_few_and_odd_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 2.0]), (3, None), (None, [1.0, 1.0]), (4, [1.0, 0.0]), (4, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    q = spark.createDataFrame([(7, [2.0, 0.1]), (8, None)], "question_id long, embedding array<double>")
+    got = vectors.search_index(vectors.build_index(df), q, 2).collect()
+    assert sorted((r["question_id"], r["rank"], r["vec_id"]) for r in got) == [(7, 1, 1), (7, 2, 4)]
+    assert vectors.search_index(vectors.build_index(df.limit(0)), q, 2).count() == 0
+    assert vectors.search_index(vectors.build_index(df), q.limit(0), 2).count() == 0
+
+
+@pytest.mark.parametrize("idle", [0, 2, 10**9])
+def test_pruned_search_is_exact_and_reads_fewer_postings(spark, monkeypatch, idle):
+    monkeypatch.setattr(retrieval, "IDLE", idle)
+    rng = random.Random(9)
+    chunks = {}
+    for i in range(400):
+        weights = {"the": rng.uniform(0.05, 0.2), "and": rng.uniform(0.05, 0.2), **{f"t{rng.randrange(60)}": rng.uniform(0.2, 1) for _ in range(6)}}
+        if i % 25 == 0:
+            weights = {"the": 0.1, f"rare{i // 50}": 1.0}
+        if i in (7, 8, 9):
+            weights = {"the": 0.3, "and": 0.3}  # equal scores
+        length = sum(w * w for w in weights.values()) ** 0.5
+        chunks[f"c{i:03}"] = {t: w / length for t, w in weights.items()}
+    asked = {q: {f"rare{q}": 0.95, "the": 0.2, "and": 0.2} for q in range(6)} | {6: {"the": 1.0}, 7: {f"t{j}": 0.3 for j in range(12)}, 8: {"none": 1.0}}
+    index = spark.createDataFrame([(c, t, w) for c, ws in chunks.items() for t, w in ws.items()], "chunk_id string, term string, weight double")
+    questions = spark.createDataFrame([(q, t, w) for q, ws in asked.items() for t, w in ws.items()], "question_id int, term string, weight double")
+    want = {}
+    for q, ws in asked.items():
+        scores = [(-round(sum(w * c.get(t, 0.0) for t, w in ws.items()), 9), n) for n, c in chunks.items()]
+        want[q] = [(n, r + 1) for r, (s, n) in enumerate(sorted(x for x in scores if x[0] < 0)[:2])]
+    got = {q: [] for q in asked}
+    for r in retrieval.search_terms(index, questions, 2).orderBy("question_id", "rank").collect():
+        got[r["question_id"]].append((r["chunk_id"], r["rank"]))
+    assert got == want
+    posts = index.selectExpr("term", "chunk_id AS chunk", "weight AS wc")
+    all_terms = questions.selectExpr("question_id AS question", "term", "weight AS wq")
+    read = posts.join(retrieval.essential_terms(posts, all_terms, 2), "term").count()
+    every = posts.join(all_terms, "term").count()
+    assert read == every if idle == 10**9 else read < every / 2
+    assert retrieval.search_terms(index.limit(0), questions, 2).count() == 0
+    assert retrieval.search_terms(index, questions.limit(0), 2).count() == 0

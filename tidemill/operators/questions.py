@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import ahocorasick
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions import texts
 from tidemill.functions.scalars import title_case
-from tidemill.operators.retrieval import blocks
 from tidemill.session import cut
 
 # Hint phrases of the two routes, and the words a filter slot may take.
@@ -36,6 +33,7 @@ OLDER = r"older than (\d+)|above age (\d+)|aged? (?:over|>) ?(\d+)"
 YOUNGER = r"younger than (\d+)|below age (\d+)|aged? (?:under|<) ?(\d+)"
 DOCTOR = r"dr\.?\s+([a-z]+)"
 LIST_CAP = 200
+GRAM = 3  # characters of the runs by which names are found
 
 
 def tool_route(df: DataFrame, text: str, strict: bool = True) -> DataFrame:
@@ -209,37 +207,39 @@ def _numbers(fact: DataFrame, combos: DataFrame) -> DataFrame:
     )
 
 
-def matching_fragments(names: DataFrame, name: str, fragments: DataFrame, fragment: str, per_block: int = 50_000) -> DataFrame:
-    """Pairs of a name and a fragment it contains, letter case aside: one scan of the names per block.
+def _grams(low: Column, size: int) -> Column:
+    """The different runs of `size` characters; none in a shorter text."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(low) - size + 1, F.lit(1)))
+    runs = F.array_distinct(F.transform(starts, lambda i: F.substring(low, i, F.lit(size))))
+    return F.when(F.length(low) >= size, runs).otherwise(F.array().cast("array<string>"))
 
-    Each task runs all fragments of a bounded block over its names at once.
+
+def matching_fragments(names: DataFrame, name: str, fragments: DataFrame, fragment: str) -> DataFrame:
+    """Different pairs of a name and a fragment it contains, letter case aside: `(name, fragment)`.
+
+    Names are indexed by their runs of three characters. A fragment looks for the one of its runs that the fewest names have; a
+    run that no name has settles it. The candidates are confirmed on the whole name. Fragments of one or two characters meet the runs
+    of that length, which settle them. Null and empty names and fragments match nothing. Names and fragments only
+    meet by joins on runs, so neither side passes through the driver or a single task.
     """
-    spark, out = names.sparkSession, None
-    kind = f"name string, {fragment} string"
-    rows = names.select(F.col(name).alias("name"))
-    for part in blocks(fragments.select(fragment).distinct(), fragment, per_block):
-        words = [r[0] for r in part.collect()]
-        sent = spark.sparkContext.broadcast(words)
-
-        def scan(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            # fragments that differ in letter case only are found together
-            spellings: dict[str, list[str]] = {}
-            for w in sent.value:
-                if w:
-                    spellings.setdefault(w.lower(), []).append(w)
-            machine = ahocorasick.Automaton()
-            for low in spellings:
-                machine.add_word(low, low)
-            if not len(machine):
-                return
-            machine.make_automaton()
-            for pdf in batches:
-                hits = [(n, w) for n in pdf["name"].dropna() for low in {x for _, x in machine.iter(n.lower())} for w in spellings[low]]
-                yield pd.DataFrame(hits, columns=["name", fragment])
-
-        found = rows.mapInPandas(scan, kind)
-        out = found if out is None else out.unionByName(found)
-    return out
+    given = fragments.select(F.col(fragment).cast("string").alias("__given")).filter("__given <> ''").distinct()
+    given = cut(given.withColumn("__low", F.lower("__given")))
+    wanted = given.select("__low").distinct().withColumn("__size", F.least(F.length("__low"), F.lit(GRAM)))
+    all_runs = F.when(F.col("__size") == GRAM, _grams(F.col("__low"), GRAM)).otherwise(F.array("__low"))
+    asked = cut(wanted.select("__low", F.explode(all_runs).alias("gram")))
+    known = names.select(F.col(name).cast("string").alias("__name")).filter("__name <> ''").distinct()
+    low = F.lower("__name")
+    lengths = F.concat(*[_grams(low, n) for n in range(1, GRAM + 1)])
+    # of the names' runs, only those that some fragment has
+    index = known.select("__name", F.explode(lengths).alias("gram"))
+    index = cut(index.join(asked.select("gram").distinct(), "gram", "left_semi"))
+    often = index.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    counted = asked.join(often, "gram", "left").groupBy("__low").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("rarest")
+    )
+    chosen = cut(counted.filter("rarest.n > 0").select("__low", F.col("rarest.gram").alias("gram")))
+    met = index.join(chosen, "gram").filter(F.contains(F.lower("__name"), F.col("__low")))
+    return met.join(given, "__low").select(F.col("__name").alias("name"), F.col("__given").alias(fragment))
 
 
 LIST_FIELDS = ("admission_id", "patient_name", "age", "gender", "condition", "admission_type", "result", "admitted")
@@ -306,6 +306,7 @@ def answer_lists(
 
 def explanation(template: Column, condition: Column, doctor: Column) -> Column:
     """The fixed sentence that goes with a template."""
+    # The sentences of the answers, here and in `summarise`.
     return (
         F.when(
             template == "average",

@@ -1,14 +1,12 @@
 """Term weights, inverted-index and dense search, gates, contexts and extractive answers.
 
-A weight table is laid out by chunk: the chunk texts move once, and counting, normalising and
-scoring then work inside the partitions. Questions are the small side. They are split into blocks of
-bounded size, so each broadcast has a known limit however many questions there are.
+Terms are counted inside the rows of their chunk. A weight table is laid out by chunk, so normalising works inside the partitions.
+Tables of questions are sent to every task only where they are counted to be small.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -20,17 +18,11 @@ from tidemill.functions.arrays import normalised
 from tidemill.session import cut
 
 BLOCK_ROWS = 500_000
-BLOCK_QUERIES = 4_096
-
-
-def blocks(df: DataFrame, key: str, rows: int) -> list[DataFrame]:
-    """Split a written table by key into parts of about `rows` rows; usually one."""
-    kept = cut(df)
-    n = kept.count()
-    parts = max(1, -(-n // rows))
-    if parts == 1:
-        return [kept]
-    return [kept.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == i) for i in range(parts)]
+IDLE = 8  # times as many postings must go unread as are read for a question's light terms to be left out
+MARGIN = 1e-8  # of scores that are compared before they are rounded
+SEEDS = 4  # times the number of answers: heaviest postings per term, and first candidates per question, that give the threshold
+BLOCK_BYTES = 16 << 20  # components of a block of rows, eight bytes each
+QUERY_BYTES = 2 << 20  # and of a block of queries
 
 
 def _tokens(name: str, stop_words: Sequence[str] | None) -> Column:
@@ -80,26 +72,77 @@ def term_weights(
     return raw.select(key, "term", (F.col("raw") / length).alias("weight"))
 
 
+def _few(df: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
+    """A written table, sent to every task if it is counted to be small; a larger one is joined by a shuffle."""
+    kept = cut(df)
+    return F.broadcast(kept) if kept.count() <= rows else kept
+
+
+def _scored(pairs: DataFrame, posts: DataFrame, asked: DataFrame) -> DataFrame:
+    """The full score of `pairs (question, chunk)`, from the postings of those chunks alone."""
+    own = posts.join(_few(pairs), "chunk").join(_few(asked), ["question", "term"])
+    return own.groupBy("question", "chunk").agg(F.round(F.sum(F.col("wq") * F.col("wc")), 9).alias("score"))
+
+
+def _top(scored: DataFrame, k: int) -> DataFrame:
+    best = Window.partitionBy("question").orderBy(F.desc("score"), "chunk")
+    return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+
+def essential_terms(posts: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """`(question, term, wq, floor, rest)`: the terms of each question that an answer must have one of, out of `asked (question, term, wq)`.
+
+    The heaviest postings of each term give some chunks for every question; the `k`-th best sum over those alone is the `floor`, which
+    no answer falls below. Chunks have unit weight vectors, so terms bring a chunk no more than the length of the question's own weights
+    on them, nor than the sum of its weights times the heaviest of each term. The lightest terms of a question, as many as cannot reach the floor
+    together, can be left out; `rest` is the length of the question's weights on those. They are left out where that saves most of
+    the question's postings (`IDLE` times as many as are read); else all terms are essential and `rest` is 0.
+    """
+    heavy = Window.partitionBy("term").orderBy(F.desc("wc"), "chunk")
+    often = posts.groupBy("term").agg(F.count(F.lit(1)).alias("postings"), F.max("wc").alias("heaviest"))
+    seeds = posts.withColumn("place", F.row_number().over(heavy)).filter(F.col("place") <= SEEDS * k).drop("place")
+    first = _few(seeds).join(asked, "term").groupBy("question", "chunk").agg(F.sum(F.col("wq") * F.col("wc")).alias("score"))
+    floors = _top(first, k).groupBy("question").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(0.0).alias("floor"))
+    bound = asked.filter("wq > 0").join(often, "term").join(floors, "question")
+    upward = Window.partitionBy("question").orderBy("wq", "term").rowsBetween(Window.unboundedPreceding, 0)
+    every = Window.partitionBy("question")
+    length, parts = F.sqrt(F.sum(F.col("wq") * F.col("wq")).over(upward)), F.sum(F.col("wq") * F.col("heaviest")).over(upward)
+    # scores are rounded; the margin keeps what may tie
+    bound = bound.withColumn("length", length).withColumn("idle", F.least(length, parts) < F.col("floor") - MARGIN)
+    saved, read = (F.coalesce(F.sum(F.when(F.col("idle") == i, F.col("postings"))).over(every), F.lit(0)) for i in (True, False))
+    bound = bound.withColumn("idle", F.col("idle") & (saved >= IDLE * read))
+    rest = F.coalesce(F.max(F.when(F.col("idle"), F.col("length"))).over(every), F.lit(0.0))
+    return bound.withColumn("rest", rest).filter("NOT idle").select("question", "term", "wq", "floor", "rest")
+
+
 def search_terms(
-    index: DataFrame, questions: DataFrame, k: int = 4, chunk: str = "chunk_id", question: str = "question_id", placed: bool = False
+    index: DataFrame, questions: DataFrame, k: int = 4, chunk: str = "chunk_id", question: str = "question_id"
 ) -> DataFrame:
     """The `k` best chunks per question by cosine of term weights: `(question, chunk, score, rank)`.
 
-    The index is laid out by chunk, the question terms are broadcast in bounded blocks, scores
-    add up inside the partition, and only the best `k` per question and partition are moved.
-    Say `placed` for an index straight from `term_weights`, which has that layout already.
+    Exact for weights that are not negative and chunks of unit length or less, as `term_weights` gives them. Postings of a question's
+    lightest terms are not read where that saves much (`essential_terms`). What the others add up to, and the most that the rest could
+    add to a unit vector, then leaves few chunks that may reach the threshold, and those are scored in full. The postings are written once
+    and each step reads them once, however many questions there are.
     """
-    posts = index.select(F.col(chunk), "term", F.col("weight").alias("wc"))
-    posts = posts if placed else posts.repartition(chunk)
-    best = Window.partitionBy(question).orderBy(F.desc("score"), chunk)
-    found = []
-    for part in blocks(questions.select(question, "term", F.col("weight").alias("wq")), question, BLOCK_ROWS):
-        # at most BLOCK_ROWS rows by construction
-        scored = (
-            posts.join(F.broadcast(part), "term").groupBy(question, chunk).agg(F.round(F.sum(F.col("wq") * F.col("wc")), 9).alias("score"))
-        )
-        found.append(scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k))
-    return reduce(DataFrame.unionByName, found)
+    posts = cut(index.select("term", F.col(chunk).alias("chunk"), F.col("weight").alias("wc")))
+    asked = cut(questions.select(F.col(question).alias("question"), "term", F.col("weight").alias("wq")))
+    needed = cut(essential_terms(posts, asked, k))
+    # dealt by chunk before they meet the questions, which makes them many more
+    met = posts.repartition("chunk").join(_few(needed), "term").groupBy("question", "chunk").agg(
+        F.sum(F.col("wq") * F.col("wc")).alias("part"), F.sum(F.col("wc") * F.col("wc")).alias("used"),
+        F.first("floor").alias("floor"), F.first("rest").alias("rest"),
+    )
+    most = F.col("part") + F.col("rest") * F.sqrt(F.greatest(1.0 - F.col("used"), F.lit(0.0)))
+    met = met.filter(most >= F.col("floor") - MARGIN)
+    if needed.filter("rest > 0").isEmpty():
+        scored = met.select("question", "chunk", F.round("part", 9).alias("score"))
+    else:
+        met = cut(met)
+        scored = met.filter("rest = 0").select("question", "chunk", F.round("part", 9).alias("score"))
+        scored = scored.unionByName(_scored(met.filter("rest > 0").select("question", "chunk"), posts, asked))
+    found = _top(scored, k)
+    return found.select(F.col("question").alias(question), F.col("chunk").alias(chunk), "score", "rank")
 
 
 def pad_results(found: DataFrame, questions: DataFrame, chunks: DataFrame, k: int = 4, chunk: str = "chunk_id", question: str = "question_id") -> DataFrame:
@@ -122,50 +165,55 @@ def pad_results(found: DataFrame, questions: DataFrame, chunks: DataFrame, k: in
     return found.unionByName(rows)
 
 
+def _best(scores: np.ndarray, ids: np.ndarray, names: np.ndarray, k: int) -> pd.DataFrame:
+    """The `k` best of each row of a score matrix (questions x candidates) in long form, ties to the smaller id."""
+    take = min(k, len(ids))
+    if not take or not len(names):
+        return pd.DataFrame({"question": names[:0], "id": ids[:0], "score": np.zeros(0)})
+    # keep all candidates that tie with the k-th, so that ties can be settled by id
+    floor = np.partition(scores, len(ids) - take, axis=1)[:, len(ids) - take]
+    q, r = np.nonzero(scores >= floor[:, None])
+    rows = pd.DataFrame({"question": names[q], "id": ids[r], "score": scores[q, r]})
+    return rows.sort_values(["question", "score", "id"], ascending=[True, False, True]).groupby("question").head(k)
+
+
+def _blocked(df: DataFrame, own: str, other: str, count: int, others: int) -> DataFrame:
+    """`df` dealt into `count` blocks by `own`, a copy for each of the other side's blocks."""
+    placed = df.withColumn(own, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(count)).cast("int"))
+    return placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+
+
+def _merged(near: DataFrame, k: int, question: str, key: str) -> DataFrame:
+    order = Window.partitionBy("question").orderBy(F.desc("score"), "id")
+    ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select(F.col("question").alias(question), F.col("id").alias(key), "score", "rank")
+
+
 def search_vectors(
     vectors: DataFrame, queries: DataFrame, k: int = 4, key: str = "vec_id", vector: str = "embedding", question: str = "question_id"
 ) -> DataFrame:
     """Exact `k` nearest rows per query by inner product of unit vectors.
 
-    Each task multiplies its rows with a bounded block of queries and keeps the best `k` per query, so the
-    full score table never exists.
+    Rows and queries are dealt into blocks of bounded bytes. Each pair of blocks is one task, which multiplies the two and keeps the
+    best `k` per query: the full score table never exists, and neither side passes through the driver. Null vectors take no part.
     """
-    spark = vectors.sparkSession
-    units = vectors.select(F.col(key).alias("id"), normalised(vector).alias("v"))
-    kinds = dict(units.dtypes)
-    asked = queries.select(F.col(question).alias("question"), normalised(vector).alias("v"))
-    asked_kind = dict(asked.dtypes)["question"]
-    found = []
-    for part in blocks(asked, "question", BLOCK_QUERIES):
-        rows = part.orderBy("question").collect()
-        if not rows:
-            continue
-        sent = spark.sparkContext.broadcast(([r["question"] for r in rows], np.array([r["v"] for r in rows], dtype=float)))
-
-        def best(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            names, matrix = sent.value
-            top: pd.DataFrame | None = None
-            for pdf in batches:
-                if not len(pdf):
-                    continue
-                ids = pdf["id"].to_numpy()
-                scores = matrix @ np.stack(pdf["v"].to_numpy()).astype(float).T
-                take = min(k, len(ids))
-                # keep all rows that tie with the k-th, so that ties can be settled by id
-                floor = np.partition(scores, len(ids) - take, axis=1)[:, len(ids) - take]
-                q, r = np.nonzero(scores >= floor[:, None])
-                rows = pd.DataFrame({"question": np.asarray(names)[q], "id": ids[r], "score": scores[q, r]})
-                both = rows if top is None else pd.concat([top, rows])
-                top = both.sort_values(["question", "score", "id"], ascending=[True, False, True]).groupby("question").head(k)
-            if top is not None:
-                yield top
-
-        found.append(units.mapInPandas(best, f"question {asked_kind}, id {kinds['id']}, score double"))
-    order = Window.partitionBy("question").orderBy(F.desc("score"), "id")
-    if not found:
-        found = [spark.createDataFrame([], f"question {asked_kind}, id {kinds['id']}, score double")]
-    merged = reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return merged.select(F.col("question").alias(question), F.col("id").alias(key), "score", "rank")
+    units = cut(vectors.select(F.col(key).alias("id"), normalised(vector).alias("v")).filter("id IS NOT NULL AND v IS NOT NULL"))
+    asked = cut(queries.select(F.col(question).alias("question"), normalised(vector).alias("v")).filter("v IS NOT NULL"))
+    kinds = dict(units.dtypes) | dict(asked.dtypes)
+    size = lambda df: 8 * (df.agg(F.sum(F.size("v")).alias("n")).first()["n"] or 0)
+    row_blocks, query_blocks = max(1, -(-size(units) // BLOCK_BYTES)), max(1, -(-size(asked) // QUERY_BYTES))
+
+    def run(rows: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows) or not len(block):
+            return pd.DataFrame({"question": block["question"][:0], "id": rows["id"][:0], "score": np.zeros(0)})
+        scores = np.stack(block["v"].to_numpy()) @ np.stack(rows["v"].to_numpy()).T
+        return _best(scores, rows["id"].to_numpy(), block["question"].to_numpy(), k)
+
+    tasks = row_blocks * query_blocks
+    left = _blocked(units, "rb", "qb", row_blocks, query_blocks).repartition(tasks, "rb", "qb").groupBy("rb", "qb")
+    right = _blocked(asked, "qb", "rb", query_blocks, row_blocks).repartition(tasks, "rb", "qb").groupBy("rb", "qb")
+    near = left.cogroup(right).applyInPandas(run, f"question {kinds['question']}, id {kinds['id']}, score double")
+    return _merged(near, k, question, key)
 
 
 def source_rows(found: DataFrame, chunks: DataFrame, chunk: str = "chunk_id") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import texts
 from tidemill.functions.arrays import normalised
-from tidemill.operators import retrieval, text
+from tidemill.operators import retrieval, text, vectors
 from tidemill.plans.registry import query
 from tidemill.plans.tables import BLANKS
 from tidemill.plans.timeline import rounded
@@ -287,7 +287,7 @@ def searched(spark, sf):
     terms = cut(retrieval.fit_terms(chunks, "chunk_id", "text"))
     index = retrieval.term_weights(chunks, terms, "chunk_id", "text")
     weights = retrieval.term_weights(asked, terms, "question_id", "question")
-    return chunks, asked, cut(retrieval.search_terms(index, weights, placed=True))
+    return chunks, asked, cut(retrieval.search_terms(index, weights))
 
 
 @query(
@@ -314,6 +314,13 @@ def _(spark, sf):
     return rounded(out.withColumn("rank", F.col("rank").cast("bigint")), 6, "score")
 
 
+@query("x12_approximate_search")
+def _(spark, sf):
+    e = table(spark, sf, "embeddings")
+    out = vectors.search_index(vectors.build_index(e), e.select(F.col("vec_id").alias("question_id"), "embedding"))
+    return rounded(out.withColumn("rank", F.col("rank").cast("bigint")), 6, "score")
+
+
 @query(
     "x13_relevance_gate",
     f"""WITH {FOUND_SQL}, b AS (SELECT question_id, max(score) AS best, string_agg(chunk_id, '|' ORDER BY rank) AS cited FROM found GROUP BY 1)
@@ -355,7 +362,7 @@ def _(spark, sf):
     terms = cut(retrieval.fit_terms(chunks, "chunk_id", "text", stop_words=stop))
     index = retrieval.term_weights(chunks, terms, "chunk_id", "text", stop_words=stop, sublinear=True)
     weights = retrieval.term_weights(asked, terms, "question_id", "question", stop_words=stop, sublinear=True)
-    found = cut(retrieval.search_terms(index, weights, placed=True))
+    found = cut(retrieval.search_terms(index, weights))
     gate = retrieval.relevance_gate(found, asked, chunks=chunks)
     one = lambda c: F.concat_ws("|", c["chunk"], c["document"], c["section"], c["title"])
     cited = F.when(F.col("citations").isNotNull(), F.array_join(F.transform("citations", one), ";"))
