@@ -10,7 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from tidemill.functions import arrays as arr
-from tidemill.operators import aggregates, cluster, features, linalg, models, ordering, series
+from tidemill.operators import aggregates, arima, cluster, features, linalg, models, ordering, series
 
 rng = np.random.default_rng(5)
 
@@ -77,7 +77,7 @@ def test_every_series_gets_a_forecast(spark):
     df = spark.createDataFrame(rows, "k string, date date, y double")
     got = series.seasonal_forecast(df, ["k"], "date", "y").orderBy("k", "date").toPandas()
     assert got.groupby("k").size().tolist() == [12] * 4
-    assert got.groupby("k").method.first().tolist() == ["drift", "last", "seasonal_naive", "seasonal"]
+    assert got.groupby("k").method.first().tolist() == ["drift", "last", "seasonal", "seasonal"]
     assert got[got.k == "a"]["mean"].tolist() == [10.0 + i for i in range(12)]
     assert got[got.k == "c"]["mean"].tolist() == [5.0 + (20 + i) % 12 for i in range(12)]
     assert (got[got.k == "d"]["mean"] == 7.0).all() and (got[got.k != "b"].rmse.abs() < 1e-9).all()
@@ -86,21 +86,94 @@ def test_every_series_gets_a_forecast(spark):
     assert series.partial_autocorrelation(df, ["k"], "date", "y").groupBy("k").count().collect()[0]["count"] == 37
 
 
+def undifferenced(w, draw):
+    v = list(draw.normal(size=13))
+    for x in w:
+        v.append(x + v[-1] + v[-12] - v[-13])
+    return np.array(v)
+
+
 def test_order_search_finds_what_was_simulated():
-    """Series whose twice-differenced form is noise: no term beats none in most of them."""
+    """Noise is mostly given few terms; a moving average with a season is given those terms, with their weights."""
     draw = np.random.default_rng(3)
-    longest = series._longest_lag(series.ORDERS, 12)
     found = []
-    for _ in range(60):
-        w = draw.normal(size=70)
-        flat = list(draw.normal(size=13))
-        for x in w:
-            flat.append(x + flat[-1] + flat[-12] - flat[-13])
-        fits = {o: series._fit_seasonal(np.array(flat), o, 12, longest) for o in series.ORDERS}
-        assert len({len(f[4]) for f in fits.values()}) == 1
+    for _ in range(12):
+        v = undifferenced(draw.normal(size=70), draw)
+        fits = {o: arima.fit(v, o, 12) for o in series.ORDERS}
         found.append(min(fits, key=lambda o: (fits[o][0], o)))
-    assert sum(o == (0, 0, 0, 0) for o in found) >= 20
-    assert sum(sum(o) <= 2 for o in found) >= 36
+    assert sum(sum(o) <= 2 for o in found) >= 9
+    e = draw.normal(size=220)
+    w = np.array([e[i] - 0.6 * e[i - 1] - 0.5 * e[i - 12] + 0.3 * e[i - 13] for i in range(13, 220)])
+    v = undifferenced(w, draw)
+    fits = {o: arima.fit(v, o, 12) for o in ((0, 0, 0, 0), (1, 0, 0, 0), (0, 1, 0, 0), (0, 1, 0, 1), (1, 0, 1, 0))}
+    assert min(fits, key=lambda o: fits[o][0]) == (0, 1, 0, 1)
+    ma = fits[0, 1, 0, 1][2]
+    assert abs(ma[0] + 0.6) < 0.15 and abs(ma[11] + 0.5) < 0.15 and abs(fits[0, 1, 0, 1][3] - 1.0) < 0.25
+
+
+def test_likelihood_is_that_of_the_covariance():
+    ar, ma = arima.polynomials(np.array([0.5, -0.3, 0.4, 0.2, 0.6, -0.4]), (2, 2, 1, 1), 4)
+    psi = arima.weights(ar, ma, 4000)
+    want = [psi[: 4000 - k] @ psi[k:] for k in range(30)]
+    assert np.allclose(arima.autocovariances(ar, ma, 30), want, atol=1e-8)
+    assert np.allclose(arima.autocovariances(np.array([0.5]), np.zeros(0), 4), [4 / 3, 2 / 3, 1 / 3, 1 / 6])
+    assert np.allclose(arima.autocovariances(np.zeros(0), np.array([0.5]), 4), [1.25, 0.5, 0, 0])
+    w, raw = np.random.default_rng(2).normal(size=25), np.array([0.5, -0.3])
+    gamma = arima.autocovariances(*arima.polynomials(raw, (1, 1, 0, 0), 4), 25)
+    cov = gamma[np.abs(np.subtract.outer(np.arange(25), np.arange(25)))]
+    var = w @ np.linalg.solve(cov, w) / 25
+    direct = 25 * np.log(2 * np.pi) + np.linalg.slogdet(var * cov)[1] + w @ np.linalg.solve(var * cov, w)
+    assert arima.deviance(raw, w, (1, 1, 0, 0), 4) == pytest.approx(direct)
+
+
+def test_forecast_of_a_known_process():
+    """The next value of an autoregression is its weight times the last one; far ones approach 0 in the differences."""
+    draw = np.random.default_rng(5)
+    w = np.zeros(80)
+    for i in range(1, 80):
+        w[i] = 0.7 * w[i - 1] + draw.normal()
+    v = undifferenced(w, draw)
+    found = (0.0, np.array([0.7]), np.zeros(0), 1.0)
+    mean, spread = arima.project(v, found, 12, 3)
+    assert mean[0] == pytest.approx(0.7 * w[-1] + v[-1] + v[-12] - v[-13])
+    assert spread[0] == pytest.approx(1.0) and spread[1] == pytest.approx(np.sqrt(1 + 1.7**2))
+
+
+def test_two_years_and_four_months_get_a_seasonal_order(spark):
+    draw = np.random.default_rng(8)
+    rows = [("a", d, float(100 + 2 * i + 30 * np.sin(2 * np.pi * i / 12) + draw.normal())) for i, d in enumerate(months(28))]
+    got = series.seasonal_forecast(spark.createDataFrame(rows, "k string, date date, y double"), ["k"], "date", "y").collect()
+    assert len(got) == 12 and {r["method"] for r in got} == {"seasonal"}
+    truth = [100 + 2 * i + 30 * np.sin(2 * np.pi * i / 12) for i in range(28, 40)]
+    assert np.abs(np.array([r["mean"] for r in sorted(got, key=lambda r: r["date"])]) - truth).mean() < 10
+
+
+def test_a_bent_trend_is_found_and_a_straight_one_is_left_alone(spark):
+    draw = np.random.default_rng(6)
+    season = lambda i: 4 * np.sin(2 * np.pi * i / 12)
+    bent = [("bent", d, float(-50 + 0.2 * i + 2.0 * max(i - 48, 0) + season(i) + draw.normal() * 0.5)) for i, d in enumerate(months(96))]
+    straight = [("straight", d, float(-50 + 0.5 * i + season(i) + draw.normal() * 0.5)) for i, d in enumerate(months(96))]
+    few = [("short", months(1)[0], 4.0)] + [("flat", d, 7.0) for d in months(30)]
+    df = spark.createDataFrame(bent + straight + few, "k string, date date, y double")
+    found = series.trend_changes(df, ["k"], "date", "y", least=0.05).collect()
+    assert {r["k"] for r in found} == {"bent"}
+    total = sum(r["change"] for r in found)
+    middle = sum(r["change"] * r["date"].toordinal() for r in found) / total
+    assert abs(middle - months(96)[48].toordinal()) < 62 and 18 < total < 30
+    ahead = series.trend_fourier_forecast(df.filter("k = 'bent'"), ["k"], "date", "y").orderBy("date").toPandas()
+    truth = [-50 + 0.2 * i + 2.0 * (i - 48) + season(i) for i in range(96, 108)]
+    assert np.abs(ahead["mean"] - truth).mean() < 4
+
+
+def test_coordinate_descent_meets_its_conditions():
+    draw = np.random.default_rng(1)
+    x = draw.normal(size=(40, 6))
+    y = x[:, 0] * 3 + draw.normal(size=40)
+    gram, right = x.T @ x, x.T @ y
+    d = series.sparse_changes(gram, right, 20.0)
+    slope = right - gram @ d
+    assert np.allclose(slope[d != 0], 20.0 * np.sign(d[d != 0]), atol=1e-6) and (np.abs(slope) <= 20.0 + 1e-6).all()
+    assert d[0] != 0 and (d == 0).any()
 
 
 def test_fourier_forecast_of_negative_values(spark):

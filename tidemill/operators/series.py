@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.operators import arima
+
 # Normal quantile for a two-sided 80 % interval.
 Z80 = 1.2815515655446004
 
@@ -229,77 +231,10 @@ DEFAULT_ORDER = (1, 1, 1, 1)
 ORDERS = tuple(product(range(3), range(3), range(2), range(2)))
 
 
-def _backshift(p: int, seasonal: int, period: int) -> list[int]:
-    """Lags of the product of an ordinary and a seasonal polynomial."""
-    ordinary, long = range(p + 1), range(seasonal + 1)
-    return sorted({i + period * j for i in ordinary for j in long} - {0})
-
-
-def _longest_lag(orders, period: int) -> int:
-    return max((max(p + period * sp, q + period * sq) for p, q, sp, sq in orders), default=0)
-
-
-def _fit_seasonal(v: np.ndarray, order, period: int, longest: int):
-    """Two-step least squares on the twice-differenced series.
-
-    Innovations come from a long autoregression; the second step regresses on lagged values and
-    lagged innovations. All orders are fitted to the same rows: those that have the `longest` lag of any order behind
-    them, and an innovation at each lag. Returns AIC, coefficients, lags, the differenced series and innovations.
-    """
-    if len(v) <= period + 1:
-        return None
-    p, q, sp, sq = order
-    w = np.diff(v)
-    w = w[period:] - w[:-period]
-    ar, ma = _backshift(p, sp, period), _backshift(q, sq, period)
-    e = np.zeros(len(w))
-    deep = min(period + 1, len(w) // 3)
-    if ma and deep:
-        x = np.column_stack([w[deep - j : len(w) - j] for j in range(1, deep + 1)])
-        e[deep:] = _ols(x, w[deep:])[1]
-    # the first `deep` rows have no innovation
-    skip = deep + longest
-    y = w[skip:]
-    columns = [w[skip - j : len(w) - j] for j in ar] + [e[skip - j : len(w) - j] for j in ma]
-    if len(y) <= len(columns) + 3:
-        return None
-    if not np.any(w):
-        return -math.inf, np.zeros(len(columns)), ar, ma, w, e, 0.0
-    if columns:
-        beta, resid, _ = _ols(np.column_stack(columns), y)
-    else:
-        beta, resid = np.zeros(0), y
-    e[skip:] = resid
-    var = float(resid @ resid) / len(resid)
-    aic = len(resid) * (math.log(max(var, 1e-12)) + 1 + math.log(2 * math.pi)) + 2 * (len(columns) + 1)
-    return aic, beta, ar, ma, w, e, var
-
-
-def _project(v: np.ndarray, fit, period: int, steps: int):
-    """Point forecasts and their standard deviations from the impulse weights."""
-    _aic, beta, ar, ma, w, e, var = fit
-    w, e, levels = list(w), list(e), list(v)
-    phi, theta = beta[: len(ar)], beta[len(ar) :]
-    out, psi, psi_w = [], [], []
-    for h in range(steps):
-        nxt = sum(b * w[-j] for b, j in zip(phi, ar) if j <= len(w))
-        nxt += sum(b * e[-j] for b, j in zip(theta, ma) if j <= len(e))
-        w.append(nxt)
-        e.append(0.0)
-        levels.append(nxt + levels[-1] + levels[-period] - levels[-period - 1])
-        out.append(levels[-1])
-        unit = 1.0 if h == 0 else dict(zip(ma, theta)).get(h, 0.0)
-        psi_w.append(unit + sum(b * psi_w[h - j] for b, j in zip(phi, ar) if j <= h))
-        back = [psi[h - j] if h >= j else 0.0 for j in (1, period, period + 1)]
-        psi.append(psi_w[h] + back[0] + back[1] - back[2])
-    spread = np.sqrt(var * np.cumsum(np.square(psi)))
-    return np.array(out), spread
-
-
 def seasonal_order_search(
     df: DataFrame, by: Sequence[str], date: str, y: str, orders=ORDERS, period: int = 12
 ) -> DataFrame:
-    """AIC of each seasonal order per series; series times orders is the parallel axis.
+    """AIC of each seasonal order per series by exact likelihood (`arima`); series times orders is the parallel axis.
 
     Each series is first folded into one row (months are bounded by the calendar), so the
     orders multiply rows of the size of a series, not of the source. A series that is too short for an order has a null AIC.
@@ -309,15 +244,16 @@ def seasonal_order_search(
         F.transform(F.sort_array(F.collect_list(F.struct(date, y))), lambda s: s[y]).alias("values")
     )
     grid = F.array(*[F.array(*[F.lit(int(o)) for o in order]) for order in orders])
-    work = folded.withColumn("ord", F.explode(grid)).repartition(*by, "ord")
-    longest = _longest_lag(orders, period)
+    # a stated number of tasks, as rows are few and small but each takes long
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    work = folded.withColumn("ord", F.explode(grid)).repartition(tasks, *by, "ord")
 
     def fit(batches):
         for pdf in batches:
             scores = []
             for values, order in zip(pdf["values"], pdf["ord"]):
                 v = np.asarray(values, dtype=float)
-                found = _fit_seasonal(v, [int(o) for o in order], period, longest)
+                found = arima.fit(v, [int(o) for o in order], period)
                 scores.append(None if found is None else found[0])
             yield pdf.drop(columns=["values"]).assign(aic=pd.array(scores, dtype="Float64").astype(object))
 
@@ -329,13 +265,12 @@ def seasonal_forecast(
 ) -> DataFrame:
     """Forecast of every series with its order of least AIC, with 80 % bounds and the error of the fit.
 
-    `method` says how a row came about: `seasonal` by the order search; a series too short for it gets
-    `seasonal_naive` (last year plus its mean yearly step), `drift` (last value plus the mean step) or `last`.
+    All orders are compared on all differenced rows, so 16 months are enough for the simplest. `method` says how a row came about:
+    `seasonal` by the order search; a series too short for any order gets `seasonal_naive` (last year plus its mean yearly step), `drift` (last value plus the mean step) or `last`.
     `rmse` is the root of the mean squared residual. Bounds are null where one value says nothing of the spread.
     """
     by = list(by)
     scores = seasonal_order_search(df, by, date, y, orders, period).filter(F.col("aic").isNotNull())
-    longest = _longest_lag(orders, period)
     best = scores.groupBy(*by).agg(F.min_by("ord", F.struct("aic", "ord")).alias("ord"))
     joined = df.join(best, by, "left").select(*by, date, y, F.coalesce("ord", F.array(*[F.lit(i) for i in DEFAULT_ORDER])).alias("ord"))
 
@@ -343,12 +278,12 @@ def seasonal_forecast(
         pdf = pdf.sort_values(date)
         v = pdf[y].to_numpy(dtype=float)
         order = [int(o) for o in pdf["ord"].iloc[0]]
-        fit = _fit_seasonal(v, order, period, longest)
+        fit = arima.fit(v, order, period)
         if fit is None:
             method, mean, spread, rmse = _simple_forecast(v[~np.isnan(v)], period, steps)
         else:
             method, rmse = "seasonal", math.sqrt(fit[-1])
-            mean, spread = _project(v, fit, period, steps)
+            mean, spread = arima.project(v, fit, period, steps)
         start = pd.to_datetime(pdf[date].iloc[-1])
         dates = [(start + pd.DateOffset(months=k)).date() for k in range(1, steps + 1)]
         out = pd.DataFrame({
@@ -389,29 +324,90 @@ def _fourier(days: np.ndarray, yearly: int, monthly: int) -> np.ndarray:
     return np.column_stack(terms)
 
 
+CHANGES = 25  # dates, evenly spread over the first part of a series, at which its slope may change
+CHANGE_PART = 0.8
+CHANGE_SCALE = 0.15  # spread of slope changes that the penalty expects, in units of the series' own range over its whole span
+
+
+def _hinges(days: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How far each day lies behind each change, in years; 0 before it."""
+    return np.maximum(days[:, None] - at[None, :], 0.0) / 365.25
+
+
+def sparse_changes(gram: np.ndarray, right: np.ndarray, penalty, rounds: int = 500) -> np.ndarray:
+    """Least squares with an L1 penalty (one, or one for each) by coordinate descent: the minimum of 1/2 d'Gd - r'd + penalty |d|."""
+    d, penalty = np.zeros(len(right)), np.broadcast_to(penalty, len(right))
+    for _ in range(rounds):
+        moved = 0.0
+        for j in range(len(d)):
+            if gram[j, j] <= 1e-12:
+                continue
+            rest = right[j] - gram[j] @ d + gram[j, j] * d[j]
+            new = np.sign(rest) * max(abs(rest) - penalty[j], 0.0) / gram[j, j]
+            moved, d[j] = max(moved, abs(new - d[j]) * np.sqrt(gram[j, j])), new
+        if moved < 1e-9:
+            break
+    return d
+
+
+def _trend_fit(days: np.ndarray, target: np.ndarray, yearly: int, monthly: int, shrink: float, scale: float):
+    """(coefficients, change days, slope changes, deviation of the residuals) of a bent line and Fourier terms.
+
+    The line and the season are solved for every set of changes at once, so the descent runs over the changes alone. The penalty is
+    the residual variance over the expected spread of changes, and no less than what keeps noise from looking like a change; the variance
+    is taken again from each fit, from the freest on.
+    """
+    x = _fourier(days, yearly, monthly)
+    ridge = np.full(x.shape[1], shrink)
+    ridge[:2] = 0.0
+    solve = np.linalg.solve(x.T @ x + np.diag(ridge + 1e-9), x.T) if len(days) else np.zeros((x.shape[1], 0))
+    last = CHANGE_PART * (days.max() if len(days) else 0.0)
+    at = np.linspace(0.0, last, min(CHANGES, max(int(CHANGE_PART * len(days)) - 1, 0)) + 1)[1:]
+    h = _hinges(days, at)
+    inner = h - x @ (solve @ h)
+    gram, right = h.T @ inner, inner.T @ target
+    spread = float(np.ptp(target)) if len(target) else 0.0
+    d = np.zeros(len(at))
+    if len(at) and spread > 0:
+        span = max(float(np.ptp(days)) / 365.25, 1e-9)
+        tau = scale * spread / span
+        d = np.linalg.solve(gram + 1e-3 * np.trace(gram) / len(at) * np.eye(len(at)), right)
+        for _ in range(6):
+            left = target - h @ d
+            noise = float(np.var(left - x @ (solve @ left)))
+            by_chance = np.sqrt(2.0 * np.log(len(at) + 1) * noise * np.maximum(np.diag(gram), 0.0))
+            d = sparse_changes(gram, right, np.maximum(noise / tau, by_chance))
+    left = target - h @ d
+    beta = solve @ left
+    return beta, at, d, float(np.std(left - x @ beta)) if len(days) else math.nan
+
+
+def _transformed(v: np.ndarray):
+    """(the series to fit, the way back): logarithms where no value is negative."""
+    if len(v) > 0 and bool((v >= 0).all()):
+        return np.log1p(v), np.expm1
+    return v, np.asarray
+
+
 def trend_fourier_forecast(
     df: DataFrame, by: Sequence[str], date: str, y: str, steps: int = 12, yearly: int = 3, monthly: int = 5,
-    penalty: float = 0.1,
-) -> DataFrame:
-    """Trend and season: a line and Fourier terms, least squares with a small penalty.
+    penalty: float = 0.1, change_scale: float = CHANGE_SCALE,
+) -> DataFrame:
+    """Trend and season: a line that may change its slope, and Fourier terms, least squares with a small penalty.
 
-    The terms multiply where no value of a series is negative (they fit `log(1 + y)`), and add up where one is.
+    Slope changes have an L1 penalty, so most are 0; the last slope goes on. The terms multiply where no value of a series is negative
+    (they fit `log(1 + y)`), and add up where one is.
     """
 
     def solve(dates, v):
         base = dates.iloc[0]
-        x = _fourier((dates - base).dt.days.to_numpy(dtype=float), yearly, monthly)
+        days = (dates - base).dt.days.to_numpy(dtype=float)
         there = ~np.isnan(v)
-        x, v = x[there], v[there]
-        times = len(v) > 0 and bool((v >= 0).all())
-        target = np.log1p(v) if times else v
-        shrink = np.full(x.shape[1], penalty)
-        shrink[:2] = 0.0
-        beta = np.linalg.solve(x.T @ x + np.diag(shrink + 1e-9), x.T @ target)
-        noise = float(np.std(target - x @ beta)) if len(v) else math.nan
-        back = np.expm1 if times else np.asarray
+        target, back = _transformed(v[there])
+        beta, at, d, noise = _trend_fit(days[there], target, yearly, monthly, penalty, change_scale)
         ahead = pd.Series([dates.iloc[-1] + pd.DateOffset(months=k) for k in range(1, steps + 1)])
-        mean = _fourier((ahead - base).dt.days.to_numpy(dtype=float), yearly, monthly) @ beta
+        later = (ahead - base).dt.days.to_numpy(dtype=float)
+        mean = _fourier(later, yearly, monthly) @ beta + _hinges(later, at) @ d
         return {
             "date": ahead.dt.date, "mean": back(mean), "lower": back(mean - Z80 * noise), "upper": back(mean + Z80 * noise),
         }
@@ -419,6 +415,29 @@ def trend_fourier_forecast(
     return _per_series(df, by, date, y, "date date, mean double, lower double, upper double", solve)
 
 
+def trend_changes(
+    df: DataFrame, by: Sequence[str], date: str, y: str, yearly: int = 3, monthly: int = 5, penalty: float = 0.1,
+    change_scale: float = CHANGE_SCALE, least: float = 0.01,
+) -> DataFrame:
+    """`(by…, date, change)`: where the trend of `trend_fourier_forecast` changes its slope, and by how much a year.
+
+    Changes of less than `least` of the series' range over its span are left out. A series without any has no rows.
+    """
+
+    def solve(dates, v):
+        base = dates.iloc[0]
+        days = (dates - base).dt.days.to_numpy(dtype=float)
+        there = ~np.isnan(v)
+        target, _ = _transformed(v[there])
+        _, at, d, _ = _trend_fit(days[there], target, yearly, monthly, penalty, change_scale)
+        span = max(float(np.ptp(days)) / 365.25, 1e-9)
+        large = np.abs(d) > least * (float(np.ptp(target)) if len(target) else 0.0) / span
+        dates_of = [(base + pd.Timedelta(days=float(k))).date() for k in at[large]]
+        return {"date": pd.Series(dates_of, dtype=object), "change": d[large]}
+
+    return _per_series(df, by, date, y, "date date, change double", solve)
+
+
 def align_forecasts(a: DataFrame, b: DataFrame, on: Sequence[str], names=("seasonal", "fourier")) -> DataFrame:
     """One row per key and date of either model with both models' mean, lower and upper."""
     measures = ("mean", "lower", "upper")

@@ -153,6 +153,11 @@ def _(spark, sf):
     return day_text(series.seasonal_forecast(filled(spark, sf), BY, "date", "y"))
 
 
+@query("t9_trend_changes")
+def _(spark, sf):
+    return day_text(series.trend_changes(filled(spark, sf), BY, "date", "y"))
+
+
 @query("t9_fourier_forecast")
 def _(spark, sf):
     return day_text(series.trend_fourier_forecast(filled(spark, sf), BY, "date", "y"))
