@@ -213,3 +213,32 @@ def test_retrain_needs_two_weeks(spark):
     dated = spark.sql("SELECT date'2024-01-01' + INTERVAL 7 DAY * w AS week, 0.3 AS psi FROM VALUES (0), (1), (3), (4) AS t(w)")
     dated = dated.withColumn("week", dated["week"].cast("date"))
     assert [r["retrain"] for r in stats.consecutive_alerts(dated, "week").orderBy("week").collect()] == [0, 1, 0, 1]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 8, 31, 100, 1000])
+def test_permutations_of_row_numbers(spark, n):
+    keys = [F.lit(k).cast("long") for k in (12345, 678, 91011, 1213)]
+    got = [r["p"] for r in spark.range(n).select(stats.permuted(F.col("id"), keys, n).alias("p")).collect()]
+    assert sorted(got) == list(range(n))
+    assert n < 8 or got != list(range(n))
+
+
+def test_permutations_beyond_32_bits(spark):
+    n = (1 << 41) + 12345
+    keys = [F.lit(k).cast("long") for k in (5, 6, 7, 8)]
+    rows = spark.range(0, n, n // 5000).select(F.col("id"), stats.permuted(F.col("id"), keys, n).alias("p")).collect()
+    p = [r["p"] for r in rows]
+    assert len(set(p)) == len(p) and min(p) >= 0 and max(p) < n and max(p) > n * 0.99
+    assert sum(v % 2 for v in p) / len(p) == pytest.approx(0.5, abs=0.05)
+
+
+def test_subsamples_are_distinct_rows(spark):
+    df = spark.createDataFrame([(i, float(2**i)) for i in range(12)], "k int, v double")
+    means = stats.sampling_means(df, "v", "k", replicates=400, size=5).collect()
+    assert len(means) == 400 and all(bin(round(r["mean"] * 5)).count("1") == 5 for r in means)
+    seen = set()
+    for r in means:
+        seen |= {i for i in range(12) if round(r["mean"] * 5) >> i & 1}
+    assert seen == set(range(12))
+    assert {r["mean"] for r in stats.sampling_means(df, "v", "k", replicates=3, size=50).collect()} == {(2**12 - 1) / 12}
+    assert stats.sampling_means(df.limit(0), "v", "k").count() == 0

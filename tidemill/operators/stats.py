@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.operators.ordering import global_index, null_safe_join, quantile_values, ranked_values
+from tidemill.session import cut
 
 EPSILON = 1e-10
 
 
+
 def _beta_tail(a: float, b: float, x: float) -> float:
     """Regularised incomplete beta by its continued fraction."""
     if x <= 0.0 or x >= 1.0:
@@ -147,9 +149,12 @@ def consecutive_alerts(weekly: DataFrame, period: str, psi: str = "psi", limit:
     return weekly.withColumn("retrain", (high * before).cast("int"))
 
 
-# Multipliers of the integer mixer and the strides, all prime and above any row count in use.
-STRIDES = (2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549, 2147483543, 2147483497)
+# Multipliers of the integer mixers, and a prime below 2^31.
 MIX = (1103515245, 69069)
+ROUND_MIX = (48271, 69621, 16807)
+PRIME = 2147483647
+KEY_STEP = 1000003
+WALKS = 128
 
 
 def mixed(column, seed: int) -> Column:
@@ -161,23 +166,57 @@ def mixed(column, seed: int) -> Column:
     return h.bitwiseXOR(F.shiftright(h, 15))
 
 
+def _let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """`fn` of a value that it reads more than once, computed once."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
+def _round(x: Column, key: Column) -> Column:
+    """A number below `PRIME` from another and a key; no product overflows for `x` below 2^32."""
+    h = ((x % PRIME) * ROUND_MIX[0] + F.floor(x / PRIME) * ROUND_MIX[1] + key) % PRIME
+    return _let(h, lambda v: (v.bitwiseXOR(F.shiftright(v, 15)) * ROUND_MIX[2]) % PRIME)
+
+
+def halves(n: int) -> tuple[int, int]:
+    """The least powers of two, the second as large as the first or twice that, whose product is `n` or more."""
+    bits = max((max(n, 1) - 1).bit_length(), 2)
+    return 1 << (bits // 2), 1 << (bits - bits // 2)
+
+
+def permuted(x: Column, keys: Sequence[Column], n: int) -> Column:
+    """Where a permutation of 0..n-1, picked by four keys, sends `x` (below `n`): four rounds that swap and mix the two halves of its
+    bits. A number that lands beyond `n` is sent on until it comes back, which more than half of all numbers do at each step."""
+    left, right = halves(n)
+
+    def once(v: Column) -> Column:
+        def mix(a: Column, b: Column, part: int) -> Column:
+            first = a.bitwiseXOR(_round(b, keys[part]) % left)
+            return _let(first, lambda c: _let(b.bitwiseXOR(_round(c, keys[part + 1]) % right), lambda d: last(c, d) if part else mix(c, d, 2)))
+
+        def last(c: Column, d: Column) -> Column:
+            return c * right + d
+
+        return _let(F.floor(v / right), lambda a: _let(v % right, lambda b: mix(a, b, 0)))
+
+    walk = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), once(x), lambda v, _: F.when(v < n, v).otherwise(once(v)))
+    return _let(walk, lambda v: F.when(v < n, v).otherwise(F.raise_error(F.lit("a draw has not come back"))))
+
+
 def sampling_means(
     df: DataFrame, value: str, key: str, replicates: int = 5000, size: int = 30, seed: int = 7
 ) -> DataFrame:
-    """Means of `replicates` subsamples of `size` distinct rows each.
+    """Means of `replicates` subsamples of `size` distinct rows each; all rows where there are fewer.
 
-    A replicate walks the row index with a stride that shares no divisor with the row count,
-    so its draws are distinct. The draws, not the rows, are multiplied.
+    A replicate takes the first numbers of a permutation of the row numbers that its own keys pick, so its draws are
+    distinct and any row may be drawn, whatever the number of rows. The draws, not the rows, are multiplied.
     """
     rows = df.select(F.col(key).alias("__k"), F.col(value).alias("__v"))
-    indexed = global_index(rows, "__k", name="__i", total="__rows")
-    total = indexed.agg(F.max("__rows")).scalar()
-    rep = df.sparkSession.range(replicates).select(F.col("id").alias("rep"))
-    strides = F.array(*[F.lit(s) for s in STRIDES]).cast("array<bigint>")
-    stride = F.element_at(strides, (F.col("rep") % len(STRIDES) + 1).cast("int"))
-    draws = rep.select(
-        "rep", F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("j"), stride.alias("a"), mixed("rep", seed).alias("b")
-    ).select("rep", ((F.col("a") * F.col("j") + F.col("b")) % total).alias("__i"))
+    indexed = cut(global_index(rows, "__k", name="__i"))
+    n = indexed.count()
+    rep = df.sparkSession.range(replicates if n else 0).select(F.col("id").alias("rep"))
+    keys = [mixed("rep", seed + KEY_STEP * i).alias(f"k{i}") for i in range(4)]
+    draws = rep.select("rep", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(min(size, max(n, 1)) - 1).cast("long"))).alias("j"), *keys)
+    draws = draws.select("rep", permuted(F.col("j"), [F.col(f"k{i}") for i in range(4)], max(n, 1)).alias("__i"))
     if replicates * size <= 1_000_000:
         # the number of draws is set by the call, not by the data
         draws = F.broadcast(draws)

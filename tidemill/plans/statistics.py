@@ -105,14 +105,30 @@ def _(spark, sf):
     return rounded(out.withColumn("retrain", F.col("retrain").cast("bigint")), 6, "psi")
 
 
-DRAWS_SQL = """WITH p AS (SELECT o_totalprice AS v, row_number() OVER (ORDER BY o_orderkey) - 1 AS i, count(*) OVER () AS n FROM orders),
-    r AS (SELECT unnest(range(5000)) AS rep),
-    h1 AS (SELECT rep, ((rep + 7) * 1103515245 + 12345) % 2147483648 AS h FROM r),
-    h2 AS (SELECT rep, (xor(h, h >> 13) * 69069 + 1) % 2147483648 AS h FROM h1),
-    d AS (SELECT rep, xor(h, h >> 15) AS b,
-          [2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549, 2147483543, 2147483497][rep % 8 + 1] AS a,
-          unnest(range(30)) AS j FROM h2),
-    m AS (SELECT rep, avg(v) AS mean FROM d JOIN p ON p.i = (CAST(a AS BIGINT) * j + b) % (SELECT max(n) FROM p) GROUP BY rep)
+def _mixed_sql(seed):
+    first = f"(((rep + {seed}) * 1103515245 + 12345) % 2147483648)"
+    second = f"((xor({first}, {first} >> 13) * 69069 + 1) % 2147483648)"
+    return f"xor({second}, {second} >> 15)"
+
+
+def _permuted_sql(source):
+    """`x` of the rows of `source (rep, j, x, k0 … k3)` after one pass of the permutation of 0..n-1."""
+    h = "((({x} % 2147483647) * 48271 + ({x} // 2147483647) * 69621 + {k}) % 2147483647)"
+    mixed = lambda x, k: "((xor({h}, {h} >> 15) * 16807) % 2147483647)".format(h=h.format(x=x, k=k))
+    rows = f"SELECT *, x // pr AS a, x % pr AS b FROM {source}, sides"
+    for side, other, key, part in (("a", "b", "k0", "pl"), ("b", "a", "k1", "pr"), ("a", "b", "k2", "pl"), ("b", "a", "k3", "pr")):
+        rows = f"SELECT * REPLACE (xor({side}, {mixed(other, key)} % {part}) AS {side}) FROM ({rows})"
+    return f"SELECT rep, j, a * pr + b AS x, k0, k1, k2, k3 FROM ({rows})"
+
+
+DRAWS_SQL = f"""WITH RECURSIVE p AS (SELECT o_totalprice AS v, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders),
+    sides AS (SELECT count(*) AS n, CAST(2 ** (greatest(length(bin(count(*) - 1)), 2) // 2) AS BIGINT) AS pl,
+        CAST(2 ** (greatest(length(bin(count(*) - 1)), 2) - greatest(length(bin(count(*) - 1)), 2) // 2) AS BIGINT) AS pr FROM p),
+    begun AS (SELECT rep, unnest(range(30)) AS j, {", ".join(f"{_mixed_sql(7 + 1000003 * i)} AS k{i}" for i in range(4))}
+        FROM (SELECT unnest(range(5000)) AS rep)),
+    placed AS (SELECT rep, j, j AS x, k0, k1, k2, k3 FROM begun),
+    walk AS (({_permuted_sql("placed")}) UNION ALL ({_permuted_sql("(SELECT w.* FROM walk w, sides s WHERE w.x >= s.n)")})),
+    m AS (SELECT rep, avg(v) AS mean FROM walk JOIN p ON p.i = x GROUP BY rep)
 """
 
 
