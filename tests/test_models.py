@@ -367,6 +367,18 @@ def test_null_features_count_as_zero_in_fit_and_prediction(spark):
     assert [round(r["p"], 6) for r in features.linear_predict(df.filter("y IS NOT NULL"), fit).collect()] == [3.0, 1.0, 5.0, 9.0]
 
 
+@pytest.mark.parametrize("levels", [1, 2, 30])
+def test_linked_cells_at_the_edge_of_reach(spark, levels):
+    """Cells whose nearest points lie just inside or just outside of reach, whatever number of levels is left to decide."""
+    eps = 1.0
+    rows = [("a", i, [0.0, 0.01 * i]) for i in range(5)]
+    rows += [("b", 10, [1.0 - 1e-13, 0.0])] + [("c", 20, [0.0, -1.0 - 1e-9]), ("c", 21, [0.3, -1.0])] + [("d", 30, [5.0, 5.0])]
+    points = spark.createDataFrame([([{"a": 0, "b": 1, "c": 2, "d": 3}[c]], i, x) for c, i, x in rows], "cell array<int>, id int, x array<double>")
+    pairs = spark.createDataFrame([([i], [j]) for i in range(4) for j in range(i + 1, 4)], "a array<int>, b array<int>")
+    got = cluster._linked_cells(points, pairs, 2, 0.7, eps * eps, levels).collect()
+    assert sorted((r["a"][0], r["b"][0]) for r in got) == [(0, 1)]
+
+
 def test_registered_models_use_the_reference_settings(spark, monkeypatch):
     from tidemill.operators import cluster, models
     from tidemill.plans import catalogue, learning

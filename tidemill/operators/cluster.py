@@ -209,7 +209,8 @@ def _linked_cells(core: DataFrame, pairs: DataFrame, dims: int, side: float, eps
 
     A pair is linked once two sub-boxes lie wholly within reach of each other, and dropped once
     no sub-boxes can touch. Only the undecided sub-box pairs go to the next level, so hot cells
-    are never compared point by point.
+    are never compared point by point. What is undecided after the last level are boxes of hardly any size, around the edge of
+    reach: the different points of those are compared.
     """
     linked = []
     halves = core
@@ -231,8 +232,7 @@ def _linked_cells(core: DataFrame, pairs: DataFrame, dims: int, side: float, eps
                 _span2(F.col("la"), F.col("ha"), F.col("lb"), F.col("hb")).alias("far"),
             ).filter(F.col("near") <= eps2)
         )
-        last = level == levels - 1
-        sure = judged.filter(F.lit(last) | (F.col("far") <= eps2)).select("a", "b").distinct()
+        sure = judged.filter(F.col("far") <= eps2).select("a", "b").distinct()
         linked.append(sure)
         left = judged.join(sure, ["a", "b"], "left_anti")
         open_pairs = cut(left.select("a", "b", F.col("sa").alias("pa"), F.col("sb").alias("pb")))
@@ -240,14 +240,20 @@ def _linked_cells(core: DataFrame, pairs: DataFrame, dims: int, side: float, eps
             break
         alive = open_pairs.select(F.col("a").alias("cell")).union(open_pairs.select("b")).distinct()
         halves = core.join(alive, "cell", "left_semi")
+    else:
+        spots = cut(keyed.select("cell", "sub", "x").distinct())
+        a = spots.select(F.col("cell").alias("a"), F.col("sub").alias("pa"), F.col("x").alias("xa"))
+        b = spots.select(F.col("cell").alias("b"), F.col("sub").alias("pb"), F.col("x").alias("xb"))
+        met = open_pairs.join(a, ["a", "pa"]).join(b, ["b", "pb"])
+        linked.append(met.filter(_dist2(F.col("xa"), F.col("xb")) <= eps2).select("a", "b").distinct())
     return reduce(DataFrame.unionByName, linked).distinct()
 
 
-def connected_labels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Smallest node id of each component: hook to the least neighbour, then jump to the label's label."""
     both = cut(edges.select("src", "dst").union(edges.select(F.col("dst"), F.col("src"))).distinct())
     labels = cut(nodes.select("node", F.col("node").alias("label")))
-    for _ in range(max_rounds):
+    while True:
         least = (
             both.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy(F.col("src").alias("node")).agg(F.min("label").alias("near"))
         )
@@ -260,7 +266,6 @@ def connected_labels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -
         labels = nxt.drop("old")
         if done:
             return labels
-    raise RuntimeError("components did not settle")
 
 
 def density_clusters(df: DataFrame, key: str, columns: Sequence[str], eps: float = 1.5, min_points: int = 5) -> DataFrame:
