@@ -64,11 +64,11 @@ def _segments(text: bytes, data: np.ndarray, ends: np.ndarray):
     return doc[first], h[anchor[first]], anchor[first], starts[first], starts[last]
 
 
-SEGMENTS = "doc_id long, th long, h long, dig long, s long, m int, n int"
+SEGMENTS = "doc_id long, th long, h long, dig long, dig2 long, s long, m int, n int"
 
 
 def _segment_rows(batches):
-    """A row per segment: document, anchor hash, digest of its bytes, where it starts, the anchor in it, its length."""
+    """A row per segment: document, anchor hash, digest of its bytes in two halves, where it starts, the anchor in it, its length."""
     for b in batches:
         texts = as_bytes(b.column("text"))
         ids, hashes = b.column("doc_id"), b.column("th").to_numpy(zero_copy_only=False)
@@ -88,15 +88,15 @@ def _segment_rows(batches):
                     continue
                 doc, h, anchor, first, last = found
                 begin = np.concatenate(([0], ends[:-1]))[doc]
-                digests = b"".join(
-                    hashlib.blake2b(text[i : j + LENGTH], digest_size=8).digest() for i, j in zip(first.tolist(), last.tolist())
-                )
+                digests = np.frombuffer(b"".join(
+                    hashlib.blake2b(text[i : j + LENGTH], digest_size=16).digest() for i, j in zip(first.tolist(), last.tolist())
+                ), dtype=np.int64).reshape(-1, 2)
                 row = np.asarray(rows)[doc]
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(pa.array(row)), pa.array(hashes[row]), pa.array(h.view(np.int64)),
-                     pa.array(np.frombuffer(digests, dtype=np.int64)), pa.array(first - begin + shift),
+                     pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy()), pa.array(first - begin + shift),
                      pa.array((anchor - first).astype(np.int32)), pa.array((last - first + LENGTH).astype(np.int32))],
-                    names=["doc_id", "th", "h", "dig", "s", "m", "n"],
+                    names=["doc_id", "th", "h", "dig", "dig2", "s", "m", "n"],
                 )
 
 
@@ -184,7 +184,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     included. Null texts count as empty and passages never cross documents.
 
     Neighbouring passages with a common anchor form a segment. Equal passages have equal anchors, so only anchors met more than
-    once matter, and equal segments are one class with a count. The classes of an anchor are sorted in one shard by induced
+    once matter, and equal segments (of one anchor and one 128-bit digest) are one class with a count. The classes of an anchor are sorted in one shard by induced
     sorting; the permuted common prefixes say which passages start twice. Shards hold many
     anchors and a bounded number of bytes on average; an anchor with more classes than a shard should hold is divided, and its
     shards' different passages then meet by digest. Lists per document are bounded by the document.
@@ -196,7 +196,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     repeated = cut(segments.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h"))
     kept = cut(segments.join(repeated, "h", "left_semi"))
     first = F.min(F.struct("doc_id", "th", "s", "m", "n"))
-    classes = kept.groupBy("h", "dig").agg(F.count(F.lit(1)).alias("c"), first.alias("rep"))
+    classes = kept.groupBy("h", "dig", "dig2").agg(F.count(F.lit(1)).alias("c"), first.alias("rep"))
     classes = cut(classes.withColumn("cls", F.monotonically_increasing_id()))
     groups = classes.groupBy("h").agg(F.count(F.lit(1)).alias("d"), F.sum("rep.n").alias("bytes")).filter("d > 1")
     groups = cut(groups)
@@ -223,8 +223,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .unionByName(found.join(met, "dig", "left_semi").select("cls", "a", "b"))
         .groupBy("cls").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     )
-    of_class = classes.select("h", "dig", "cls").join(spans, "cls").drop("cls")
-    placed = kept.select("doc_id", "th", "h", "dig", "s").join(of_class, ["h", "dig"])
+    of_class = classes.select("h", "dig", "dig2", "cls").join(spans, "cls").drop("cls")
+    placed = kept.select("doc_id", "th", "h", "dig", "dig2", "s").join(of_class, ["h", "dig", "dig2"])
     per_doc = placed.groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).agg(
         F.collect_list(F.struct("s", "spans")).alias("found")
     )
