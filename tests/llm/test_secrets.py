@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemill.llm import queries, secrets
@@ -98,5 +100,34 @@ def test_allowed_words_spare_only_their_own_windows(spark):
     assert got == {0: ["ebase"], 1: ["ebase"], 2: ["elower"], 3: ["ebase"], 4: [], 5: [], 6: [], 7: [], 8: []}
 
 
+NAMES = [
+    "/usr/local/lib/Python3/site-packages/FooBar/Baz2Qux", "com/google/common/Base64EncodingUtilities/TestRunnerImpl",
+    "AbstractUserService2FactoryBeanImplementation", "org.springframework.beans.factory.AbstractBeanFactoryAware",
+    "https://example.org/Articles/2024/HowToWriteGoodTests/Part2", "getElementsByTagNameAndAttributeValue", "NSInternalInconsistencyException",
+    "Donaudampfschifffahrtsgesellschaftskapitaen", "src/main/java/net/App/Handler/RequestHandlerChain", "std::chrono::high_resolution_clock",
+    "MAX_RETRY_COUNT_BEFORE_GIVING_UP", "some-very-long-css-class-name-of-a-page", "com_github_project_Module_ClassName", "/home/User/Documents/Reports/Q3/Final",
+]
+
+
+def test_names_paths_and_addresses_are_no_secrets(spark):
+    df = spark.createDataFrame([(i, f"see {t} there") for i, t in enumerate(NAMES)], "doc_id long, text string")
+    got = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in secrets.scan_secrets(df).collect()}
+    assert got == {i: [] for i in range(len(NAMES))}
+
+
+@pytest.mark.parametrize("kind,letters", [
+    ("ebase", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
+    ("ebase", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
+    ("ebase", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
+    ("elower", "abcdefghijklmnopqrstuvwxyz0123456789"), ("eupper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), ("ehex", "0123456789abcdef"),
+])
+def test_random_keys_are_found(spark, kind, letters):
+    rng = random.Random(7)
+    keys = ["".join(rng.choice(letters) for _ in range(rng.randint(28, 48))) for _ in range(200)]
+    df = spark.createDataFrame([(i, f"key {k} end") for i, k in enumerate(keys)], "doc_id long, text string")
+    got = [kind in {s["kind"] for s in r["spans"]} for r in secrets.scan_secrets(df).collect()]
+    assert sum(got) >= 0.97 * len(keys)
+
+
 def test_empty_table(spark):
     assert secrets.scan_secrets(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -22,7 +22,7 @@ ONE_CASE = (
 CLASSES = {
     "ehex": (r"(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*[0-9])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{20,}(?![0-9A-Za-z])", "0123456789abcdef", 2.8),
     "ebase": (
-        r"(?<![0-9A-Za-z+/_-])(?=[0-9A-Za-z+/_-]*[0-9])(?=[0-9A-Za-z+/_-]*[a-z])(?=[0-9A-Za-z+/_-]*[A-Z])"
+        r"(?<![0-9A-Za-z+/_-])(?=[0-9A-Za-z+/_-]*[a-z])(?=[0-9A-Za-z+/_-]*[A-Z])"
         r"[0-9A-Za-z+/_-]{20,}={0,2}(?![0-9A-Za-z+/_-])",
         "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=", 3.6,
     ),
@@ -34,6 +34,10 @@ WINDOW = 20  # characters of a window
 SPAN = 60  # characters whose windows are looked at together
 # in a candidate of one letter case with separators, letters and digits touch this often; words and dates of a path hardly do
 TOUCH, TOUCHES = r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])", 3
+# in names of both cases small letters follow small letters; in random strings hardly a quarter of all neighbours are such
+SMALL, SMALL_PART = r"(?<=[a-z])[a-z]", 0.47
+# a candidate with so many of these is a path, whose parts are judged by themselves
+PATH, PATH_MARKS = "/", 2
 # windows over these words are no secrets, whatever else the candidate holds
 ALLOWED = (
     r"(?i)example|sample|dummy|placeholder|changeme|test[_-]?key|lorem|"
@@ -134,13 +138,24 @@ def top_entropy(word: Column, letters: str, window: int = WINDOW) -> Column:
 
 def _secret(word: Column, kind: str, letters: str, least_bits: float) -> Column:
     """Whether a window of the candidate that overlaps no allowed word reaches the threshold."""
-    parts = F.filter(F.split(word, ALLOWED, -1), lambda p: F.length(p) >= WINDOW)
+    parts = F.split(word, ALLOWED, -1)
+    if kind == "ebase":
+        path = F.size(F.split(word, PATH, -1)) > PATH_MARKS
+        parts = F.when(path, F.flatten(F.transform(parts, lambda p: F.split(p, PATH, -1)))).otherwise(parts)
+    parts = F.filter(parts, lambda p: F.length(p) >= WINDOW)
     # short pieces that share all but one character of a window, so a long candidate takes time in proportion to its length
     step = SPAN - WINDOW + 1
     parts = F.flatten(
         F.transform(parts, lambda p: F.transform(F.sequence(F.lit(1), F.length(p), F.lit(step)), lambda i: p.substr(i, F.lit(SPAN))))
     )
-    fine = ~word.rlike(SHAPES) & F.exists(parts, lambda p: top_entropy(p, letters) >= least_bits)
+
+    def random(p: Column) -> Column:
+        high = top_entropy(p, letters) >= least_bits
+        if kind != "ebase":
+            return high
+        return (F.regexp_count(p, F.lit(SMALL)) <= SMALL_PART * (F.length(p) - 1)) & high
+
+    fine = ~word.rlike(SHAPES) & F.exists(parts, random)
     if kind in ("elower", "eupper"):
         fine = fine & (~word.rlike("[+/_-]") | (F.size(F.regexp_extract_all(word, F.lit(TOUCH), F.lit(0))) >= TOUCHES))
     return fine
@@ -151,7 +166,8 @@ def secret_spans(text: Column) -> Column:
 
     Base kinds are `assign`, `access` and `hex`. The entropy scan adds `ehex`, `ebase`, `elower` and `eupper`: candidate strings of one character class, at
     least a window long and set off from other such characters, in which some window's entropy reaches the
-    class's threshold. `elower` and `eupper` hold digits and letters of one case. Windows that overlap a word of the allow-list do not
+    class's threshold. `ebase` holds letters of both cases, with or without digits; names in which small letters follow one another
+    are none, and the parts of a path are judged by themselves. `elower` and `eupper` hold digits and letters of one case. Windows that overlap a word of the allow-list do not
     count, and candidates of an allowed shape are suppressed; base spans never are.
     """
     text = F.coalesce(text.cast("string"), F.lit(""))
