@@ -22,6 +22,7 @@ SHARD_BYTES = 2 << 20  # segments that are sorted together, on average
 SPLIT_BYTES = 2 << 20  # segments of one anchor beyond which they are dealt to several shards
 EDGE = 255  # stands between segments and occurs in no UTF-8 text
 SIDE = (LENGTH - GRAM) // 2
+PIECE = 2 << 20  # bytes of short texts that are searched for anchors together
 
 
 def _anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,7 +73,7 @@ def _segment_rows(batches):
     for b in batches:
         texts = as_bytes(b.column("text"))
         ids, hashes = b.column("doc_id"), b.column("th").to_numpy(zero_copy_only=False)
-        for low, high in pieces([len(t) for t in texts]):
+        for low, high in pieces([len(t) for t in texts], PIECE):
             if high - low == 1:
                 whole = texts[low]
                 parts = [([low], a, whole[a : a + CHUNK + LENGTH - 1]) for a in range(0, max(len(whole) - LENGTH + 1, 0), CHUNK)]
