@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,7 +91,7 @@ def _segment_rows(batches):
                 doc, h, anchor, first, last = found
                 begin = np.concatenate(([0], ends[:-1]))[doc]
                 digests = np.frombuffer(b"".join(
-                    hashlib.blake2b(text[i : j + LENGTH], digest_size=16).digest() for i, j in zip(first.tolist(), last.tolist())
+                    xxhash.xxh3_128_digest(text[i : j + LENGTH]) for i, j in zip(first.tolist(), last.tolist())
                 ), dtype=np.int64).reshape(-1, 2)
                 row = np.asarray(rows)[doc]
                 yield pa.RecordBatch.from_arrays(
