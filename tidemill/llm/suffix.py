@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 
 
@@ -78,25 +80,36 @@ def _induce(s: np.ndarray, small: np.ndarray, sa: np.ndarray, bounds: np.ndarray
             _spread(j, s[j], tails, sa, -1)
 
 
-def _induce_lists(s: list[int], small: list[bool], sa: list[int], bounds: list[int]) -> None:
-    """The same for large alphabets, where buckets hold few entries: element by element."""
+def _induce_lists(s: np.ndarray, small: np.ndarray, sa: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The same for large alphabets, where buckets hold few entries: element by element.
+
+    A table gives, for every suffix, the character before it where that one is of the type a scan induces, else -1. Its
+    last place answers for -1, the empty places of the array.
+    """
     n = len(s)
-    heads = bounds[:-1]
+    before = np.full((2, n + 1), -1, dtype=np.int32)
+    before[0, 1:n] = np.where(small[:-1], -1, s[:-1])
+    before[1, 1:n] = np.where(small[:-1], s[:-1], -1)
+    flat, heads, tails = array('q', sa.tobytes()), array('q', bounds[:-1].tobytes()), array('q', (bounds[1:] - 1).tobytes())
     if not small[n - 1]:
-        sa[heads[s[n - 1]]] = n - 1
-        heads[s[n - 1]] += 1
-    for i in sa:
-        if i > 0 and not small[i - 1]:
-            c = s[i - 1]
-            sa[heads[c]] = i - 1
-            heads[c] += 1
-    tails = [b - 1 for b in bounds[1:]]
-    for k in range(n - 1, -1, -1):
-        i = sa[k]
-        if i > 0 and small[i - 1]:
-            c = s[i - 1]
-            sa[tails[c]] = i - 1
-            tails[c] -= 1
+        c = int(s[n - 1])
+        flat[heads[c]] = n - 1
+        heads[c] += 1
+    table = array('i', before[0].tobytes())
+    for i in flat:  # the list grows while it is read, from left to right
+        c = table[i]
+        if c >= 0:
+            at = heads[c]
+            flat[at] = i - 1
+            heads[c] = at + 1
+    table = array('i', before[1].tobytes())
+    for i in reversed(flat):  # and from right to left
+        c = table[i]
+        if c >= 0:
+            at = tails[c]
+            flat[at] = i - 1
+            tails[c] = at - 1
+    return np.frombuffer(flat, dtype=np.int64)
 
 
 def _sorted_from(s: np.ndarray, small: np.ndarray, seeds: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -111,9 +124,7 @@ def _sorted_from(s: np.ndarray, small: np.ndarray, seeds: np.ndarray, bounds: np
         # seeds are S types; what the left scan may read of a bucket is filled from its head
         _induce(s, small, sa, bounds)
         return sa
-    flat = sa.tolist()
-    _induce_lists(s.tolist(), small.tolist(), flat, bounds.tolist())
-    return np.array(flat, dtype=np.int64)
+    return _induce_lists(s, small, sa, bounds)
 
 
 def _names(s: np.ndarray, lms: np.ndarray, ranked: np.ndarray) -> tuple[np.ndarray, int]:
