@@ -330,6 +330,26 @@ def test_singular_values_and_rebuild(vectors):
     assert whole < 1e-18
 
 
+def test_small_singular_values_keep_their_digits(spark, monkeypatch):
+    turn = np.linalg.qr(rng.normal(size=(4, 4)))[0]
+    x = np.linalg.qr(rng.normal(size=(300, 4)))[0] @ np.diag([1.0, 1e-3, 1e-6, 1e-10]) @ turn
+    df = spark.createDataFrame([([float(a) for a in r],) for r in x], "v array<double>").repartition(9)
+    monkeypatch.setattr(linalg, "FACTOR_BYTES", 0)  # two factors at once: the tree has several levels
+    got = [r["singular_value"] for r in linalg.singular_values(df, "v", 4).orderBy("component").collect()]
+    assert got == pytest.approx([1.0, 1e-3, 1e-6, 1e-10], rel=1e-4)
+    lost = np.sqrt(np.abs(np.linalg.eigvalsh(x.T @ x)[0]))
+    assert abs(lost - 1e-10) > 1e-11  # what the products of the columns leave of the last one
+
+
+def test_singular_values_of_nulls_and_of_nothing(spark):
+    df = spark.createDataFrame([(1, [3.0, 0.0]), (2, None), (3, [None, 1.0]), (4, [0.0, 4.0]), (5, [0.0, 0.0])], "id int, v array<double>")
+    assert [r["singular_value"] for r in linalg.singular_values(df, "v").orderBy("component").collect()] == pytest.approx([4.0, 3.0])
+    rebuilt = {r["id"]: r["rebuilt"] for r in linalg.low_rank(df.filter("id <> 3"), "v", 1).collect()}
+    assert rebuilt[2] is None and rebuilt[4] == pytest.approx([0.0, 4.0]) and rebuilt[1] == pytest.approx([0.0, 0.0])
+    assert linalg.singular_values(df.limit(0), "v").count() == 0
+    assert linalg.low_rank(df.filter("id = 2"), "v", 1).first()["rebuilt"] is None
+
+
 def test_matrix_tables(spark):
     def cells(m):
         return spark.createDataFrame([(i, j, float(v)) for i, r in enumerate(m) for j, v in enumerate(r)], "i long, j long, v double")

@@ -11,11 +11,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.session import cut
+
 MAX_DIMS = 2048
+FACTOR_BYTES = 64 << 20  # triangular factors that one task stacks
 
 
 @dataclass
@@ -149,10 +152,13 @@ def projector(matrix: np.ndarray, centre: np.ndarray | None = None):
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def project(v: pd.Series) -> pd.Series:
-        if not len(v):
-            return pd.Series([], dtype=object)
-        x = np.stack(v.to_numpy()).astype(float)
-        return pd.Series(list((x if centre is None else x - centre) @ matrix))
+        out = pd.Series([None] * len(v), dtype=object)
+        given = np.flatnonzero(v.notna().to_numpy())
+        if len(given):
+            x = np.stack(v.to_numpy()[given]).astype(float)
+            for at, row in zip(given, (x if centre is None else x - centre) @ matrix):
+                out.iat[at] = row
+        return out
 
     return project
 
@@ -164,19 +170,61 @@ def principal_components(df: DataFrame, vector: str, k: int = 2, name: str = "pc
     return df.withColumn(name, projector(vectors, g.means)(F.col(vector).cast("array<double>")))
 
 
+def _whole(v: Column) -> Column:
+    return v.isNotNull() & ~F.exists(v, F.isnull)
+
+
+def triangular_factor(df: DataFrame, vector: str) -> np.ndarray:
+    """R of the QR decomposition of the row matrix, without its products, so small singular values keep their digits.
+
+    Each task turns its rows into one triangular factor, batch by batch. Factors are stacked and reduced in a tree, as many at
+    once as FACTOR_BYTES holds; the driver sees the last ones only. Null vectors and vectors with a null are left out; a
+    table without others has an empty factor.
+    """
+    rows = df.select(F.col(vector).cast("array<double>").alias("v")).filter(_whole(F.col("v")))
+    first = rows.first()
+    if first is None:
+        return np.zeros((0, 0))
+    d = len(first[0])
+    if d > MAX_DIMS:
+        raise ValueError(f"{d} dimensions; the driver holds at most {MAX_DIMS}")
+    fan = int(max(2, FACTOR_BYTES // (8 * max(d, 1) ** 2)))
+
+    def reduced(batches):
+        part, held = None, np.zeros((0, d))
+        for pdf in batches:
+            if len(pdf):
+                part = int(pdf["part"].iloc[0])
+                held = np.linalg.qr(np.vstack([held, np.stack(pdf["v"].to_numpy())]), mode="r")
+        if part is not None:
+            yield pd.DataFrame({"part": part, "v": list(held)})
+
+    def stacked(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": pdf["part"].iloc[0], "v": list(np.linalg.qr(np.stack(pdf["v"].to_numpy()), mode="r"))})
+
+    schema = "part long, v array<double>"
+    blocks = cut(rows.select(F.spark_partition_id().cast("long").alias("part"), "v").mapInPandas(reduced, schema))
+    while blocks.agg(F.max("part")).first()[0] >= fan:
+        blocks = cut(blocks.withColumn("part", F.floor(F.col("part") / fan)).groupBy("part").applyInPandas(stacked, schema))
+    return np.linalg.qr(np.array([r["v"] for r in blocks.collect()]).reshape(-1, d), mode="r")
+
+
 def singular_values(df: DataFrame, vector: str, k: int = 5) -> DataFrame:
     """Leading singular values of the row matrix, with the share of the squared norm they keep."""
-    g = vector_gram(df, vector)
-    values, _ = eigenpairs(g.products, k)
-    whole = float(np.trace(g.products))
-    rows = [(i, float(np.sqrt(max(v, 0.0))), float(v / whole)) for i, v in enumerate(values)]
+    factor = triangular_factor(df, vector)
+    values = np.linalg.svd(factor, compute_uv=False) if factor.size else np.zeros(0)
+    whole = float(values @ values) or 1.0
+    rows = [(i, float(v), float(v * v / whole)) for i, v in enumerate(values[:k])]
     return df.sparkSession.createDataFrame(rows, "component int, singular_value double, share double")
 
 
 def low_rank(df: DataFrame, vector: str, k: int = 1, name: str = "rebuilt") -> DataFrame:
-    """Rank-k reconstruction of each row, without centring."""
-    _, v = eigenpairs(vector_gram(df, vector).products, k)
-    return df.withColumn(name, projector(v @ v.T)(F.col(vector).cast("array<double>")))
+    """Rank-k reconstruction of each row, without centring. A null vector stays null."""
+    factor = triangular_factor(df, vector)
+    if not factor.size:
+        return df.withColumn(name, F.lit(None).cast("array<double>"))
+    v = np.linalg.svd(factor)[2][:k]
+    return df.withColumn(name, projector(v.T @ v)(F.col(vector).cast("array<double>")))
 
 
 # ---- matrices as (i, j, v) rows

@@ -384,6 +384,18 @@ def _(spark, sf):
 CELLS = "SELECT vec_id AS i, unnest(range(len(embedding))) AS j, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings"
 
 
+@query(
+    "v1_spectral_sums",
+    f"""WITH a AS ({CELLS}), g AS (SELECT x.j AS i, y.j AS j, sum(x.v * y.v) AS v FROM a x JOIN a y ON x.i = y.i GROUP BY x.j, y.j)
+        SELECT CAST((SELECT count(DISTINCT j) FROM a) AS BIGINT) AS n, round(sum(v) FILTER (i = j), 3) AS squares, round(sqrt(sum(v * v)), 3) AS fourth FROM g""",
+)
+def _(spark, sf):
+    found = linalg.singular_values(table(spark, sf, "embeddings"), "embedding", 10_000)
+    s2 = F.col("singular_value") * F.col("singular_value")
+    sums = found.agg(F.count(F.lit(1)).alias("n"), F.sum(s2).alias("squares"), F.sqrt(F.sum(s2 * s2)).alias("fourth"))
+    return rounded(sums, 3, "squares", "fourth")
+
+
 @query("v2_matrix_sum", f"WITH a AS ({CELLS}) SELECT i, j, round(v + 2.5 * v, 6) AS v FROM a")
 def _(spark, sf):
     a = linalg.matrix_rows(table(spark, sf, "embeddings"), "vec_id", "embedding")
