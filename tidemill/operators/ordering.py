@@ -53,14 +53,14 @@ def global_index(df: DataFrame, *keys, name: str = "idx", start: int = 0, total:
     )
 
 
-def ranked_values(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct values with their count `n` and the number of rows `before` them, per group.
+def ranked_values(df: DataFrame, value: str, by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """Distinct values with their count `n` and the number of rows `before` them, per group. A row counts `weight` times.
 
     Equal values are counted before the shuffle, a group may span many partitions, and no
     task holds a whole group.
     """
     by = list(by)
-    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(*by, value).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n"))
     rows = _range_sorted(counts, [F.col(c) for c in (*by, value)])
     inside = Window.partitionBy(_PID, *by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy(_PID, *by).agg(F.sum("n").alias("__n"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import arrays as arr
 from tidemill.operators import aggregates as agg
-from tidemill.operators import cluster, features, linalg, models, ordering
+from tidemill.operators import cluster, dependence, features, linalg, models, ordering
 from tidemill.operators.boosting import PenalisedTrees
 from tidemill.plans.registry import query
 from tidemill.plans.timeline import rounded
@@ -96,6 +96,33 @@ def _(spark, sf):
     return rounded(features.mutual_information(deliveries(spark, sf), MI_COLUMNS, "deliveries"), 6, "mi")
 
 
+# every pair of rows by definition; digamma of a whole number is a harmonic sum less Euler's constant
+NEIGHBOUR_SQL = f"""WITH {DELIVERIES_SQL},
+    c AS (SELECT stddev_pop(deliveries) AS sy, {", ".join(f"stddev_pop({c}) AS s_{c}" for c in MI_COLUMNS)} FROM deliveries),
+    p AS ({" UNION ALL ".join(
+        f"SELECT '{c}' AS feature, row_number() OVER () AS i, {c} / CAST(2 AS DOUBLE) ** round(log2(s_{c})) AS x, "
+        "deliveries / CAST(2 AS DOUBLE) ** round(log2(sy)) AS y FROM deliveries, c"
+        for c in MI_COLUMNS
+    )}),
+    g AS (SELECT feature, x, y, count(*) AS n FROM p GROUP BY ALL),
+    d AS (SELECT a.feature, a.x, a.y, a.n, greatest(abs(b.x - a.x), abs(b.y - a.y)) AS d,
+            CASE WHEN a.x = b.x AND a.y = b.y THEN b.n - 1 ELSE b.n END AS m FROM g a JOIN g b ON a.feature = b.feature),
+    w AS (SELECT *, sum(m) OVER (PARTITION BY feature, x, y ORDER BY d) AS upto FROM d),
+    r AS (SELECT feature, x, y, n, min(d) AS d FROM w WHERE upto >= 3 GROUP BY ALL),
+    e AS (SELECT r.feature, r.x, r.y, r.n, sum(CASE WHEN (r.d > 0 AND abs(b.x - r.x) < r.d) OR b.x = r.x THEN b.n ELSE 0 END) AS nx,
+            sum(CASE WHEN (r.d > 0 AND abs(b.y - r.y) < r.d) OR b.y = r.y THEN b.n ELSE 0 END) AS ny
+          FROM r JOIN g b ON r.feature = b.feature GROUP BY ALL),
+    h AS (SELECT i, coalesce(sum(1.0 / i) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS h
+          FROM (SELECT unnest(range(1, (SELECT count(*) + 2 FROM deliveries))) AS i))
+    SELECT e.feature, round(greatest(max(hn.h) + 1.5 - sum(e.n * (hx.h + hy.h)) / sum(e.n), 0), 6) AS mi
+    FROM e JOIN h hx ON hx.i = e.nx JOIN h hy ON hy.i = e.ny JOIN h hn ON hn.i = (SELECT count(*) FROM deliveries) GROUP BY e.feature"""
+
+
+@query("m5_neighbour_information", NEIGHBOUR_SQL)
+def _(spark, sf):
+    return rounded(dependence.neighbour_information(deliveries(spark, sf), MI_COLUMNS, "deliveries"), 6, "mi")
+
+
 FIT_SQL = f"""WITH {DELIVERIES_SQL}, s AS (SELECT count(*) AS n, avg(production) AS mx, avg(deliveries) AS my, stddev_pop(production) AS sd,
     covar_pop(production, deliveries) AS c FROM deliveries), w AS (SELECT *, {{w}} AS w FROM s)
     SELECT '(intercept)' AS term, round(my, 5) AS weight, round(my - w / sd * mx, 5) AS coefficient FROM w
