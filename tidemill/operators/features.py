@@ -17,6 +17,7 @@ from tidemill.operators.linalg import Gram, column_gram
 from tidemill.operators.ordering import global_index, quantiles
 from tidemill.operators.series import lag_features, rolling_features
 from tidemill.operators.stats import bin_of
+from tidemill.session import cut
 
 
 def label_encode(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
@@ -99,6 +100,7 @@ def drop_inflated(df: DataFrame, columns: Sequence[str], limit: float = 30.0) ->
 
 def mutual_information(df: DataFrame, columns: Sequence[str], target: str, bins: int = 10, top: int = 20) -> DataFrame:
     """Features ranked by mutual information with the target, both cut at their quantiles."""
+    df = cut(df.select(*columns, target))  # read for the quantiles and again for the bins
     probs = [i / bins for i in range(1, bins)]
     found = quantiles(df, [*columns, target], probs).select("column", "p", "value").collect()
     edges: dict[str, list[float]] = {}

@@ -27,8 +27,8 @@ def _(spark, sf):
 def _(spark, sf):
     talk = table(spark, sf, "conversations")
     path = scratch_path(spark, "talk")
-    write_slices(talk, path, "turn", 3)
-    stream = stateful.history_stream(read_stream(spark, path, talk.schema), "conv_id", "turn", "role", "text", turns=2)
+    files = write_slices(talk, path, "turn", 3)
+    stream = stateful.history_stream(read_stream(spark, path, talk.schema, files), "conv_id", "turn", "role", "text", turns=2)
     written = run_available(stream, scratch_path(spark, "history"), "update")
     return stateful.history_rows(written, "conv_id").withColumn("position", F.col("position").cast("bigint"))
 
@@ -66,8 +66,8 @@ def _(spark, sf):
 def _(spark, sf):
     events = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
     path = scratch_path(spark, "events")
-    write_slices(events, path, "ts", 4)
-    stream = stateful.suppress_stream(read_stream(spark, path, events.schema), KEYS, "ts", "event_id", 86400)
+    files = write_slices(events, path, "ts", 4)
+    stream = stateful.suppress_stream(read_stream(spark, path, events.schema, files), KEYS, "ts", "event_id", 86400)
     return run_available(stream, scratch_path(spark, "repeats"), "append").drop("batch")
 
 
@@ -84,9 +84,9 @@ def _(spark, sf):
     baseline = events.filter(F.col("ts") < CUT)
     edges = stats.decile_edges(baseline, "value")
     path = scratch_path(spark, "events")
-    write_slices(events, path, "ts", 4)
+    files = write_slices(events, path, "ts", 4)
     # weeks start on Mondays: the epoch was a Thursday
-    stream = drift.weekly_bins(read_stream(spark, path, events.schema), "ts", "value", edges, "4 days")
+    stream = drift.weekly_bins(read_stream(spark, path, events.schema, files), "ts", "value", edges, "4 days")
     counts = drift.latest_counts(run_available(stream, scratch_path(spark, "drift"), "update"))
     out = drift.drift_from_counts(counts, baseline, "value", edges)
     out = out.withColumns({"week_start": F.col("week_start").cast("date").cast("string"), "retrain": F.col("retrain").cast("bigint")})

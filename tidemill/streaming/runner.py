@@ -33,11 +33,13 @@ def run_available(stream: DataFrame, output: str, mode: str = "append", checkpoi
     return spark.read.option("basePath", output).parquet(output)
 
 
-def write_slices(df: DataFrame, path: str, order: str, slices: int = 4, files: int = 4) -> None:
-    """Write a table slice by slice of `order`, oldest first, each as `files` files.
+def write_slices(df: DataFrame, path: str, order: str, slices: int = 4) -> int:
+    """Write a table slice by slice of `order`, oldest first, and return the number of files of each slice.
 
-    Reading `files` files per batch then gives one batch per slice. Rows without a value of `order` are in the first slice.
+    Reading that many files per batch then gives one batch per slice. The slices have as many files in all as `df` has
+    partitions, four each at least. Rows without a value of `order` are in the first slice.
     """
+    files = max(4, -(-df.rdd.getNumPartitions() // slices))
     edges = df.agg(F.percentile_approx(order, [i / slices for i in range(1, slices)], 1000)).first()[0]
     bounds = [None, *(edges or []), None]
     for low, high in zip(bounds, bounds[1:]):
@@ -47,3 +49,4 @@ def write_slices(df: DataFrame, path: str, order: str, slices: int = 4, files: i
         if high is not None:
             part = part.filter((F.col(order) <= F.lit(high)) | F.col(order).isNull() if low is None else F.col(order) <= F.lit(high))
         part.repartition(files).write.mode("append").parquet(path)
+    return files
