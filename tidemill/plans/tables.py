@@ -585,10 +585,13 @@ STAY_SQL = f"""WITH {STAR_SQL}
 
 
 def stay_by_condition(spark, sf):
-    """Average length of stay and number of urgent admissions per condition, on the loaded star."""
-    fact = load(spark, sf).admissions
+    """Average length of stay and number of urgent admissions per condition.
+
+    The cleaned rows are those of the loaded fact; no dimension is needed, and the filter runs below the removal of duplicates.
+    """
+    clean = star.clean_admissions(admissions(spark, sf))
     return (
-        fact.filter(F.col("admission_type") == "1-Urgent")
+        clean.filter(F.col("admission_type") == "1-Urgent")
         .groupBy(F.upper("condition").alias("condition"))
         .agg(F.round(F.avg("stay_days"), 4).alias("avg_stay_days"), F.count(F.lit(1)).alias("patients"))
     )
