@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemill.llm import language, quality, queries, urls
+from tidemill.llm import language, linear, quality, queries, urls
 
 DATA = "/root/testdata/sf0.01"
 
@@ -46,6 +48,80 @@ def test_language_edge_cases(spark, docs, monkeypatch):
     assert all(np.array_equal(a, b) for a, b in zip(whole, language.hits_by_language([long], filters)))
 
 
+def plain_grams(text):
+    """Letter triples around every letter, without hashing; other characters are blanks."""
+    c = [" ", *[x.lower() if regex.match(r"\p{L}", x) and len(x.lower()) == 1 else x if regex.match(r"\p{L}", x) else " " for x in text], " "]
+    return ["".join(c[i - 1 : i + 2]) for i in range(1, len(c) - 1) if c[i] != " "]
+
+
+def test_language_against_plain_sets(spark):
+    """The same n-grams in sets: counts agree up to false hits of the filters, and so do all clear winners."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.select("doc_id", "text", "lang").collect()
+    grams = {r["doc_id"]: plain_grams(r["text"] or "") for r in rows}
+    sizes, used = Counter(), Counter()
+    for r in rows:
+        if r["text"] is not None and r["lang"] is not None and learnable(r["doc_id"]):
+            sizes[r["lang"]] += 1
+            used.update((r["lang"], g) for g in set(grams[r["doc_id"]]))
+    assert max(sizes.values()) <= language.SAMPLE and len(used) < language.GRAMS
+    rate = {k: n / sizes[k[0]] for k, n in used.items() if n > 1}
+    top = Counter()
+    for (_, g), x in rate.items():
+        top[g] = max(top[g], x)
+    sets = {k: {g for (of, g), x in rate.items() if of == k and x >= language.SHARE * top[g]} for k in sizes}
+    filters = language.train_filters(docs)
+    assert filters.languages == sorted(sizes)
+    got = {r["doc_id"]: r for r in language.predict_language(docs, filters).collect()}
+    close = 0
+    for r in rows:
+        found, seen = grams[r["doc_id"]], len(grams[r["doc_id"]])
+        want = np.array([sum(g in sets[k] for g in found) for k in filters.languages], dtype=float)
+        true, n = language._true_counts([r["text"] or ""], filters)
+        assert n[0] == seen and (np.abs(true[0] - want) <= 3 + 0.02 * seen).all()
+        lead = np.sort(want)[-2:]
+        if seen and lead[1] - lead[0] > 2 * (3 + 0.02 * seen):
+            assert got[r["doc_id"]]["lang_pred"] == filters.languages[int(np.argmax(want))]
+            assert got[r["doc_id"]]["score"] == pytest.approx(want.max() / want.sum(), abs=0.05)
+            close += 1
+    assert close > len(rows) / 2
+
+
+def test_updates_against_a_plain_loop(spark):
+    """Follow the regularised leader one example and one coordinate at a time, in the order in which the task reads."""
+    rng = np.random.default_rng(8)
+    s = linear.Settings(bits=6, passes=3, shards=1)
+    given = [(i, float(i % 2), " ".join(str(v) for v in rng.integers(0, 30, 12) * 2 + i % 2)) for i in range(60)]
+    df = spark.createDataFrame(given, "key long, label double, text string")
+
+    def slots(batch):
+        texts = [t.split() for t in batch.column("text").to_pylist()]
+        return np.repeat(np.arange(len(texts)), [len(t) for t in texts]), np.array([int(v) for t in texts for v in t])
+
+    w, bias = linear.train(df, slots, s)
+    order = [r["key"] for r in df.orderBy(F.xxhash64("key", F.lit(1)), "key").select("key").collect()]
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        if abs(z[i]) <= s.l1:
+            return 0.0
+        return -(z[i] - np.sign(z[i]) * s.l1) / ((s.beta + n[i] ** 0.5) / s.alpha + s.l2)
+
+    for _ in range(s.passes):
+        for key in order:
+            _, label, text = given[key]
+            words = Counter(int(v) for v in text.split())
+            x = {**{i: k / 12**0.5 for i, k in words.items()}, "bias": 1.0}
+            own = {i: weight(i) for i in x}
+            p = 1 / (1 + np.exp(-sum(own[i] * x[i] for i in x)))
+            for i, v in x.items():
+                g = (p - label) * v
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / s.alpha * own[i]
+                n[i] += g * g
+    assert np.allclose(w, [weight(i) for i in range(1 << s.bits)], atol=1e-4)
+    assert bias == pytest.approx(weight("bias"), abs=1e-4) and np.abs(w).max() > 0.1
+
+
 def test_filters_hold_what_they_learnt_and_little_else(spark, docs):
     f = language.train_filters(docs)
     assert f.languages == sorted(f.languages) and (f.false_rate < 0.01).all()
