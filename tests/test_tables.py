@@ -242,3 +242,23 @@ def test_subsamples_are_distinct_rows(spark):
     assert seen == set(range(12))
     assert {r["mean"] for r in stats.sampling_means(df, "v", "k", replicates=3, size=50).collect()} == {(2**12 - 1) / 12}
     assert stats.sampling_means(df.limit(0), "v", "k").count() == 0
+
+
+@pytest.mark.parametrize("kind", ["normal", "tailed", "hot"])
+def test_density_against_all_terms(spark, kind):
+    draw = np.random.default_rng(3)
+    x = {"normal": draw.normal(5e6, 2e3, 700), "tailed": draw.standard_cauchy(700) * 1e3, "hot": draw.choice([0.0, 1.0, 9e3], 700)}[kind]
+    rows = agg.kernel_density(spark.createDataFrame([(float(v),) for v in x] + [(None,)], "v double"), "v", 50).orderBy("point").collect()
+    grid = np.linspace(x.min() - 5000, x.max() + 5000, 50)
+    h = x.std(ddof=1) * len(x) ** -0.2
+    want = np.exp(-0.5 * ((grid[:, None] - x) / h) ** 2).sum(axis=1) / (len(x) * h * np.sqrt(2 * np.pi))
+    assert np.allclose([r["x"] for r in rows], grid)
+    assert np.abs(np.array([r["density"] for r in rows]) - want).max() < 1e-12 / h
+
+
+def test_density_without_spread_or_values(spark):
+    df = spark.createDataFrame([(None,), (2.0,), (2.0,)], "v double")
+    for given in (df, df.limit(2)):
+        rows = agg.kernel_density(given, "v", 4, 3.0).orderBy("point").collect()
+        assert [(r["x"], r["density"]) for r in rows] == [(-1.0, None), (1.0, None), (3.0, None), (5.0, None)]
+    assert agg.kernel_density(df.filter("v IS NULL"), "v", 4).count() == 0

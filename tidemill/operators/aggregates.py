@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
+from numpy.polynomial import hermite_e
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,11 +110,17 @@ def histogram(df: DataFrame, column: str, bins: int, density: bool = False) -> D
     return out.drop("total")
 
 
+CELL = 1 / 8  # width of a cell of values in bandwidths
+ORDER = 8  # moments kept of a cell
+
+
 def kernel_density(df: DataFrame, column: str, points: int = 200, margin: float = 5000.0) -> DataFrame:
     """Gaussian density on a grid, bandwidth n^(-1/5) times the sample deviation.
 
-    Equal values are counted first; each distinct value then adds to every grid point, and
-    the sums are combined before the shuffle, so only `points` rows per task move.
+    Values are summed up by cells of CELL bandwidths as moments about the middle of the cell, and the cells add to every grid
+    point by the series of the bell curve around that middle. What the series leaves out is at most
+    1.09 (CELL / 2)^(ORDER + 1) / sqrt((ORDER + 1)!) = 3e-14 of the curve's peak. The work is one pass over the rows and
+    cells times points; only moments move. Without a deviation the density is null, without values there are no rows.
     """
     c = F.col(column).cast("double")
     s = df.agg(
@@ -123,13 +131,30 @@ def kernel_density(df: DataFrame, column: str, points: int = 200, margin: float
     ).scalar()
     step = (s["hi"] - s["lo"] + F.lit(2 * margin)) / F.lit(float(points - 1))
     width = s["sd"] * F.pow(s["n"], F.lit(-0.2))
-    weighted = df.filter(c.isNotNull()).groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("w"))
-    placed = weighted.select(
-        "v", "w", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
-        (s["lo"] - F.lit(margin)).alias("start"), step.alias("step"), width.alias("h"), s["n"].alias("n"),
+    values = df.filter(c.isNotNull()).select(c.alias("v"), s["lo"].alias("lo"), width.alias("h"))
+    values = values.withColumn("cell", F.floor(F.try_divide(F.col("v") - F.col("lo"), F.col("h") * F.lit(CELL))))
+    middle = F.col("lo") + (F.col("cell") + F.lit(0.5)) * F.col("h") * F.lit(CELL)
+    powers = [F.lit(1.0)]
+    for _ in range(ORDER):
+        powers.append(powers[-1] * F.col("t"))
+    cells = values.withColumn("t", F.try_divide(F.col("v") - middle, F.col("h"))).groupBy("cell").agg(
+        *[F.sum(p).alias(f"m{j}") for j, p in enumerate(powers)]
+    )
+    # sum over j of moment j / j! times the Hermite polynomial j, by powers of the distance
+    of_power = [F.lit(0.0)] * (ORDER + 1)
+    for j in range(ORDER + 1):
+        for k, a in enumerate(hermite_e.herme2poly([0.0] * j + [1.0])):
+            if a:
+                of_power[k] = of_power[k] + F.col(f"m{j}") * F.lit(float(a) / math.factorial(j))
+    placed = cells.select(
+        "cell", *[b.alias(f"b{k}") for k, b in enumerate(of_power)], F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
+        s["lo"].alias("lo"), (s["lo"] - F.lit(margin)).alias("start"), step.alias("step"), width.alias("h"), s["n"].alias("n"),
     ).withColumn("x", F.col("start") + F.col("point") * F.col("step"))
-    z = (F.col("x") - F.col("v")) / F.col("h")
-    bump = F.col("w") * F.exp(z * z * F.lit(-0.5)) / (F.col("n") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi()))
+    placed = placed.withColumn("u", F.try_divide(F.col("x") - middle, F.col("h")))
+    sums = F.col(f"b{ORDER}")
+    for k in range(ORDER - 1, -1, -1):
+        sums = sums * F.col("u") + F.col(f"b{k}")
+    bump = F.try_divide(sums * F.exp(F.col("u") * F.col("u") * F.lit(-0.5)), F.col("n") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi()))
     return placed.groupBy("point").agg(F.max("x").alias("x"), F.sum(bump).alias("density"))
 
 
