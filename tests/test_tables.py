@@ -262,3 +262,12 @@ def test_density_without_spread_or_values(spark):
         rows = agg.kernel_density(given, "v", 4, 3.0).orderBy("point").collect()
         assert [(r["x"], r["density"]) for r in rows] == [(-1.0, None), (1.0, None), (3.0, None), (5.0, None)]
     assert agg.kernel_density(df.filter("v IS NULL"), "v", 4).count() == 0
+
+
+def test_correlation_of_a_constant_column_is_nan(spark):
+    df = spark.createDataFrame([(1, 2.0, 4.0), (1, 3.0, 6.0), (1, 5.0, 10.0), (1, None, 3.0)], "a int, b double, c double")
+    rows = {(r["x"], r["y"]): r["r"] for r in agg.correlations(df, ["a", "b", "c"]).collect()}
+    assert np.isnan(rows["a", "b"]) and np.isnan(rows["a", "c"]) and abs(rows["b", "c"] - 1) < 1e-12
+    assert one(agg.correlations(df.filter("b > 9"), ["a", "b"]))["r"] is None
+    tested = one(stats.pearson_test(df, "a", "b"))
+    assert np.isnan(tested["r"]) and tested["p"] is None

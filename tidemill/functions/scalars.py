@@ -1,4 +1,4 @@
-"""Column functions: casts, text normalisation, dates, ratios, bands, clips."""
+"""Column functions: casts, text normalisation, dates, ratios, correlation, bands, clips."""
 
 from __future__ import annotations
 
@@ -95,6 +95,15 @@ def safe_divide(df: DataFrame, a: str, b: str, name: str = "ratio") -> DataFrame
     return df.withColumn(name, F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")))
 
 
+def correlation(x, y) -> Column:
+    """Pearson r of two columns as an aggregate: NaN where one of them is constant, null without rows.
+
+    `corr` stops with a division by zero on a constant column.
+    """
+    own, other, both = F.regr_sxx(_c(y), _c(x)), F.regr_syy(_c(y), _c(x)), F.regr_sxy(_c(y), _c(x))
+    return F.when(both.isNotNull(), F.coalesce(F.try_divide(both, F.sqrt(own * other)), F.lit(float("nan"))))
+
+
 def clip(column, low=None, high=None) -> Column:
     """Bound values; nulls stay null."""
     c = _c(column)

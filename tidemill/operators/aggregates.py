@@ -10,6 +10,7 @@ from numpy.polynomial import hermite_e
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.scalars import correlation
 from tidemill.operators.ordering import quantiles
 
 
@@ -76,7 +77,7 @@ def long_words(df: DataFrame, text: str, longer_than: int = 5, pattern: str = r"
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson r for each pair of columns once, all pairs in a single aggregate."""
     pairs = list(combinations(columns, 2))
-    row = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    row = df.agg(*[correlation(a, b).alias(f"{a}|{b}") for a, b in pairs])
     items = [
         F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"`{a}|{b}`").alias("r")) for a, b in pairs
     ]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.functions.scalars import correlation
 from tidemill.operators.ordering import global_index, null_safe_join, quantile_values, ranked_values
 from tidemill.session import cut
 
@@ -61,7 +62,7 @@ def group_t_tests(df: DataFrame, by: str, y: str) -> DataFrame:
 def pearson_test(df: DataFrame, x: str, y: str) -> DataFrame:
     """Correlation of two columns with its t and two-sided p."""
     both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    row = both.agg(F.count(F.lit(1)).alias("n"), F.corr(x, y).alias("r"))
+    row = both.agg(F.count(F.lit(1)).alias("n"), correlation(x, y).alias("r"))
     t = F.col("r") * F.sqrt(F.try_divide(F.col("n") - 2, 1 - F.col("r") * F.col("r")))
     return row.withColumn("t", t).withColumn("p", two_sided_p(F.col("t"), (F.col("n") - 2).cast("double")))
 
