@@ -14,6 +14,7 @@ from tidemill.session import cut
 
 MICROS = 1_000_000
 GROUP_ROWS = 2_000_000
+NEVER = -(1 << 62)  # before any time
 
 
 def recent_history(df: DataFrame, session: str, order: Sequence[str], turns: int = 6) -> DataFrame:
@@ -33,37 +34,66 @@ def message_key(session: str, message: str):
     return F.concat_ws(":", F.col(session).cast("string"), F.lower(F.trim(F.col(message))))
 
 
-def _walk(times: np.ndarray, need: float, ttl: int) -> np.ndarray:
-    """Positions of the stored times, starting with the first one above `need`."""
-    out, at = [], int(np.searchsorted(times, need, side="right"))
-    while at < len(times):
-        out.append(at)
-        at = int(np.searchsorted(times, times[at] + ttl, side="right"))
-    return np.array(out, dtype=int)
+def first_after(times: np.ndarray, low: np.ndarray, high: np.ndarray, need: np.ndarray) -> np.ndarray:
+    """For each `need`, the first position in `low:high` (whose times ascend) with a later time, else `high`."""
+    low, high = low.copy(), high.copy()
+    while True:
+        open_ = low < high
+        if not open_.any():
+            return low
+        middle = np.minimum((low + high) // 2, len(times) - 1)
+        early = open_ & (times[middle] <= need)
+        low, high = np.where(early, middle + 1, low), np.where(open_ & ~early, middle, high)
+
+
+def chained(times: np.ndarray, ends: np.ndarray, first: np.ndarray, first_ends: np.ndarray, ttl: int) -> np.ndarray:
+    """Marks the stored times: `first` of each group, and from each the first one more than `ttl` later.
+
+    `ends` holds for each row the end of its group. All groups take a step together.
+    """
+    following = first_after(times, np.arange(len(times)), ends, times + ttl)
+    marked, at = np.zeros(len(times), dtype=bool), first[first < first_ends]
+    while len(at):
+        marked[at] = True
+        further = following[at]
+        at = further[further < ends[at]]
+    return marked
 
 
-def _transfer(times: np.ndarray, start: int, ttl: int):
-    """For each time a span may be entered with: the last time stored in it.
+def _transfers(times: np.ndarray, starts: np.ndarray, ends: np.ndarray, opening: np.ndarray, ttl: int):
+    """For each time a span may be entered with: the last time stored in it. Returns rows, and those last times.
 
-    Entry times that lead to the same last time are folded into the largest of them.
+    Spans are the groups `starts:ends` of different, ascending times and begin at `opening`. Entry times that lead to the same
+    last time are folded into the largest of them.
     """
-    n = len(times)
-    nxt = np.searchsorted(times, times + ttl, side="right")
+    own = np.arange(len(times))
+    end = np.repeat(ends, ends - starts)
+    following = first_after(times, own, end, times + ttl)
     # pointers double until each leads to the end of its chain
-    last = np.where(nxt < n, nxt, np.arange(n))
+    last = np.where(following < end, following, own)
     while True:
         further = last[last]
         if np.array_equal(further, last):
             break
         last = further
-    entries = min(int(np.searchsorted(times, start + ttl, side="right")) + 1, n)
-    ends = times[last[:entries]]
-    keep = np.append(ends[1:] != ends[:-1], True)
-    return times[:entries][keep], ends[keep]
+    stop = np.repeat(np.minimum(first_after(times, starts, ends, opening + ttl) + 1, ends), ends - starts)
+    rows = own[own < stop]
+    leave = times[last[rows]]
+    final = rows + 1 == stop[rows]
+    keep = final | np.append(leave[1:] != leave[:-1], True)
+    return rows[keep], leave[keep]
+
+
+def group_starts(keys: pd.DataFrame) -> np.ndarray:
+    """Positions where a run of equal keys begins; nulls are equal."""
+    prior = keys.shift()
+    change = ((keys != prior) & ~(keys.isna() & prior.isna())).any(axis=1).to_numpy()
+    change[:1] = True
+    return np.flatnonzero(change)
 
 
 def _each_group(keys: Sequence[str], fn):
-    """Run `fn` on each run of equal keys of a sorted partition; only the open run is held back."""
+    """Run `fn(rows, starts)` on runs of equal keys of a sorted partition, many at once; only the open run is held back."""
     keys = list(keys)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -72,27 +102,23 @@ def _each_group(keys: Sequence[str], fn):
         for pdf in batches:
             if not len(pdf):
                 continue
-            k = pdf[keys]
-            prior = k.shift()
-            change = ((k != prior) & ~(k.isna() & prior.isna())).any(axis=1).to_numpy()
-            first = k.iloc[0]
-            change[0] = last is None or not all(x == y or (pd.isna(x) and pd.isna(y)) for x, y in zip(first, last))
-            last = k.iloc[-1]
-            starts = np.flatnonzero(change)
+            starts = group_starts(pdf[keys])
+            first = pdf[keys].iloc[0]
+            if last is not None and all(x == y or (pd.isna(x) and pd.isna(y)) for x, y in zip(first, last)):
+                starts = starts[1:]
+            last = pdf[keys].iloc[-1]
             if not len(starts):
                 held.append(pdf)
                 continue
-            out = []
-            if starts[0] > 0:
-                held.append(pdf.iloc[: starts[0]])
-            if held:
-                out.append(fn(pd.concat(held, ignore_index=True)))
-            out += [fn(pdf.iloc[i:j].reset_index(drop=True)) for i, j in zip(starts[:-1], starts[1:])]
+            # all runs but the last are whole
+            whole = [*held, pdf.iloc[: starts[-1]]]
             held = [pdf.iloc[starts[-1] :]]
-            if out:
-                yield pd.concat(out, ignore_index=True)
+            done = pd.concat(whole, ignore_index=True)
+            if len(done):
+                yield fn(done, group_starts(done[keys]))
         if held:
-            yield fn(pd.concat(held, ignore_index=True))
+            done = pd.concat(held, ignore_index=True)
+            yield fn(done, group_starts(done[keys]))
 
     return run
 
@@ -143,38 +169,46 @@ def suppress_repeats(
     kinds = dict(df.dtypes)
     key_schema = ", ".join(f"`{c}` {kinds[c]}" for c in key)
 
-    def labelled(pdf: pd.DataFrame, columns: dict) -> pd.DataFrame:
-        out = pd.DataFrame(columns)
-        for c in key:
-            out[c] = pdf[c].iloc[0]
+    def summarise(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        times = pdf["__t"].to_numpy()
+        fresh = np.append(True, times[1:] != times[:-1])
+        fresh[starts] = True
+        unique = np.flatnonzero(fresh)
+        begin = np.searchsorted(unique, starts)
+        opening = pdf["__span"].to_numpy()[starts] * width
+        at, leave = _transfers(times[unique], begin, np.append(begin[1:], len(unique)), opening, wait)
+        out = pdf[[*key, "__span"]].iloc[unique[at]].reset_index(drop=True)
+        out["enter"], out["leave"] = times[unique[at]], leave
         return out
 
-    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-        span = int(pdf["__span"].iloc[0])
-        enter, leave = _transfer(np.unique(pdf["__t"].to_numpy()), span * width, wait)
-        return labelled(pdf, {"__span": span, "enter": enter, "leave": leave})
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        need, spans_, needs = -1, [], []
-        for span, part in pdf.groupby("__span", sort=False):
-            spans_.append(int(span))
-            needs.append(need)
-            at = int(np.searchsorted(part["enter"].to_numpy(), need, side="right"))
-            if at < len(part):
-                need = int(part["leave"].iloc[at]) + wait
-        return labelled(pdf, {"__span": spans_, "need": needs})
-
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        times = pdf["__t"].to_numpy()
-        need = int(pdf["need"].iloc[0])
-        unique = np.unique(times)
-        stored = unique[_walk(unique, need, wait)]
-        fresh = ~pdf["__t"].duplicated().to_numpy() & np.isin(times, stored)
-        slot = np.searchsorted(stored, times, side="right") - 1
-        before = need - wait
+    def chain(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        enter, leave = pdf["enter"].to_numpy(), pdf["leave"].to_numpy()
+        spans_ = group_starts(pdf[[*key, "__span"]])
+        ends = np.append(spans_[1:], len(pdf))
+        # the spans of a key follow each other; all keys of the batch take a step together
+        at = np.searchsorted(spans_, starts)
+        stop = np.append(at[1:], len(spans_))
+        need, needs = np.full(len(at), NEVER), np.empty(len(spans_), dtype=np.int64)
+        while len(at):
+            needs[at] = need
+            found = first_after(enter, spans_[at], ends[at], need)
+            need = np.where(found < ends[at], leave[np.minimum(found, len(leave) - 1)] + wait, need)
+            at = at + 1
+            more = at < stop
+            at, stop, need = at[more], stop[more], need[more]
+        out = pdf[[*key, "__span"]].iloc[spans_].reset_index(drop=True)
+        out["need"] = needs
+        return out
+
+    def replay(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        times, need = pdf["__t"].to_numpy(), pdf["need"].to_numpy()
+        ends = np.append(starts[1:], len(pdf))
+        sizes = ends - starts
+        fresh = chained(times, np.repeat(ends, sizes), first_after(times, starts, ends, need[starts]), ends, wait)
+        latest = np.maximum.accumulate(np.where(fresh, np.arange(len(pdf)), -1))
         out = pdf[[*key, tie]].copy()
         out["repeat"] = (~fresh).astype("int64")
-        out["answered_at"] = np.where(slot >= 0, stored[np.maximum(slot, 0)], before) if len(stored) else before
+        out["answered_at"] = np.where(latest >= np.repeat(starts, sizes), times[np.maximum(latest, 0)], need - wait)
         return out
 
     moves = _grouped(dense, [*key, "__span"], ["__t"], summarise, f"{key_schema}, __span long, enter long, leave long")
