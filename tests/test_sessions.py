@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -94,9 +95,48 @@ def test_late_rows_repeat_only_what_is_near_and_keep_the_stored_time(spark, tmp_
     assert {r["id"]: r["repeat"] for r in out.collect()} == {0: 0, 1: 0, 2: 0, 3: 1, 4: 1}
 
 
+def test_rows_without_a_time_are_no_repeats(spark, tmp_path):
+    rows = [("a", START, 0), ("a", None, 1), ("b", None, 2), ("a", START + dt.timedelta(seconds=5), 3)]
+    path = str(tmp_path / "in")
+    batches(spark, path, rows, "k string, ts timestamp_ntz, id int", [3, 1])
+    stream = stateful.suppress_stream(read_stream(spark, path, spark.read.parquet(path).schema, 1), ["k"], "ts", "id", 300)
+    out = run_available(stream, str(tmp_path / "out"), "append", str(tmp_path / "state"))
+    assert {r["id"]: r["repeat"] for r in out.collect()} == {0: 0, 1: 0, 2: 0, 3: 1}
+
+
 def test_slices_keep_rows_without_order(spark, tmp_path):
     df = spark.createDataFrame([(i, i if i % 5 else None) for i in range(21)], "id int, at int")
     write_slices(df, str(tmp_path / "s"), "at", 3)
     assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "s")).collect()) == list(range(21))
     write_slices(df.filter("at IS NULL"), str(tmp_path / "n"), "at", 3)
     assert spark.read.parquet(str(tmp_path / "n")).count() == 5
+
+
+def test_groups_of_a_batch_are_worked_on_together():
+    calls = []
+
+    def count(pdf, starts):
+        calls.append(len(starts))
+        return pdf
+
+    frames = [pd.DataFrame({"k": [1, 1, 2, 3, None]}), pd.DataFrame({"k": [None, 4, 5]})]
+    out = pd.concat(sessions._each_group(["k"], count)(iter(frames)))
+    assert calls == [3, 2, 1] and out["k"].tolist()[:4] == [1, 1, 2, 3]
+
+
+def test_rows_before_1970_are_no_repeats_of_nothing(spark):
+    at = dt.datetime(1960, 1, 1)
+    df = spark.createDataFrame([("a", at + dt.timedelta(seconds=s), s) for s in (0, 5, 100)], "k string, ts timestamp_ntz, id int")
+    assert {r["id"]: r["repeat"] for r in sessions.suppress_repeats(df, ["k"], "ts", "id", 50).collect()} == {0: 0, 5: 1, 100: 0}
+
+
+def test_repeat_stream_calls_python_by_shard_not_by_key(spark, tmp_path):
+    rows = [(None if k == 7 else k, START + dt.timedelta(seconds=40 * t), 300 * t + k) for t in range(4) for k in range(300)]
+    path = str(tmp_path / "in")
+    batches(spark, path, rows, "k long, ts timestamp_ntz, id int", [600, 600])
+    stream = stateful.suppress_stream(read_stream(spark, path, spark.read.parquet(path).schema, 1), ["k"], "ts", "id", 50, shards=4)
+    out = run_available(stream, str(tmp_path / "out"), "append", str(tmp_path / "state")).collect()
+    assert {r["id"]: r["repeat"] for r in out} == {i: (i // 300) % 2 for _, _, i in rows}
+    assert {r["k"] for r in out if r["id"] % 300 == 7} == {None}
+    states = spark.read.format("statestore").load(str(tmp_path / "state"))
+    assert states.count() <= 4
