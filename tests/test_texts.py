@@ -252,3 +252,14 @@ def test_pruned_search_is_exact_and_reads_fewer_postings(spark, monkeypatch, idl
     assert read == every if idle == 10**9 else read < every / 2
     assert retrieval.search_terms(index.limit(0), questions, 2).count() == 0
     assert retrieval.search_terms(index, questions.limit(0), 2).count() == 0
+
+
+def test_dense_search_scores_a_few_queries_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(retrieval, "SCORE_BYTES", 8 * 40 * 3)
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(40, 5))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    want = np.argsort(-(unit @ unit.T), axis=1)[:, :3]
+    found = retrieval.search_vectors(df, df.withColumnRenamed("vec_id", "question_id"), 3).collect()
+    assert {(r["question_id"], r["rank"]): r["vec_id"] for r in found} == {(i, j + 1): want[i, j] for i in range(40) for j in range(3)}

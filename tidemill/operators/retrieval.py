@@ -23,6 +23,7 @@ MARGIN = 1e-8  # of scores that are compared before they are rounded
 SEEDS = 4  # times the number of answers: heaviest postings per term, and first candidates per question, that give the threshold
 BLOCK_BYTES = 16 << 20  # components of a block of rows, eight bytes each
 QUERY_BYTES = 2 << 20  # and of a block of queries
+SCORE_BYTES = 16 << 20  # scores of one step within a pair of blocks
 
 
 def _tokens(name: str, stop_words: Sequence[str] | None) -> Column:
@@ -195,7 +196,7 @@ def search_vectors(
     """Exact `k` nearest rows per query by inner product of unit vectors.
 
     Rows and queries are dealt into blocks of bounded bytes. Each pair of blocks is one task, which multiplies the two and keeps the
-    best `k` per query: the full score table never exists, and neither side passes through the driver. Null vectors take no part.
+    best `k` per query, a few queries (`SCORE_BYTES`) at a time: the full score table never exists, and neither side passes through the driver. Null vectors take no part.
     """
     units = cut(vectors.select(F.col(key).alias("id"), normalised(vector).alias("v")).filter("id IS NOT NULL AND v IS NOT NULL"))
     asked = cut(queries.select(F.col(question).alias("question"), normalised(vector).alias("v")).filter("v IS NOT NULL"))
@@ -206,8 +207,10 @@ def search_vectors(
     def run(rows: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(block):
             return pd.DataFrame({"question": block["question"][:0], "id": rows["id"][:0], "score": np.zeros(0)})
-        scores = np.stack(block["v"].to_numpy()) @ np.stack(rows["v"].to_numpy()).T
-        return _best(scores, rows["id"].to_numpy(), block["question"].to_numpy(), k)
+        own, other = np.stack(block["v"].to_numpy()), np.stack(rows["v"].to_numpy()).T
+        ids, names = rows["id"].to_numpy(), block["question"].to_numpy()
+        step = max(1, SCORE_BYTES // (8 * len(rows)))
+        return pd.concat([_best(own[i : i + step] @ other, ids, names[i : i + step], k) for i in range(0, len(names), step)])
 
     tasks = row_blocks * query_blocks
     left = _blocked(units, "rb", "qb", row_blocks, query_blocks).repartition(tasks, "rb", "qb").groupBy("rb", "qb")
