@@ -254,6 +254,19 @@ def test_pruned_search_is_exact_and_reads_fewer_postings(spark, monkeypatch, idl
     assert retrieval.search_terms(index, questions.limit(0), 2).count() == 0
 
 
+@pytest.mark.parametrize("cells", [0, 2_000_000])
+def test_search_of_few_and_many_questions_agrees(spark, monkeypatch, cells):
+    monkeypatch.setattr(retrieval, "QUESTION_CELLS", cells)
+    index = spark.createDataFrame([(f"c{i:03}", t, 0.6 if t == "a" else 0.8 / (1 + i % 3)) for i in range(90) for t in "ab"], "chunk_id string, term string, weight double")
+    questions = spark.createDataFrame([("x", "a", 1.0), ("y", "b", 1.0), ("z", "none", 1.0)], "question_id string, term string, weight double")
+    found = retrieval.search_terms(index, questions, 3)
+    got = sorted((r["question_id"], r["rank"], r["chunk_id"], r["score"]) for r in found.collect())
+    assert got == [(q, i + 1, f"c{c:03}", s) for q, cs, s in (("x", (0, 1, 2), 0.6), ("y", (0, 3, 6), 0.8)) for i, c in enumerate(cs)]
+    # a pair of question and chunk is a row only where many questions are asked
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert ("MapInPandas" in plan) == (cells > 0)
+
+
 def test_dense_search_scores_a_few_queries_at_a_time(spark, monkeypatch):
     monkeypatch.setattr(retrieval, "SCORE_BYTES", 8 * 40 * 3)
     rng = np.random.default_rng(4)

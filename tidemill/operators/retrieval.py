@@ -19,6 +19,7 @@ from tidemill.session import cut
 
 BLOCK_ROWS = 500_000
 IDLE = 8  # times as many postings must go unread as are read for a question's light terms to be left out
+QUESTION_CELLS = 2_000_000  # questions times different terms that a task may hold as one matrix
 MARGIN = 1e-8  # of scores that are compared before they are rounded
 SEEDS = 4  # times the number of answers: heaviest postings per term, and first candidates per question, that give the threshold
 BLOCK_BYTES = 16 << 20  # components of a block of rows, eight bytes each
@@ -116,18 +117,66 @@ def essential_terms(posts: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     return bound.withColumn("rest", rest).filter("NOT idle").select("question", "term", "wq", "floor", "rest")
 
 
+def _scanned(index: DataFrame, asked: DataFrame, k: int, chunk: str) -> DataFrame:
+    """The `k` best chunks of each question in each partition of the index: `(question, chunk, score)`.
+
+    The weights of all questions are one small matrix. The postings of a chunk come together as one row, in the partition that the
+    weights were made in, and give the chunk's scores with all questions at once, so no pair of question and chunk is ever a row.
+    """
+    rows = asked.toPandas()
+    question_of, names = pd.factorize(rows["question"])
+    term_of, terms = pd.factorize(rows["term"])
+    matrix = np.zeros((len(terms), len(names)))
+    np.add.at(matrix, (term_of, question_of), rows["wq"].to_numpy(dtype=float))
+    names = names.to_numpy() if hasattr(names, "to_numpy") else np.asarray(names)
+    numbers = index.sparkSession.createDataFrame([(str(t), i) for i, t in enumerate(terms)], "term string, __no int")
+    # bounded by QUESTION_CELLS
+    posts = index.join(F.broadcast(numbers), "term").select(F.col(chunk).alias("chunk"), F.struct("__no", "weight").alias("__p"))
+    # at most one entry per known term
+    packed = posts.groupBy("chunk").agg(F.collect_list("__p").alias("__p"))
+    packed = packed.select("chunk", F.col("__p.__no").alias("no"), F.col("__p.weight").alias("weight"))
+
+    def run(batches):
+        floor = np.full(len(names), -np.inf)
+        best = None
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            raw = np.stack([w @ matrix[no] for no, w in zip(pdf["no"], pdf["weight"])])
+            scores = np.round(raw, 9)
+            at, q = np.nonzero((raw > 0) & (scores >= floor))
+            if not len(at):
+                continue
+            found = pd.DataFrame({"question": q, "chunk": pdf["chunk"].to_numpy()[at], "score": scores[at, q]})
+            found = found if best is None else pd.concat([best, found])
+            best = found.sort_values(["question", "score", "chunk"], ascending=[True, False, True]).groupby("question").head(k)
+            full = best.groupby("question")["score"].agg(["size", "min"])
+            full = full[full["size"] >= k]
+            floor[full.index] = full["min"]
+        if best is not None:
+            yield best.assign(question=names[best["question"]])
+
+    kinds = dict(packed.dtypes) | dict(asked.dtypes)
+    return packed.mapInPandas(run, f"question {kinds['question']}, chunk {kinds['chunk']}, score double")
+
+
 def search_terms(
     index: DataFrame, questions: DataFrame, k: int = 4, chunk: str = "chunk_id", question: str = "question_id"
 ) -> DataFrame:
     """The `k` best chunks per question by cosine of term weights: `(question, chunk, score, rank)`.
 
-    Exact for weights that are not negative and chunks of unit length or less, as `term_weights` gives them. Postings of a question's
+    Exact for weights that are not negative and chunks of unit length or less, as `term_weights` gives them. As many questions as a task can
+    hold are answered in one pass over the chunks (`_scanned`). With more of them, postings of a question's
     lightest terms are not read where that saves much (`essential_terms`). What the others add up to, and the most that the rest could
     add to a unit vector, then leaves few chunks that may reach the threshold, and those are scored in full. The postings are written once
     and each step reads them once, however many questions there are.
     """
-    posts = cut(index.select("term", F.col(chunk).alias("chunk"), F.col("weight").alias("wc")))
     asked = cut(questions.select(F.col(question).alias("question"), "term", F.col("weight").alias("wq")))
+    held = asked.agg(F.count_distinct("question").alias("q"), F.count_distinct("term").alias("t"), F.count("question").alias("n")).first()
+    if 0 < held["q"] * held["t"] <= QUESTION_CELLS and held["n"] <= QUESTION_CELLS:
+        best = _top(_scanned(index, asked.filter("question IS NOT NULL AND wq > 0"), k, chunk), k)
+        return best.select(F.col("question").alias(question), F.col("chunk").alias(chunk), "score", "rank")
+    posts = cut(index.select("term", F.col(chunk).alias("chunk"), F.col("weight").alias("wc")))
     needed = cut(essential_terms(posts, asked, k))
     # dealt by chunk before they meet the questions, which makes them many more
     met = posts.repartition("chunk").join(_few(needed), "term").groupBy("question", "chunk").agg(
