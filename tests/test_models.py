@@ -297,6 +297,27 @@ def test_silhouette_over_several_blocks(spark):
         assert got[i] == pytest.approx((b - a) / max(a, b))
 
 
+def test_silhouette_meets_each_pair_of_blocks_once():
+    x = rng.normal(size=(300, 3)) + 1e6  # far from the origin, where plain products lose all digits
+    x[40:60] = x[40]
+    labels = np.array(["a"] * 90 + ["b"] * 5 + ["c"] * 205)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    found, cells = {}, 0
+    blocks = [(np.arange(300)[s : s + 110], labels[s : s + 110], x[s : s + 110]) for s in (0, 110, 220)]
+    for i, one in enumerate(blocks):
+        for two in blocks[i:]:
+            for frame in cluster._block_sums(one, two, rows=16, columns=37):
+                cells += len(frame)
+                for r in frame.itertuples():
+                    assert r.own == labels[r.id]
+                    found[r.id, r.other] = found.get((r.id, r.other), 0.0) + r.total
+    # a row has one sum per block and label there: a, b and c in the first, c in the others
+    assert cells == 300 * 5
+    for i in range(300):
+        for name in "abc":
+            assert found[i, name] == pytest.approx(d[i, labels == name].sum(), rel=1e-9)
+
+
 def test_inertia_falls_with_k(spark):
     x = rng.normal(size=(60, 2)) + np.repeat([[0, 0], [8, 0], [0, 8]], 20, axis=0)
     df = cluster.with_vector(spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double"), ["a", "b"])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from itertools import product
 
@@ -19,6 +19,10 @@ from tidemill.operators.models import side_by_side
 from tidemill.operators.ordering import global_index
 from tidemill.session import cut
 
+BLOCK_BYTES = 8 << 20  # components of a block of rows, eight bytes each
+NEAR = 1e-4  # squared distances below this share of the squared lengths are taken from differences
+PAIR_CELLS = 1 << 20  # components of such differences held at a time
+
 
 def with_vector(df: DataFrame, columns: Sequence[str], name: str = "features") -> DataFrame:
     return df.withColumn(name, array_to_vector(F.array(*[F.col(c).cast("double") for c in columns])))
@@ -82,45 +86,116 @@ def silhouette_squared(df: DataFrame, features: str = "features", label: str = "
     return ClusteringEvaluator(featuresCol=features, predictionCol=label, distanceMeasure="squaredEuclidean").evaluate(df)
 
 
-def silhouette_rows(df: DataFrame, key: str, vector: str, label: str, block: int = 1024) -> DataFrame:
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances of the rows of `a` and `b`, from one matrix product.
+
+    Squares that are small against the rows' own lengths lose digits in the product, as do non-finite ones; those are
+    taken again from differences.
+    """
+    na, nb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    d2 = np.column_stack([-2 * a, na, np.ones(len(a))]) @ np.column_stack([b, np.ones(len(b)), nb]).T
+    sure = d2 > (NEAR * (na + nb.max()))[:, None]
+    if not sure.all():
+        rows, cols = np.nonzero(~sure)
+        step = max(1, PAIR_CELLS // max(1, a.shape[1]))
+        for s in range(0, len(rows), step):
+            r, c = rows[s : s + step], cols[s : s + step]
+            gap = a[r] - b[c]
+            d2[r, c] = np.einsum("ij,ij->i", gap, gap)
+    return np.sqrt(d2, out=d2)
+
+
+def _runs(labels: np.ndarray) -> np.ndarray:
+    """Where each run of equal labels begins."""
+    return np.array([i for i in range(len(labels)) if i == 0 or labels[i] != labels[i - 1]])
+
+
+def _block_sums(one: tuple, two: tuple, rows: int = 128, columns: int = 2048):
+    """Sums of distances `(id, own, other, total)` of each row of a block to each label of the other, in both directions.
+
+    A block is `(ids, labels, vectors)` with equal labels side by side; a block with itself is asked once. No more is held
+    than the distances of one tile and the sums of a few rows.
+    """
+    (ids, labels, a), (other_ids, other_labels, b) = one, two
+    mirrored = one is not two
+    with np.errstate(invalid="ignore", over="ignore"):
+        # squares stay small next to the block's own middle
+        middle = np.where(np.isfinite(a), a, 0.0).mean(axis=0)
+        a, b = a - middle, b - middle
+        runs_b = _runs(other_labels)
+        ends = np.append(_runs(labels)[1:], len(a))
+        start = 0
+        for end in ends:
+            back = np.zeros(len(b))
+            for s in range(start, end, rows):
+                part = a[s : min(s + rows, end)]
+                there = np.zeros((len(part), len(runs_b)))
+                for t in range(0, len(b), columns):
+                    gap = _distances(part, b[t : t + columns])
+                    first = np.searchsorted(runs_b, t, side="right") - 1
+                    inside = runs_b[first + 1 : np.searchsorted(runs_b, t + gap.shape[1])] - t
+                    sums = np.add.reduceat(gap, np.concatenate([[0], inside]).astype(int), axis=1)
+                    there[:, first : first + sums.shape[1]] += sums
+                    if mirrored:
+                        back[t : t + gap.shape[1]] += gap.sum(axis=0)
+                yield pd.DataFrame(
+                    {
+                        "id": np.repeat(ids[s : s + len(part)], len(runs_b)), "own": labels[start],
+                        "other": np.tile(other_labels[runs_b], len(part)), "total": there.ravel(),
+                    }
+                )
+            if mirrored:
+                yield pd.DataFrame({"id": other_ids, "own": other_labels, "other": labels[start], "total": back})
+            start = end
+
+
+def silhouette_rows(df: DataFrame, key: str, vector: str, label: str, block: int | None = None) -> DataFrame:
     """Euclidean silhouette value of each row.
 
-    Quadratic by definition. Rows are packed into blocks of `block` rows; a task multiplies two
-    blocks and emits one sum per row and label, never the pairs themselves.
+    Quadratic by definition. Rows are packed into blocks in the order of their labels; a task multiplies two
+    blocks, each pair of blocks once, and emits one sum per row and label, never the pairs themselves. The number of
+    those sums is the number of rows times that of blocks, or of labels if that is more. `block` is the rows of
+    a block; it follows from the rows and their width.
     """
-    rows = global_index(
-        df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"), F.col(label).alias("label")),
-        "id", name="pos", total="rows",
-    ).withColumn("blk", F.floor(F.col("pos") / block))
+    rows = cut(
+        global_index(
+            df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"), F.col(label).alias("label")),
+            "label", "id", name="pos",
+        )
+    )
+    n, width, least = rows.agg(F.count(F.lit(1)), F.max(F.size("v")), F.min(F.size("v"))).first()
+    if width != least:
+        raise ValueError(f"vectors of {least} to {width} components")
+    if block is None:
+        block = min(max(256, -(-n // 16)), max(1, BLOCK_BYTES // (8 * max(1, width or 0))))
+    last = max(0, n - 1) // block
+    items = F.sort_array(F.collect_list(F.struct("pos", "id", "label", "v")))
     packed = cut(
-        rows.groupBy("blk").agg(
-            F.sort_array(F.collect_list(F.struct("id", "label", "v"))).alias("items"), F.max("rows").alias("rows")
+        rows.groupBy(F.floor(F.col("pos") / block).alias("blk")).agg(items.alias("items")).select(
+            "blk", F.col("items.id").alias("ids"), F.col("items.label").alias("labels"), F.flatten("items.v").alias("v")
         )
     )
-    blocks = F.floor((F.col("rows") - 1) / block)
-    left = packed.select("items", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks)).alias("blk"))
-    right = packed.select("blk", F.col("items").alias("others"))
-
-    def sums(batches):
-        for pdf in batches:
-            for items, others in zip(pdf["items"], pdf["others"]):
-                a = np.stack([np.asarray(r["v"], dtype=float) for r in items])
-                b = np.stack([np.asarray(r["v"], dtype=float) for r in others])
-                labels = np.array([r["label"] for r in others])
-                for start in range(0, len(a), 128):
-                    gap = np.sqrt(((a[start : start + 128, None, :] - b[None, :, :]) ** 2).sum(axis=2))
-                    for name in np.unique(labels):
-                        part = gap[:, labels == name].sum(axis=1)
-                        mine = items[start : start + 128]
-                        yield pd.DataFrame(
-                            {
-                                "id": [r["id"] for r in mine], "own": [r["label"] for r in mine],
-                                "other": name, "total": part,
-                            }
-                        )
+    met = packed.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last).cast("bigint")))).select(
+        F.least("blk", "with").alias("i"), F.greatest("blk", "with").alias("j"), "blk", "ids", "labels", "v"
+    )
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        both = [
+            (np.asarray(ids), np.asarray(labels), np.asarray(v, dtype=float).reshape(len(ids), -1))
+            for pdf in batches for ids, labels, v in zip(pdf["ids"], pdf["labels"], pdf["v"])
+        ]
+        held, size = [], 0
+        for frame in _block_sums(both[0], both[-1]):
+            held.append(frame)
+            size += len(frame)
+            if size >= 65_536:
+                yield pd.concat(held)
+                held, size = [], 0
+        if held:
+            yield pd.concat(held)
 
     kinds = dict(rows.dtypes)
-    spread = left.join(right, "blk").select("items", "others").mapInPandas(
+    spread = met.groupBy("i", "j").applyInPandas(
         sums, f"id {kinds['id']}, own {kinds['label']}, other {kinds['label']}, total double"
     )
     totals = spread.groupBy("id", "own", "other").agg(F.sum("total").alias("total"))
