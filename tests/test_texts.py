@@ -195,6 +195,15 @@ def test_names_containing_fragments(spark):
     assert ask.matching_fragments(spark.createDataFrame([("a",)], "name string"), "name", none, "doctor").count() == 0
 
 
+def test_questions_of_one_filter_set_are_dealt_to_many_tasks(spark):
+    asked = spark.range(400).select("id", F.lit("list").alias("template"), F.when(F.col("id") < 390, "hot").otherwise("rare").alias("combo"))
+    found = spark.createDataFrame([("hot", 1), ("hot", 2), ("rare", 3), ("unasked", 4)], "combo string, admission_id long")
+    dealt = ask._dealt(asked, found, "id", per_key=10).select("id", "admission_id", F.spark_partition_id().alias("task"))
+    rows = dealt.collect()
+    assert sorted((r["id"], r["admission_id"]) for r in rows) == sorted([(i, n) for i in range(390) for n in (1, 2)] + [(i, 3) for i in range(390, 400)])
+    assert len({r["task"] for r in rows}) == 4  # all shuffle partitions of the test session
+
+
 @pytest.mark.parametrize("cell_rows", [20_000, 7])
 def test_approximate_search_against_the_exact_one(spark, monkeypatch, cell_rows):
     monkeypatch.setattr(vectors, "CELL_ROWS", cell_rows)

@@ -11,7 +11,7 @@ from tidemill.plans.registry import query
 from tidemill.plans.tables import BLANKS
 from tidemill.plans.timeline import rounded
 from tidemill.plans.views import ADMISSIONS_SQL, admissions, table
-from tidemill.session import cut
+from tidemill.session import cut, spread
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -37,7 +37,7 @@ ASKED_SQL = f"asked AS (SELECT c_custkey AS question_id, {TEXT_SQL} AS question
 
 
 def asked(spark, sf):
-    return table(spark, sf, "customer").select(F.col("c_custkey").alias("question_id"), F.expr(TEXT_SQL.replace("VARCHAR", "STRING")).alias("question"))
+    return spread(table(spark, sf, "customer")).select(F.col("c_custkey").alias("question_id"), F.expr(TEXT_SQL.replace("VARCHAR", "STRING")).alias("question"))
 
 
 ROUTED_TEXT = "CASE role WHEN 'user' THEN 'Extract keywords From ' || text WHEN 'assistant' THEN 'Calculate ' || CAST(length(text) AS VARCHAR) || ' + 1' ELSE text END"
@@ -210,5 +210,5 @@ for _strict, _suffix in ((True, ""), (False, "_loose")):
 def _(spark, sf):
     fact, doctors = _facts(spark, sf)
     s = cut(slots(spark, sf))
-    out = ask.summarise(s, ask.answer_numbers(s, fact), ask.answer_lists(s, fact, doctors, TODAY))
+    out = ask.summarise(s, ask.answer_numbers(s, fact), ask.list_sizes(s, fact, doctors, TODAY))
     return out.withColumn("success", F.col("success").cast("bigint"))
