@@ -195,6 +195,14 @@ def test_names_containing_fragments(spark):
     assert ask.matching_fragments(spark.createDataFrame([("a",)], "name string"), "name", none, "doctor").count() == 0
 
 
+def test_next_words_splits_each_line_once(spark, capsys):
+    docs = spark.createDataFrame([("A b. a-b\nb\n\na c, a",), (None,), ("",)], "text string")
+    model = text.next_words(docs, "text")
+    model.explain()
+    assert capsys.readouterr().out.count("lower(") == 1
+    assert {r["word"]: r["next"] for r in model.collect()} == {"a": "b", "b": "a", "c": "a"}
+
+
 def test_questions_of_one_filter_set_are_dealt_to_many_tasks(spark):
     asked = spark.range(400).select("id", F.lit("list").alias("template"), F.when(F.col("id") < 390, "hot").otherwise("rare").alias("combo"))
     found = spark.createDataFrame([("hot", 1), ("hot", 2), ("rare", 3), ("unasked", 4)], "combo string, admission_id long")

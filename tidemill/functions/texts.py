@@ -13,7 +13,7 @@ EDGE_BLANKS = r"(?U)^\s+|\s+$"
 SENTENCE_GAP = r"(?U)(?<=[.!?])\s+"
 WORD = r"[\p{L}\p{N}_]+"
 LONG_WORD = r"[\p{L}\p{N}_]{2,}"
-PUNCTUATION = r"""[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~\t\n]"""
+PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n"
 SECTION_HEADER = r"(?md)^##\s+(\d+)\.\s+(.+)$"
 
 # The words that the extractive answers pass over.
@@ -34,7 +34,7 @@ def strip(column) -> Column:
 
 
 def non_empty(items: Column) -> Column:
-    return F.filter(items, lambda x: x != "")
+    return F.array_remove(items, "")
 
 
 def clean_lines(column) -> Column:
@@ -44,7 +44,7 @@ def clean_lines(column) -> Column:
 
 def words(column) -> Column:
     """Lower-case words with punctuation removed."""
-    return non_empty(F.split(F.regexp_replace(F.lower(_c(column)), PUNCTUATION, " "), " "))
+    return non_empty(F.split(F.translate(F.lower(_c(column)), PUNCTUATION, " " * len(PUNCTUATION)), " "))
 
 
 def lines(column) -> Column:

@@ -49,10 +49,11 @@ def prefix_sequences(lines: DataFrame, key: str) -> DataFrame:
 def next_words(docs: DataFrame, text: str) -> DataFrame:
     """Most frequent follower of each word within a line, ties in alphabetical order."""
     line = docs.select(F.explode(texts.lines(text)).alias("t")).select(texts.words("t").alias("w"))
-    n = F.size("w")
-    pairs = line.filter(n > 1).select(
-        F.inline(F.arrays_zip(F.slice("w", F.lit(1), n - 1).alias("word"), F.slice("w", F.lit(2), n - 1).alias("next")))
-    )
+    n = F.greatest(F.size("w") - 1, F.lit(0))
+    # the outer form, and no filter on the number of words: either would be put below with a second copy of all that makes the words
+    pairs = line.select(
+        F.inline_outer(F.arrays_zip(F.slice("w", F.lit(1), n).alias("word"), F.slice("w", F.lit(2), n).alias("next")))
+    ).filter("word IS NOT NULL")
     counts = pairs.groupBy("word", "next").agg(F.count(F.lit(1)).alias("n"))
     return counts.groupBy("word").agg(F.min_by("next", F.struct(-F.col("n"), F.col("next"))).alias("next"))
 
