@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import arrays as arr
 from tidemill.operators import aggregates, arima, cluster, features, linalg, models, ordering, series
+from tidemill.session import cut
 
 rng = np.random.default_rng(5)
 
@@ -420,6 +421,17 @@ def test_linked_cells_at_the_edge_of_reach(spark, levels):
     assert sorted((r["a"][0], r["b"][0]) for r in got) == [(0, 1)]
 
 
+def test_saved_model_is_fitted_on_written_months(spark, sf, monkeypatch):
+    from tidemill.plans import catalogue, learning
+
+    written = []
+    monkeypatch.setattr(learning, "cut", lambda df: written.append(df.columns) or cut(df))
+    scored = catalogue.QUERIES["s7_model_round_trip"](spark, sf)
+    # the fit and the scoring read the written months, never the lines
+    assert written == [["region", "model", "date", "price", "stations", "label"]]
+    assert scored.inputFiles() and not any("lineitem" in f for f in scored.inputFiles())
+
+
 def test_registered_models_use_the_reference_settings(spark, monkeypatch):
     from tidemill.operators import cluster, models
     from tidemill.plans import catalogue, learning
