@@ -327,6 +327,35 @@ def test_inertia_falls_with_k(spark):
     assert cluster.kmeans_labels(df, 3, restarts=2).select("cluster").distinct().count() == 3
 
 
+def test_all_fits_move_on_in_each_pass(spark, monkeypatch):
+    x = np.round(rng.normal(size=(90, 2)) + np.repeat([[0, 0], [9, 0], [0, 9]], 30, axis=0), 3)
+    df = cluster.with_vector(spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double"), ["a", "b"]).repartition(5)
+    monkeypatch.setattr(cluster, "FIT_ROWS", 7)
+    passes, run = [], cluster._means
+    monkeypatch.setattr(cluster, "_means", lambda blocks, centres: passes.append(len(centres)) or run(blocks, centres))
+    settings = [(k, s) for k in (2, 3, 4) for s in range(4)]
+    fits = cluster._fits(df, settings)
+    # the passes are those of one fit, and each takes along all that still move
+    assert passes[0] == len(settings) and len(passes) <= 20
+    for (k, _), centres, cost in fits:
+        d2 = ((x[:, None] - centres[None]) ** 2).sum(2)
+        own = d2.argmin(1)
+        assert len(centres) == k and cost == pytest.approx(d2.min(1).sum())
+        # Lloyd's fixed point
+        assert all(np.allclose(centres[j], x[own == j].mean(0), atol=1e-3) for j in range(k))
+    best = min(cost for (k, _), _c, cost in fits if k == 3)
+    assert best == pytest.approx(sum(((x[i : i + 30] - x[i : i + 30].mean(0)) ** 2).sum() for i in (0, 30, 60)))
+
+
+def test_more_clusters_than_different_rows(spark):
+    df = cluster.with_vector(spark.createDataFrame([(1.0,), (1.0,), (4.0,)], "a double"), ["a"])
+    assert [r["inertia"] for r in cluster.kmeans_inertia(df, ks=(2, 3), restarts=2).orderBy("k").collect()] == [0.0, 0.0]
+    assert cluster.kmeans_labels(df, 3, restarts=2).select("cluster").distinct().count() == 2
+    bad = cluster.with_vector(spark.createDataFrame([(1.0,), (float("nan"),)], "a double"), ["a"])
+    with pytest.raises(Exception, match="not finite"):
+        cluster.kmeans_inertia(bad, ks=(2,), restarts=1)
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     x = rng.normal(size=(80, 6)) @ rng.normal(size=(6, 6))

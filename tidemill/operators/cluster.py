@@ -9,19 +9,19 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
+from pyspark import TaskContext
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.operators.models import side_by_side
 from tidemill.operators.ordering import global_index
-from tidemill.session import cut
+from tidemill.session import cut, spread
 
 BLOCK_BYTES = 8 << 20  # components of a block of rows, eight bytes each
 NEAR = 1e-4  # squared distances below this share of the squared lengths are taken from differences
 PAIR_CELLS = 1 << 20  # components of such differences held at a time
+FIT_ROWS = 32_768  # rows that a pass over k-means fits works on at a time
 
 
 def with_vector(df: DataFrame, columns: Sequence[str], name: str = "features") -> DataFrame:
@@ -31,24 +31,153 @@ def with_vector(df: DataFrame, columns: Sequence[str], name: str = "features") -
 def kmeans_inertia(df: DataFrame, ks: Sequence[int] = range(2, 11), restarts: int = 10, seed: int = 42) -> DataFrame:
     """Least within-cluster sum of squares over `restarts` seeds for each k."""
     fits = _fits(df, [(k, seed + r) for k in ks for r in range(restarts)])
-    rows = [(int(k), float(min(m.summary.trainingCost for (own, _), m in fits if own == k))) for k in ks]
+    rows = [(int(k), min(cost for (own, _), _c, cost in fits if own == k)) for k in ks]
     return df.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 
-def _fits(df: DataFrame, settings: Sequence[tuple[int, int]]) -> list:
-    """Fitted models by `(k, seed)`: a few fits run side by side over the rows, which are read once."""
-    kept = df.persist()
+def kmeans_labels(df: DataFrame, k: int = 3, restarts: int = 10, seed: int = 42) -> DataFrame:
+    """Labels of the best of `restarts` fits."""
+    _, best, _ = min(_fits(df, [(k, seed + r) for r in range(restarts)]), key=lambda fit: fit[2])
+    centres = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(best.tolist())], "centroid int, centre array<double>")
+    near = nearest_centroid(df.withColumn("__v", vector_to_array("features")), "__v", centres)
+    return near.drop("__v", "distance2")
+
+
+def _fits(df: DataFrame, settings: Sequence[tuple[int, int]], steps: int = 20, tolerance: float = 1e-4) -> list[tuple]:
+    """Fits by `(k, seed)`: `(setting, centres, cost)`, all of them moved on in each pass over the rows.
+
+    Centres are drawn as in k-means++, then moved to the means of their rows until none goes farther than `tolerance`, `steps`
+    times at most. The cost is that of the centres returned. A pass gives one row of sums per task and centre.
+    """
+    blocks = _blocks(df).persist()
     try:
-        return list(zip(settings, side_by_side(lambda s: KMeans(k=s[0], seed=s[1]).fit(kept), settings)))
+        fits = list(range(len(settings)))
+        centres = [None] * len(settings)
+        for step in range(max(k for k, _ in settings)):
+            asked = {f: (centres[f], settings[f]) for f in fits if settings[f][0] > step}
+            for f, row in _drawn(blocks, asked, step).items():
+                centres[f] = np.vstack([row] if centres[f] is None else [centres[f], row])
+        if any(c is None for c in centres):
+            raise ValueError("no rows to cluster")
+        open_fits = fits
+        for _ in range(steps):
+            means = _means(blocks, {f: centres[f] for f in open_fits})
+            moved = {f: max(((m - centres[f]) ** 2).sum(axis=1)) > tolerance**2 for f, m in means.items()}
+            for f, m in means.items():
+                centres[f] = m
+            open_fits = [f for f in open_fits if moved[f]]
+            if not open_fits:
+                break
+        costs = _costs(blocks, dict(enumerate(centres)))
+        return [(settings[f], centres[f], costs[f]) for f in fits]
     finally:
-        kept.unpersist()
+        blocks.unpersist()
 
 
-def kmeans_labels(df: DataFrame, k: int = 3, restarts: int = 10, seed: int = 42) -> DataFrame:
-    """Labels of the best of `restarts` fits."""
-    models = [m for _, m in _fits(df, [(k, seed + r) for r in range(restarts)])]
-    best = min(models, key=lambda m: m.summary.trainingCost)
-    return best.transform(df).withColumnRenamed("prediction", "cluster")
+def _blocks(df: DataFrame) -> DataFrame:
+    """The vectors, many to a row: `(block, width, v)`, their components one after the other."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, count, held = TaskContext.get().partitionId(), 0, []
+
+        def packed() -> pd.DataFrame:
+            x = np.concatenate(held)
+            if not np.isfinite(x).all():
+                raise ValueError("vectors hold components that are not finite")
+            return pd.DataFrame({"block": [(part << 32) + count], "width": [x.shape[1]], "v": [x.ravel()]})
+
+        for pdf in batches:
+            if len(pdf):
+                held.append(np.stack(pdf["v"].to_numpy()).astype(float))
+            if sum(len(x) for x in held) >= FIT_ROWS or sum(x.nbytes for x in held) >= BLOCK_BYTES:
+                yield packed()
+                count, held = count + 1, []
+        if held:
+            yield packed()
+
+    return spread(df.select(vector_to_array("features").alias("v"))).mapInPandas(pack, "block long, width int, v array<double>")
+
+
+def _unpacked(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, np.ndarray]]:
+    """Each block's number and its vectors side by side, a component to a row."""
+    for pdf in batches:
+        for block, width, v in zip(pdf["block"], pdf["width"], pdf["v"]):
+            yield block, np.ascontiguousarray(np.asarray(v, dtype=float).reshape(-1, width).T)
+
+
+def _closest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The closest centre of each column of `x`."""
+    middle = x.mean(axis=1, keepdims=True)
+    near = centres - middle.T  # products lose few digits next to the rows' own middle
+    score = (-2 * near) @ (x - middle)
+    score += (near * near).sum(axis=1)[:, None]
+    label, least = np.zeros(x.shape[1], dtype=np.int32), score[0]
+    for j in range(1, len(centres)):
+        np.copyto(label, j, where=score[j] < least)
+        np.minimum(least, score[j], out=least)
+    return label
+
+
+def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distance of each column of `x` to the closest centre, from differences: 0 where they are equal."""
+    gap = x - centres.T[:, _closest(x, centres)]
+    return np.einsum("ij,ij->j", gap, gap)
+
+
+def _drawn(blocks: DataFrame, asked: dict, step: int) -> dict[int, np.ndarray]:
+    """One more centre for each fit: a row drawn by its squared distance to the centres so far, any row at first.
+
+    Each block draws one of its rows and a number that is the larger the farther its rows are; the largest number wins. That is
+    a draw from all rows by the same shares. Fits whose centres are all the different rows get none.
+    """
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block, x in _unpacked(batches):
+            found = []
+            for f, (centres, (k, seed)) in asked.items():
+                upto = np.cumsum(np.ones(x.shape[1]) if centres is None else _squared(x, centres))
+                if upto[-1] > 0:
+                    place, luck = np.random.default_rng([seed, k, step, block]).random(2)
+                    at = min(int(np.searchsorted(upto, place * upto[-1], side="right")), len(upto) - 1)
+                    found.append((f, np.log1p(-luck) / upto[-1], block, x[:, at]))
+            yield pd.DataFrame(found, columns=["fit", "luck", "block", "row"])
+
+    drawn = blocks.mapInPandas(draw, "fit int, luck double, block long, row array<double>")
+    best = drawn.groupBy("fit").agg(F.max_by("row", F.struct("luck", "block")).alias("row"))
+    return {r["fit"]: np.array(r["row"]) for r in best.collect()}
+
+
+def _means(blocks: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """The mean of the rows closest to each centre; a centre without rows stays."""
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals = {f: np.zeros((len(c), c.shape[1] + 1)) for f, c in centres.items()}
+        for _, x in _unpacked(batches):
+            for f, c in centres.items():
+                label = _closest(x, c)
+                totals[f] += np.stack([np.bincount(label, weights=w, minlength=len(c)) for w in [*x, None]], axis=1)
+        rows = [(f, j, t) for f, ts in totals.items() for j, t in enumerate(ts) if t[-1]]
+        yield pd.DataFrame(rows, columns=["fit", "centre", "t"])
+
+    width = next(iter(centres.values())).shape[1]
+    sums = blocks.mapInPandas(add, "fit int, centre int, t array<double>").groupBy("fit", "centre").agg(
+        F.array(*[F.sum(F.get("t", i)) for i in range(width + 1)]).alias("t")
+    )
+    means = {f: c.copy() for f, c in centres.items()}
+    for r in sums.collect():
+        means[r["fit"]][r["centre"]] = np.array(r["t"][:-1]) / r["t"][-1]
+    return means
+
+
+def _costs(blocks: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, float]:
+    """Sum of the squared distances of all rows to the closest centre."""
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, x in _unpacked(batches):
+            yield pd.DataFrame({"fit": list(centres), "cost": [_squared(x, c).sum() for c in centres.values()]})
+
+    sums = blocks.mapInPandas(add, "fit int, cost double").groupBy("fit").agg(F.sum("cost").alias("cost"))
+    return {r["fit"]: r["cost"] for r in sums.collect()}
 
 
 def nearest_centroid(df: DataFrame, vector: str, centroids: DataFrame) -> DataFrame:
