@@ -133,6 +133,34 @@ def test_search_gate_and_answers(corpus, asked):
     assert answers[3].startswith("I don't have enough")
 
 
+@pytest.mark.parametrize("stop", [None, ("of", "the")])
+def test_terms_are_counted_as_numbers(spark, stop):
+    from collections import Counter
+
+    rows = [(1, "The cat of the house, the CAT of the cat"), (2, None), (3, "the of"), (4, "house cat house"), (5, "élan")]
+    df = spark.createDataFrame(rows, "id long, t string").repartition(2)
+
+    def terms(t):
+        kept = [w for w in (t or "").lower().replace(",", "").split() if w not in (stop or ())]
+        return Counter(kept if stop is None else kept + [f"{a} {b}" for a, b in zip(kept, kept[1:])])
+
+    want = {(i, w): n for i, t in rows for w, n in terms(t).items()}
+    counted = retrieval.term_counts(df, "id", "t", stop)
+    assert {(r["id"], r["term"]): r["tf"] for r in counted.collect()} == want
+    # tokens leave Spark's expressions as they are: no sorting and no pairs in functions on arrays
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array" not in plan and "zip_with" not in plan
+    fitted = retrieval.fit_terms(df, "id", "t", 4, stop)
+    totals = sum((terms(t) for _, t in rows), Counter())
+    best = sorted(totals.items(), key=lambda e: (-e[1], e[0]))[:4]
+    assert [(r["term"], r["count"]) for r in fitted.orderBy(F.desc("count"), "term").collect()] == best
+    assert {r["term"]: r["df"] for r in fitted.collect()} == {w: sum(w in terms(t) for _, t in rows) for w, _ in best}
+    known = spark.createDataFrame([("cat house", 2.0), ("cat", 1.0), ("unknown cat", 3.0), ("dog", 4.0)], "term string, idf double")
+    some = {(r["id"], r["term"]): (r["idf"], r["tf"]) for r in retrieval.term_counts(df, "id", "t", stop, known).collect()}
+    idf = {"cat house": 2.0, "cat": 1.0}
+    assert some == {(i, w): (idf[w], n) for (i, w), n in want.items() if w in idf}
+
+
 def test_question_blocks_give_the_same_result(corpus, asked, monkeypatch):
     whole = sorted(map(tuple, found_for(corpus, asked).collect()))
     monkeypatch.setattr(retrieval, "BLOCK_ROWS", 2)

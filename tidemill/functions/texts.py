@@ -74,25 +74,6 @@ def tokens_and_bigrams(column, stop_words: Sequence[str] = STOP_WORDS) -> Column
     return F.concat(kept, bigrams(kept))
 
 
-def frequencies(items) -> Column:
-    """Each different item of an array column with how often it occurs: `array<struct<term, tf>>`, in the order of the items.
-
-    Sorted items stand in runs, so this takes no more than sorting them. Give it the name of a computed column, as it reads it often.
-    """
-    found, n = F.sort_array(_c(items)), F.size(_c(items))
-
-    def runs(sorted_items: Column) -> Column:
-        begins = F.filter(
-            F.transform(sorted_items, lambda x, i: F.when((i == 0) | (x != F.get(sorted_items, i - 1)), i)), lambda i: i.isNotNull()
-        )
-        ends = lambda b: F.concat(F.slice(b, 2, n), F.array(n))
-        pair = lambda b, e: F.struct(F.get(sorted_items, b).alias("term"), (e - b).cast("long").alias("tf"))
-        return F.get(F.transform(F.array(begins), lambda b: F.zip_with(b, ends(b), pair)), 0)
-
-    # lambdas give the sorted items and the runs a name, so each is computed once
-    return F.when(n > 0, F.get(F.transform(F.array(found), runs), 0)).otherwise(F.array().cast("array<struct<term: string, tf: bigint>>"))
-
-
 def keywords(column, longer_than: int = 4, count: int = 5) -> Column:
     """Distinct lower-case words above a length, the first few in alphabetical order."""
     found = F.filter(F.split(_c(column), r"(?U)\s+"), lambda w: F.length(w) > longer_than)

@@ -1,15 +1,17 @@
 """Term weights, inverted-index and dense search, gates, contexts and extractive answers.
 
-Terms are counted inside the rows of their chunk. A weight table is laid out by chunk, so normalising works inside the partitions.
+Spark cuts a chunk into tokens; terms are counted inside the rows of their chunk, as numbers of a batch's own words. A weight table is laid out by chunk, so normalising works inside the partitions.
 Tables of questions are sent to every task only where they are counted to be small.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,35 +29,101 @@ QUERY_BYTES = 2 << 20  # and of a block of queries
 SCORE_BYTES = 16 << 20  # scores of one step within a pair of blocks
 
 
-def _tokens(name: str, stop_words: Sequence[str] | None) -> Column:
-    return texts.tokens(name) if stop_words is None else texts.tokens_and_bigrams(name, stop_words)
+class _Coded:
+    """The terms of a batch of token lists as numbers: `row` and `code` of every token, and of every pair if `stop_words` are given.
 
+    A code below the number of different words is a word, any other a pair of words.
+    """
 
-def _counted(chunks: DataFrame, columns: Sequence, text: str, stop_words: Sequence[str] | None) -> DataFrame:
-    """`columns` and every different term of a chunk with its count `tf`, found inside the row: no token is ever a row of its own."""
-    found = chunks.select(*columns, _tokens(text, stop_words).alias("__t")).select(*columns, texts.frequencies("__t").alias("__f"))
-    # the outer form keeps the optimiser from putting a filter with a copy of all this below
-    each = found.select(*columns, F.explode_outer("__f").alias("__e")).filter("__e IS NOT NULL")
-    return each.select(*columns, "__e.term", "__e.tf")
+    def __init__(self, lists: pa.ListArray, stop_words: Sequence[str] | None):
+        flat = lists.flatten().dictionary_encode()
+        row, code = pc.list_parent_indices(lists).to_numpy().astype(np.int64), flat.indices.to_numpy().astype(np.int64)
+        self.words, n = flat.dictionary, len(flat.dictionary)
+        if stop_words is not None:
+            stops = pc.is_in(self.words, value_set=pa.array(stop_words, self.words.type)).to_numpy(zero_copy_only=False)
+            row, code = row[~stops[code]], code[~stops[code]]
+            beside = np.flatnonzero(row[1:] == row[:-1])
+            row = np.concatenate([row, row[beside]])
+            code = np.concatenate([code, n + code[beside] * n + code[beside + 1]])
+        self.row, self.code, self.span = row, code, n * (n + 1) + 1
+
+    def codes(self, terms: Sequence[str]) -> np.ndarray:
+        """The code of each term, -1 where the batch has no such word."""
+        parts = [t.partition(" ") for t in terms]
+        a, b = self._places([p[0] for p in parts]), self._places([p[2] for p in parts])
+        single = np.array([not p[1] for p in parts], dtype=bool)
+        return np.where(single, a, np.where((a < 0) | (b < 0), -1, len(self.words) * (1 + a) + b))
+
+    def _places(self, words: Sequence[str]) -> np.ndarray:
+        found = pc.index_in(pa.array(words, self.words.type), value_set=self.words)
+        return pc.fill_null(found, -1).to_numpy().astype(np.int64)
+
+    def counted(self, keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, code and count of each different term of a row, of those marked by `keep`."""
+        row, code = (self.row, self.code) if keep is None else (self.row[keep], self.code[keep])
+        both, tf = np.unique(row * self.span + code, return_counts=True)
+        return both // self.span, both % self.span, tf
+
+    def terms(self, codes: np.ndarray) -> pa.Array:
+        """The terms of rising codes."""
+        n = len(self.words)
+        words, pairs = codes[codes < n], codes[codes >= n] - n
+        joined = pc.binary_join_element_wise(self.words.take(pa.array(pairs // max(n, 1))), self.words.take(pa.array(pairs % max(n, 1))), " ")
+        return pa.concat_arrays([self.words.take(pa.array(words)), joined])
 
 
 def term_counts(
     chunks: DataFrame, key: str, text: str, stop_words: Sequence[str] | None = None, known: DataFrame | None = None
 ) -> DataFrame:
-    """Counts per chunk and term, laid out by chunk; `key` must be unique. Texts do not move, and of the terms, counted
-    inside each row, only those in `known (term, idf)`."""
-    each = _counted(chunks, [key], text, stop_words)
-    if known is not None:
-        # bounded by the vocabulary limit
-        each = each.join(F.broadcast(known.select("term", "idf")), "term").select(key, "term", "idf", "tf")
-    return each.repartition(key)
+    """Counts `tf` per chunk and term, laid out by chunk; `key` must be unique. Texts do not move, and of the terms, counted
+    inside each row, only those in `known (term, idf)`: those are few, and are collected when this is called."""
+    table = None if known is None else list(map(tuple, known.select("term", "idf").collect()))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if table is not None:
+            names, idf = pa.array([t for t, _ in table], pa.string()), np.array([w for _, w in table], dtype=float)
+        for batch in batches:
+            coded = _Coded(batch.column(1), stop_words)
+            if table is None:
+                row, code, tf = coded.counted()
+                different, at = np.unique(code, return_inverse=True)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(row)), coded.terms(different).take(pa.array(at)), pa.array(tf)], [key, "term", "tf"]
+                )
+                continue
+            codes = coded.codes([t for t, _ in table])
+            order = np.argsort(codes)
+            order = order[codes[order] >= 0]
+            if len(order):
+                place = np.minimum(np.searchsorted(codes[order], coded.code), len(order) - 1)
+                row, code, tf = coded.counted(codes[order][place] == coded.code)
+                at = order[np.searchsorted(codes[order], code)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(row)), names.take(pa.array(at)), pa.array(idf[at]), pa.array(tf)],
+                    [key, "term", "idf", "tf"],
+                )
+
+    listed = chunks.select(key, texts.tokens(text).alias("__t"))
+    kind = listed.schema[key].dataType.simpleString()
+    weight = "" if known is None else "idf double, "
+    return listed.mapInArrow(count, f"`{key}` {kind}, term string, {weight}tf bigint").repartition(key)
 
 
 def fit_terms(chunks: DataFrame, key: str, text: str, max_terms: int = 4096, stop_words: Sequence[str] | None = None) -> DataFrame:
     """The most frequent terms (ties alphabetical) with their inverse document weight."""
     total = chunks.agg(F.count(F.lit(1))).scalar()
-    # a row per chunk and different term, summed inside the tasks
-    terms = _counted(chunks, [], text, stop_words).groupBy("term").agg(F.sum("tf").alias("count"), F.count(F.lit(1)).alias("df"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            coded = _Coded(batch.column(0), stop_words)
+            _row, code, tf = coded.counted()
+            different, at, rows = np.unique(code, return_inverse=True, return_counts=True)
+            sums = np.bincount(at, weights=tf, minlength=len(different)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([coded.terms(different), pa.array(sums), pa.array(rows)], ["term", "n", "rows"])
+
+    # a row per batch of chunks and different term, summed inside the tasks
+    each = chunks.select(texts.tokens(text).alias("__t")).mapInArrow(count, "term string, n bigint, rows bigint")
+    terms = each.groupBy("term").agg(F.sum("n").alias("count"), F.sum("rows").alias("df"))
     kept = terms.orderBy(F.desc("count"), "term").limit(max_terms)
     return kept.withColumn("idf", F.ln((1 + total) / (1 + F.col("df"))) + 1)
 
@@ -65,7 +133,7 @@ def term_weights(
 ) -> DataFrame:
     """Normalised weights `(key, term, weight)`; a chunk without known terms has no rows. `key` must be unique.
 
-    `terms` holds at most `max_terms` rows, which bounds the broadcast and the window.
+    `terms` holds at most `max_terms` rows, which bounds what each task gets, and the window.
     """
     counts = term_counts(chunks, key, text, stop_words, terms)
     tf = 1 + F.ln(F.col("tf")) if sublinear else F.col("tf")
