@@ -279,6 +279,28 @@ def test_density_clusters_match_brute_force(spark, dims):
     assert got == {i: (int(label[i]), int(core[i])) for i in range(len(x))}
 
 
+def test_cells_that_are_joined_are_not_split_further(spark, monkeypatch):
+    # a full square: before, pairs of its cells around the edge of reach were split to the last digits
+    x = rng.uniform(0, 3, size=(2500, 2))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, x0 double, x1 double")
+    levels, run = [], cluster._boxes
+    monkeypatch.setattr(cluster, "_boxes", lambda points, keys, dims: levels.append(list(keys)) or run(points, keys, dims))
+    got = {r["id"]: (r["label"], r["core"]) for r in cluster.density_clusters(df, "id", ["x0", "x1"], eps=0.4, min_points=5).collect()}
+    assert got == {i: (0, 1) for i in range(len(x))}
+    assert sum("sub" in keys for keys in levels) <= 3
+
+
+def test_labels_of_a_long_chain_take_few_rounds(spark, monkeypatch):
+    order = [int(i) for i in rng.permutation(60)]
+    edges = spark.createDataFrame([*zip(order, order[1:]), (100, 101)], "src long, dst long")
+    nodes = spark.createDataFrame([(i,) for i in [*range(60), 100, 101, 102]], "node long")
+    written, run = [], cluster.cut
+    monkeypatch.setattr(cluster, "cut", lambda df: written.append(df.columns) or run(df))
+    got = {r["node"]: r["label"] for r in cluster.connected_labels(nodes, edges).collect()}
+    assert got == {**dict.fromkeys(range(60), 0), 100: 100, 101: 100, 102: 102}
+    assert sum("label" in c for c in written) <= 14
+
+
 def test_salted_join_splits_hot_cells(spark):
     points = spark.range(50).select("id", F.array(F.col("id").cast("double")).alias("x"), F.array(F.lit(0).cast("bigint")).alias("cell"))
     sizes = points.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))

@@ -21,6 +21,7 @@ from tidemill.session import cut, spread
 BLOCK_BYTES = 8 << 20  # components of a block of rows, eight bytes each
 NEAR = 1e-4  # squared distances below this share of the squared lengths are taken from differences
 PAIR_CELLS = 1 << 20  # components of such differences held at a time
+JOINED_AT = (1, 4, 10)  # levels of smaller boxes after which pairs of cells that links join anyway are dropped
 FIT_ROWS = 32_768  # rows that a pass over k-means fits works on at a time
 
 
@@ -409,14 +410,16 @@ def _salted_join(few: DataFrame, points: DataFrame, sizes: DataFrame, per_task:
 
 
 def _linked_cells(core: DataFrame, pairs: DataFrame, dims: int, side: float, eps2: float, levels: int = 30) -> DataFrame:
-    """Cell pairs (a < b) with core points of both within reach, decided by ever smaller boxes.
+    """Cell pairs (a < b) with core points of both within reach, as many as join all cells that belong together, decided by
+    ever smaller boxes.
 
     A pair is linked once two sub-boxes lie wholly within reach of each other, and dropped once
-    no sub-boxes can touch. Only the undecided sub-box pairs go to the next level, so hot cells
-    are never compared point by point. What is undecided after the last level are boxes of hardly any size, around the edge of
+    no sub-boxes can touch, or once linked pairs join its cells over others: it would change no cluster. Only the undecided
+    sub-box pairs go to the next level, so hot cells are never compared point by point. What is undecided after the last level are boxes of hardly any size, around the edge of
     reach: the different points of those are compared.
     """
-    linked = []
+    linked, known = [], 0
+    nodes = cut(core.groupBy("cell").agg(F.min("id").alias("node")))
     halves = core
     open_pairs = None
     for level in range(levels):
@@ -437,8 +440,15 @@ def _linked_cells(core: DataFrame, pairs: DataFrame, dims: int, side: float, eps
             ).filter(F.col("near") <= eps2)
         )
         sure = judged.filter(F.col("far") <= eps2).select("a", "b").distinct()
-        linked.append(sure)
         left = judged.join(sure, ["a", "b"], "left_anti")
+        linked.append(sure)
+        if level in JOINED_AT:
+            # cells joined before count as one node
+            nodes = cut(_joined_cells(nodes, reduce(DataFrame.unionByName, linked[known:])).withColumnRenamed("label", "node"))
+            known = len(linked)
+            left = left.join(nodes.select(F.col("cell").alias("a"), F.col("node").alias("na")), "a").join(
+                nodes.select(F.col("cell").alias("b"), F.col("node").alias("nb")), "b"
+            ).filter(F.col("na") != F.col("nb"))
         open_pairs = cut(left.select("a", "b", F.col("sa").alias("pa"), F.col("sb").alias("pb")))
         if open_pairs.isEmpty():
             break
@@ -453,23 +463,27 @@ def _linked_cells(core: DataFrame, pairs: DataFrame, dims: int, side: float, eps
     return reduce(DataFrame.unionByName, linked).distinct()
 
 
+def _joined_cells(names: DataFrame, links: DataFrame) -> DataFrame:
+    """The cells of `names (cell, node)` with the smallest node that links `(a, b)` join them to, as `(cell, label)`."""
+    edges = links.join(names.select(F.col("cell").alias("a"), F.col("node").alias("src")), "a").join(
+        names.select(F.col("cell").alias("b"), F.col("node").alias("dst")), "b"
+    )
+    return names.join(connected_labels(names.select("node").distinct(), edges), "node").select("cell", "label")
+
+
 def connected_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Smallest node id of each component: hook to the least neighbour, then jump to the label's label."""
+    """Smallest node id of each component: all nodes of a label hook to the least label beside any of them, then jump to that label's own."""
     both = cut(edges.select("src", "dst").union(edges.select(F.col("dst"), F.col("src"))).distinct())
     labels = cut(nodes.select("node", F.col("node").alias("label")))
     while True:
-        least = (
-            both.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy(F.col("src").alias("node")).agg(F.min("label").alias("near"))
-        )
-        hooked = labels.join(least, "node", "left").select(
-            "node", F.least("label", F.coalesce("near", "label")).alias("label"), F.col("label").alias("old")
-        )
-        jump = hooked.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        nxt = cut(hooked.join(jump, "label", "left").select("node", F.least("label", F.coalesce("root", "label")).alias("label"), "old"))
-        done = nxt.filter(F.col("label") != F.col("old")).isEmpty()
-        labels = nxt.drop("old")
-        if done:
+        beside = both.join(labels.withColumnRenamed("node", "dst"), "dst").select(F.col("src").alias("node"), F.col("label").alias("near"))
+        least = beside.groupBy("node").agg(F.min("near").alias("near")).join(labels, "node")
+        moves = cut(least.groupBy("label").agg(F.min("near").alias("to")).filter(F.col("to") < F.col("label")))
+        if moves.isEmpty():
             return labels
+        jump = moves.select(F.col("label").alias("to"), F.col("to").alias("root"))
+        moves = moves.join(jump, "to", "left").select("label", F.coalesce("root", "to").alias("root"))
+        labels = cut(labels.join(moves, "label", "left").select("node", F.coalesce("root", "label").alias("label")))
 
 
 def density_clusters(df: DataFrame, key: str, columns: Sequence[str], eps: float = 1.5, min_points: int = 5) -> DataFrame:
@@ -513,10 +527,7 @@ def density_clusters(df: DataFrame, key: str, columns: Sequence[str], eps: float
         .join(names.select(F.col("cell").alias("b")), "b", "left_semi")
     )
     links = _linked_cells(core, core_pairs, dims, side, eps2)
-    edges = links.join(names.select(F.col("cell").alias("a"), F.col("node").alias("src")), "a").join(
-        names.select(F.col("cell").alias("b"), F.col("node").alias("dst")), "b"
-    )
-    labels = cut(names.join(connected_labels(names.select("node"), edges), "node").select("cell", "label", "n"))
+    labels = cut(_joined_cells(names, links).join(names.select("cell", "n"), "cell"))
 
     core_rows = core.join(labels, "cell").select("id", "label", F.lit(1).alias("core"))
     rest = flagged.filter(~F.col("core"))
