@@ -280,7 +280,7 @@ def test_density_clusters_match_brute_force(spark, dims):
 
 
 def test_cells_that_are_joined_are_not_split_further(spark, monkeypatch):
-    # a full square: before, pairs of its cells around the edge of reach were split to the last digits
+    # a full square: before, pairs of its cells around the edge of reach were split to level 6
     x = rng.uniform(0, 3, size=(2500, 2))
     df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, x0 double, x1 double")
     levels, run = [], cluster._boxes
